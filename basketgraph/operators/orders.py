@@ -37,7 +37,7 @@ def _valid_invoices(invoices: DataFrame) -> DataFrame:
     return invoices.where(F.col("customer_id").isNotNull()).select("invoice_no", "customer_id")
 
 
-def _restrict(df: DataFrame, invoices: DataFrame | None) -> DataFrame:
+def restrict_to_invoices(df: DataFrame, invoices: DataFrame | None) -> DataFrame:
     """Keep rows whose invoice has a customer (semi join on invoice_no)."""
     if invoices is None:
         return df
@@ -49,7 +49,7 @@ def order_summary(lines: DataFrame, invoices: DataFrame | None = None) -> DataFr
     agg = lines.groupBy("invoice_no").agg(
         F.sum("amount").alias("total"), F.max("invoice_ts").alias("last_ts")
     )
-    return _restrict(agg, invoices)
+    return restrict_to_invoices(agg, invoices)
 
 
 def order_nodes(summary: DataFrame, keep_negative: bool = True) -> DataFrame:
@@ -81,7 +81,7 @@ def contains_edges(lines: DataFrame, invoices: DataFrame | None = None) -> DataF
     A multigraph: the same product on two lines of one order gives two edges,
     told apart by ``line_no``.
     """
-    src = _restrict(lines, invoices)
+    src = restrict_to_invoices(lines, invoices)
     return src.select(
         prefixed("invoice_no", ORDER_PREFIX).alias("order_id"),
         prefixed("stock_code", PRODUCT_PREFIX).alias("product_id"),
