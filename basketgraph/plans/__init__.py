@@ -3,7 +3,7 @@
 Importing this package registers every query in ``registry.REGISTRY``.
 """
 
-from basketgraph.plans import order_queries, price_queries  # noqa: F401
+from basketgraph.plans import graph_queries, order_queries, price_queries  # noqa: F401
 from basketgraph.plans.registry import REGISTRY, Query
 
 __all__ = ["REGISTRY", "Query"]
