@@ -3,7 +3,13 @@
 Importing this package registers every query in ``registry.REGISTRY``.
 """
 
-from basketgraph.plans import graph_queries, order_queries, price_queries, text_queries  # noqa: F401
+from basketgraph.plans import (  # noqa: F401
+    graph_queries,
+    order_queries,
+    price_queries,
+    stream_queries,
+    text_queries,
+)
 from basketgraph.plans.registry import REGISTRY, Query
 
 __all__ = ["REGISTRY", "Query"]

@@ -1,0 +1,80 @@
+"""The feedback stream: JSON lines -> validated records -> cleaned and scored -> sinks.
+
+The same column functions serve batch and stream; only the source and the
+sink differ. Sinks never run side effects inside a transformation: records are
+written by the streaming writer (JSON lines, K3) or by ``foreachBatch`` into
+the keyed journal (K2, see ``journal``).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from basketgraph import schemas
+from basketgraph.operators import feedback as fb_ops
+from basketgraph.operators import sentiment as sent
+
+REQUIRED_FIELDS = ("customerid", "productid", "rating", "about")
+
+
+def parse_feedback_lines(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(records, dead letters) from raw lines; dead letters keep the raw text and a reason."""
+    parsed = fb_ops.parse_json_lines(lines, value_col, schemas.FEEDBACK_LINE, REQUIRED_FIELDS)
+    valid, rejected = fb_ops.split_valid(parsed)
+    records = valid.select(
+        F.col("parsed.customerid").alias("customerid"),
+        F.col("parsed.productid").alias("productid"),
+        F.col("parsed.rating").cast("int").alias("rating"),
+        F.col("parsed.about").alias("about"),
+        F.col("parsed.product").alias("product"),
+    )
+    return records, rejected.select("raw", "reason")
+
+
+def score_feedback(
+    records: DataFrame,
+    stop_words: Iterable[str],
+    positive: Iterable[str],
+    negative: Iterable[str],
+    event_date: str | None = None,
+) -> DataFrame:
+    """Feedback records as written by the stream: date, userid, productid, rating, sentAnalysis.
+
+    ``date`` is the event date column when given, else the processing date
+    (constant within a micro-batch).
+    """
+    keep = ["customerid", "productid", "rating"] + ([event_date] if event_date else [])
+    scored = sent.score_text(records, "about", stop_words, positive, negative, keep=keep)
+    day = F.col(event_date).cast("date") if event_date else F.current_date()
+    return scored.select(
+        F.date_format(day, "yyyy-MM-dd").alias("date"),
+        F.col("customerid").alias("userid"),
+        F.col("productid").alias("productid"),
+        F.col("rating"),
+        F.col("sentiment").alias("sentAnalysis"),
+    )
+
+
+def start_json_sink(
+    df: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str = "1 second"
+) -> StreamingQuery:
+    """Append every record of every micro-batch as JSON lines (K3). Empty batches write nothing."""
+    writer = df.writeStream.format("json").outputMode("append").option("path", path).option(
+        "checkpointLocation", checkpoint
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+    return writer.start()
+
+
+def run_to_completion(query: StreamingQuery, timeout_sec: int = 900) -> None:
+    """Wait for an ``availableNow`` query; stop it and fail if it does not finish in time."""
+    finished = query.awaitTermination(timeout_sec)
+    if not finished:
+        query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_sec}s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
