@@ -78,14 +78,15 @@ def in_date_edges(summary: DataFrame) -> DataFrame:
 def contains_edges(lines: DataFrame, invoices: DataFrame | None = None) -> DataFrame:
     """order_id -> product_id per line, with line_no, quantity, unitprice, costprice.
 
-    A multigraph: the same product on two lines of one order gives two edges,
-    told apart by ``line_no``.
+    A multigraph: the same product on two lines of one order gives two edges.
+    ``line_no`` is carried when the source has it.
     """
     src = restrict_to_invoices(lines, invoices)
+    line_no = ["line_no"] if "line_no" in src.columns else []
     return src.select(
         prefixed("invoice_no", ORDER_PREFIX).alias("order_id"),
         prefixed("stock_code", PRODUCT_PREFIX).alias("product_id"),
-        F.col("line_no"),
+        *line_no,
         F.col("quantity").try_cast("int").alias("quantity"),
         F.col("unit_price").alias("unitprice"),
         (F.col("unit_price") * F.lit(float(COMMISSION))).alias("costprice"),
