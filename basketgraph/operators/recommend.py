@@ -43,6 +43,18 @@ NEGATIVE = "NEGATIVE"
 # ---------------------------------------------------------------------------
 
 
+def exact_sum(col: Column | str) -> Column:
+    """Sum of non-null longs that fails loudly on overflow.
+
+    ``try_sum`` plus an explicit error: under ANSI mode a plain ``sum`` of longs
+    ran about 4x slower on the path-count aggregations (measured on the 0.1
+    tables), while ``try_sum`` keeps the hash aggregation fast. A null result
+    from non-null inputs can only mean overflow, which is raised, not returned.
+    """
+    s = F.try_sum(col)
+    return F.when(s.isNull() & (F.count(col) > 0), F.raise_error(F.lit("path count overflow"))).otherwise(s)
+
+
 def order_product_counts(contains: DataFrame, buys: DataFrame) -> DataFrame:
     """order_key, customer_key, product_key, m: parallel ``contains`` edges counted.
 
@@ -113,17 +125,17 @@ def order_path_scores_for(mc: DataFrame, customer: Column | int) -> DataFrame:
     orders sharing a product moves one row per such order.
     """
     mine = mc.where(F.col("customer_key") == customer)
-    w = mine.groupBy("product_key").agg(F.sum("m").alias("w"))
+    w = mine.groupBy("product_key").agg(exact_sum("m").alias("w"))
     m = mc.select("order_key", "product_key", "m")
     on_mine = m.join(w, "product_key")  # rows of m on the customer's products
-    pairs = on_mine.groupBy("order_key").agg(F.sum(F.col("w") * F.col("m")).alias("a"))
+    pairs = on_mine.groupBy("order_key").agg(exact_sum(F.col("w") * F.col("m")).alias("a"))
     triples = m.join(pairs, "order_key").groupBy("product_key").agg(
-        F.sum(F.col("m") * F.col("a")).alias("t")
+        exact_sum(F.col("m") * F.col("a")).alias("t")
     )
-    deg = on_mine.groupBy("product_key").agg(F.sum("m").alias("deg"))
-    size = mine.groupBy("order_key").agg(F.sum("m").alias("size"))
+    deg = on_mine.groupBy("product_key").agg(exact_sum("m").alias("deg"))
+    size = mine.groupBy("order_key").agg(exact_sum("m").alias("size"))
     corr = _corrections(mine, deg, size).select("product_key", "t")
-    scores = triples.unionByName(corr).groupBy("product_key").agg(F.sum("t").alias("score"))
+    scores = triples.unionByName(corr).groupBy("product_key").agg(exact_sum("t").alias("score"))
     return scores.where(F.col("score") > 0)
 
 
@@ -138,10 +150,10 @@ def order_path_scores(mc: DataFrame, hot_order_products: int = HOT_ORDER_PRODUCT
     which is linear in the customers that share a product with the order.
     """
     per_order = mc.groupBy("order_key").agg(
-        F.sum("m").alias("size"), F.count(F.lit(1)).alias("n_products")
+        exact_sum("m").alias("size"), F.count(F.lit(1)).alias("n_products")
     )
     m = mc.join(per_order, "order_key")
-    w = mc.groupBy("customer_key", "product_key").agg(F.sum("m").alias("w"))
+    w = mc.groupBy("customer_key", "product_key").agg(exact_sum("m").alias("w"))
 
     cold = m.where(F.col("n_products") <= hot_order_products)
     hot = m.where(F.col("n_products") > hot_order_products)
@@ -149,31 +161,31 @@ def order_path_scores(mc: DataFrame, hot_order_products: int = HOT_ORDER_PRODUCT
     left = cold.select("order_key", F.col("product_key").alias("q"), F.col("m").alias("mq"))
     right = cold.select("order_key", "product_key", F.col("m").alias("mp"))
     cooc = left.join(right, "order_key").groupBy("q", "product_key").agg(
-        F.sum(F.col("mq") * F.col("mp")).alias("c")
+        exact_sum(F.col("mq") * F.col("mp")).alias("c")
     )
     t_cold = (
         w.withColumnRenamed("product_key", "q")
         .join(cooc, "q")
         .groupBy("customer_key", "product_key")
-        .agg(F.sum(F.col("w") * F.col("c")).alias("t"))
+        .agg(exact_sum(F.col("w") * F.col("c")).alias("t"))
     )
 
     hot_m = hot.select("order_key", "product_key", "m")
     reach = w.join(hot_m, "product_key").groupBy("customer_key", "order_key").agg(
-        F.sum(F.col("w") * F.col("m")).alias("a")
+        exact_sum(F.col("w") * F.col("m")).alias("a")
     )
     t_hot = reach.join(hot_m, "order_key").groupBy("customer_key", "product_key").agg(
-        F.sum(F.col("a") * F.col("m")).alias("t")
+        exact_sum(F.col("a") * F.col("m")).alias("t")
     )
 
-    deg = mc.groupBy("product_key").agg(F.sum("m").alias("deg"))
+    deg = mc.groupBy("product_key").agg(exact_sum("m").alias("deg"))
     corr = _corrections(mc, deg, per_order.select("order_key", "size"))
 
     scores = (
         t_cold.unionByName(t_hot)
         .unionByName(corr)
         .groupBy("customer_key", "product_key")
-        .agg(F.sum("t").alias("score"))
+        .agg(exact_sum("t").alias("score"))
     )
     return scores.where(F.col("score") > 0)
 
@@ -195,8 +207,8 @@ def rating_path_candidates(feedback: DataFrame, customer: Column | int, sentimen
     me = F.col("customer_key") == customer
     w1 = pos.where(me).groupBy("product_key").agg(F.count(F.lit(1)).alias("w1"))
     shared = pos.join(w1, "product_key").groupBy("customer_key").agg(
-        F.sum("w1").alias("u"),
-        F.sum(F.when(me, F.lit(1)).otherwise(F.lit(0))).alias("n_self"),
+        exact_sum("w1").alias("u"),
+        exact_sum(F.when(me, F.lit(1)).otherwise(F.lit(0))).alias("n_self"),
     )
     f3 = pos.join(shared, "customer_key").join(w1, "product_key", "left")
     w1p = F.coalesce(F.col("w1"), F.lit(0))
@@ -222,7 +234,7 @@ def rating_top_paths_for(
     running count, so only ``k`` rows reach the single ordered window.
     """
     cands = rating_path_candidates(feedback, customer, sentiment)
-    per = cands.groupBy("product_key", "rating").agg(F.sum("paths").alias("paths"))
+    per = cands.groupBy("product_key", "rating").agg(exact_sum("paths").alias("paths"))
     head = per.orderBy(F.col("rating").desc(), F.col("product_key").asc()).limit(k)
     w = Window.orderBy(F.col("rating").desc(), F.col("product_key").asc()).rowsBetween(
         Window.unboundedPreceding, -1
