@@ -97,8 +97,10 @@ def customer_invoices(lines: DataFrame, invoices: DataFrame | None = None) -> Da
     """Distinct (customer_id, invoice_no) pairs of invoices that have lines."""
     if invoices is None:
         return lines.select("customer_id", "invoice_no").distinct()
-    # Invoices with at least one line; the distinct runs on the join's partitioning.
-    with_lines = _valid_invoices(invoices).join(lines.select("invoice_no"), "invoice_no", "left_semi")
+    # Invoices with at least one line. The line side is de-duplicated first (map-side
+    # combine), so an invoice with a huge number of lines is one row per map task.
+    line_invoices = lines.select("invoice_no").distinct()
+    with_lines = _valid_invoices(invoices).join(line_invoices, "invoice_no", "left_semi")
     return with_lines.select("customer_id", "invoice_no").distinct()
 
 

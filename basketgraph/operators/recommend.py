@@ -59,13 +59,15 @@ def order_product_counts(contains: DataFrame, buys: DataFrame) -> DataFrame:
     """order_key, customer_key, product_key, m: parallel ``contains`` edges counted.
 
     ``contains`` holds one row per edge (order_key, product_key); ``buys`` one row
-    per (customer_key, order_key). The join keeps orders that have a customer,
-    and the count reuses the join's partitioning on order_key.
+    per (customer_key, order_key). Edges are counted per (order, product) first,
+    with map-side combine and a shuffle spread over both keys, so an order holding
+    a large share of all lines is reduced before it meets the join; the join then
+    attaches the order's one customer and drops orders without one.
     """
-    j = contains.select("order_key", "product_key").join(
-        buys.select("order_key", "customer_key"), "order_key", "inner"
+    m = contains.groupBy("order_key", "product_key").agg(F.count(F.lit(1)).alias("m"))
+    return m.join(buys.select("order_key", "customer_key"), "order_key", "inner").select(
+        "order_key", "customer_key", "product_key", "m"
     )
-    return j.groupBy("order_key", "customer_key", "product_key").agg(F.count(F.lit(1)).alias("m"))
 
 
 def top_k(scores: DataFrame, k: int = TOP_K, score: str = "score", key: str = "product_key") -> DataFrame:

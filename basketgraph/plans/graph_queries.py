@@ -14,6 +14,7 @@ from basketgraph.functions.ids import CUSTOMER_PREFIX, ORDER_PREFIX, PRODUCT_PRE
 from basketgraph.operators import graph as graph_ops
 from basketgraph.operators import recommend as rec
 from basketgraph.plans.registry import register
+from basketgraph.session import materialize
 from basketgraph.sources import tables as tb
 
 # The customer the single-customer recommenders run for (a parameter of the
@@ -185,7 +186,7 @@ _ORDER_PATHS_SQL = f"""
     "J7 F6 A10 T1 K4",
 )
 def recommend_from_orders(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
-    mc = rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir))
+    mc = materialize(rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir)))
     scores = rec.order_path_scores_for(mc, F.lit(customer))
     return _recs_out(rec.top_k(scores), customer)
 
@@ -200,7 +201,7 @@ def recommend_from_orders(spark: SparkSession, sf_dir: str, customer: int = SEED
     "J7 T3",
 )
 def recommend_from_orders_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mc = rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir))
+    mc = materialize(rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir)))
     return _recs_out(rec.top_k_per_customer(rec.order_path_scores(mc)))
 
 
@@ -268,7 +269,7 @@ def recommend_from_ratings(spark: SparkSession, sf_dir: str, customer: int = SEE
 def recommend_merge_veto(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
     seed = F.lit(customer)
     fb = feedback_keys(spark, sf_dir)
-    mc = rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir))
+    mc = materialize(rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir)))
     by_orders = rec.top_k(rec.order_path_scores_for(mc, seed)).withColumn("customer_key", seed.cast("long"))
     by_ratings = rec.top_k(rec.rating_scores_for(fb, seed)).withColumn("customer_key", seed.cast("long"))
     combined = rec.combine_recommendations(by_orders, by_ratings)

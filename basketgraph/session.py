@@ -61,3 +61,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` once to the checkpoint directory and continue from the files.
+
+    For intermediates read by several branches of one plan: the branches scan
+    the written table instead of recomputing its lineage, and the data survives
+    executor loss. Partitioning is kept, so later joins on the same keys do not
+    shuffle again.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
