@@ -111,6 +111,59 @@ def graph_edges_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _edge_ids(graph_ops.rejected_edges(edges, orders, parts), "reason")
 
 
+# Snapshot for the assembly report: besides the order and product node sets
+# above, customer nodes are customers with a non-negative balance.
+_REPORT_SQL = """
+    WITH o AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus <> 'P'),
+    p AS (SELECT p_partkey AS id FROM part WHERE p_size > 10),
+    c AS (SELECT c_custkey AS id FROM customer WHERE c_acctbal >= 0),
+    e AS (
+        SELECT 'contains' AS edge_type, l_orderkey AS src, l_partkey AS dst,
+               l_orderkey IN (SELECT id FROM o) AS s_ok, l_partkey IN (SELECT id FROM p) AS d_ok FROM lineitem
+        UNION ALL
+        SELECT 'buys', o_custkey, o_orderkey, o_custkey IN (SELECT id FROM c), o_orderkey IN (SELECT id FROM o)
+        FROM orders
+        UNION ALL
+        SELECT 'feedback', o.o_custkey, l.l_partkey, o.o_custkey IN (SELECT id FROM c), l.l_partkey IN (SELECT id FROM p)
+        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)
+    SELECT edge_type,
+           CASE WHEN s_ok AND d_ok THEN 'kept' WHEN NOT s_ok AND NOT d_ok THEN 'missing_both'
+                WHEN NOT s_ok THEN 'missing_src' ELSE 'missing_dst' END AS status,
+           COUNT(*) AS n_edges
+    FROM e GROUP BY 1, 2
+"""
+
+
+@register("graph_reject_report", _REPORT_SQL, "K7 J6")
+def graph_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assemble order, product and customer nodes with three edge types; count kept and rejected edges."""
+    _, orders, parts = _integrity_inputs(spark, sf_dir)
+    customers = tb.table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0).select(
+        F.col("c_custkey").alias("id")
+    )
+    contains = contains_keys(spark, sf_dir).select(F.col("order_key").alias("src"), F.col("product_key").alias("dst"))
+    buys = buys_keys(spark, sf_dir).select(F.col("customer_key").alias("src"), F.col("order_key").alias("dst"))
+    fb = feedback_keys(spark, sf_dir).select(F.col("customer_key").alias("src"), F.col("product_key").alias("dst"))
+    graph = graph_ops.assemble_graph(
+        {"order": orders, "product": parts, "customer": customers},
+        {
+            "contains": graph_ops.EdgeSpec(contains, "order", "product"),
+            "buys": graph_ops.EdgeSpec(buys, "customer", "order"),
+            "feedback": graph_ops.EdgeSpec(fb, "customer", "product"),
+        },
+    )
+    rejected = graph.rejects.groupBy("edge_type", F.col("reason").alias("status")).agg(
+        F.count(F.lit(1)).alias("n_edges")
+    )
+    kept = None
+    for name, edges in graph.edges.items():
+        k = edges.agg(F.count(F.lit(1)).alias("n_edges")).select(
+            F.lit(name).alias("edge_type"), F.lit("kept").alias("status"), "n_edges"
+        )
+        kept = k if kept is None else kept.unionByName(k)
+    return rejected.unionByName(kept)
+
+
 # ---------------------------------------------------------------------------
 # Best sellers
 # ---------------------------------------------------------------------------
@@ -240,6 +293,27 @@ def recommend_from_ratings(spark: SparkSession, sf_dir: str, customer: int = SEE
     return _recs_out(rec.top_k(scores), customer)
 
 
+_RATING_PATHS_SQL = _RATING_SQL.replace(
+    "SELECT p2, MAX(rating) AS score FROM paths GROUP BY p2 ORDER BY score DESC, p2 LIMIT 10",
+    "SELECT p2, MAX(rating) AS score FROM "
+    "(SELECT p2, rating FROM paths ORDER BY rating DESC, p2 LIMIT 10) h GROUP BY p2",
+)
+
+
+@register(
+    "recommend_from_ratings_paths",
+    f"""
+    SELECT 'C{SEED_CUSTOMER}' AS customer_id, 'P' || CAST(p2 AS VARCHAR) AS product_id, score
+    FROM ({_RATING_PATHS_SQL}) r
+    """,
+    "J8 T2",
+)
+def recommend_from_ratings_paths(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
+    """The literal form: top 10 path rows by rating, then de-duplicated by product."""
+    scores = rec.rating_top_paths_for(feedback_keys(spark, sf_dir), F.lit(customer))
+    return _recs_out(scores, customer)
+
+
 # ---------------------------------------------------------------------------
 # Merge of both recommenders, product lookup and negative-feedback veto
 # ---------------------------------------------------------------------------

@@ -103,3 +103,12 @@ def product_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     prods = tb.products(spark, sf_dir)
     return ops.belongs_to_edges(prods, ops.category_nodes(prods))
+
+
+@register(
+    "category_nodes",
+    "SELECT DISTINCT 'CAT_' || p_type AS category_id, p_type AS categoryname FROM part WHERE length(trim(p_type)) > 0",
+    "S5 J3",
+)
+def category_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.category_nodes(tb.products(spark, sf_dir))

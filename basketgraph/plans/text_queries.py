@@ -64,6 +64,31 @@ def sentiment_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentiment_of_documents(tb.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@register(
+    "sentiment_documents_lexicon",
+    f"""SELECT doc_id, n_tokens, pos_count, neg_count, pos_score, neg_score, sentiment
+    FROM ({sentiment_sql("documents", "doc_id")}) s""",
+    "J12 S8 A11 C2",
+)
+def sentiment_documents_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scores with the lexicon as a table, joined to exploded tokens."""
+    lexicon = spark.createDataFrame(
+        [(w, sent.POSITIVE) for w in POSITIVE_WORDS] + [(w, sent.NEGATIVE) for w in NEGATIVE_WORDS],
+        "word string, polarity string",
+    )
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = sent.score_text_with_lexicon(docs, "doc_id", "text", STOP_WORDS, lexicon)
+    return scored.select(
+        "doc_id",
+        F.col("n_tokens").cast("int").alias("n_tokens"),
+        F.col("pos_count").cast("int").alias("pos_count"),
+        F.col("neg_count").cast("int").alias("neg_count"),
+        "pos_score",
+        "neg_score",
+        "sentiment",
+    )
+
+
 @register("sentiment_conversations", sentiment_sql("conversations", "conv_id, turn"), "A11 C2 X6 J12")
 def sentiment_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = tb.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
