@@ -30,12 +30,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BASKETGRAPH_DRIVER_MEMORY", "16g"))
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
-        .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
         .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={scratch}")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark)  # keeps a configured spark.checkpoint.dir; sets a local one only if unset
     return spark
 
 
