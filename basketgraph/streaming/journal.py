@@ -54,7 +54,10 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
 
 
 def read_table(spark: SparkSession, journal_path: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    journal = spark.read.parquet(journal_path).drop(BATCH_COL)
+    """The resolved table; ``order`` may use ``batch_id`` (arrival batch) as a column."""
+    journal = spark.read.parquet(journal_path)
+    if BATCH_COL not in order:
+        journal = journal.drop(BATCH_COL)
     return latest_per_key(journal, key, order)
 
 

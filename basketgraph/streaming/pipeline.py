@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from basketgraph import schemas
 from basketgraph.operators import feedback as fb_ops
 from basketgraph.operators import sentiment as sent
+from basketgraph.streaming import journal
 
 REQUIRED_FIELDS = ("customerid", "productid", "rating", "about")
 
@@ -78,3 +79,53 @@ def run_to_completion(query: StreamingQuery, timeout_sec: int = 900) -> None:
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_sec}s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+
+
+def read_lines(spark, fmt: str = "text", path: str | None = None, **options) -> DataFrame:
+    """A streaming DataFrame of raw lines in ``value``.
+
+    ``text`` over a directory by default; ``socket`` or ``kafka`` when the caller
+    chooses them (the Kafka connector must be on the classpath).
+    """
+    reader = spark.readStream.format(fmt).options(**options)
+    df = reader.load(path) if path is not None else reader.load()
+    if fmt == "kafka":
+        df = df.selectExpr("CAST(value AS STRING) AS value")
+    return df.select("value")
+
+
+def start_feedback_pipeline(
+    lines: DataFrame,
+    out_dir: str,
+    stop_words: Iterable[str],
+    positive: Iterable[str],
+    negative: Iterable[str],
+    available_now: bool = False,
+) -> list[StreamingQuery]:
+    """Validate, clean, score and label feedback lines; start three sinks under ``out_dir``.
+
+    * ``records``: every scored record as JSON lines (K3);
+    * ``daily``: the keyed journal, one document per user per day, last write wins (K2);
+    * ``dead_letters``: rejected lines with their reason.
+
+    Each sink has its own checkpoint under ``out_dir/_checkpoints``. Within one
+    micro-batch, records of one user and day are ordered by product, rating and
+    label, so the winner does not depend on arrival order inside the batch.
+    """
+    records, dead = parse_feedback_lines(lines)
+    scored = score_feedback(records, stop_words, positive, negative)
+    ck = f"{out_dir.rstrip('/')}/_checkpoints"
+    keyed = scored.select(journal.daily_key("date", "userid").alias("doc_id"), "*")
+    queries = [
+        start_json_sink(scored, f"{out_dir}/records", f"{ck}/records", available_now),
+        journal.start_journal_sink(keyed, f"{out_dir}/daily", f"{ck}/daily", available_now),
+        start_json_sink(dead, f"{out_dir}/dead_letters", f"{ck}/dead_letters", available_now),
+    ]
+    return queries
+
+
+def read_daily(spark, out_dir: str) -> DataFrame:
+    """The keyed feedback table written by ``start_feedback_pipeline``."""
+    return journal.read_table(
+        spark, f"{out_dir}/daily", ["doc_id"], [journal.BATCH_COL, "productid", "rating", "sentAnalysis"]
+    )

@@ -109,3 +109,19 @@ def test_feedback_edges_from_json(spark, tmp_path):
     assert [tuple(r) for r in edges.collect()] == [("C12", "P85", 4, "POSITIVE", 20200601)]
     assert dict(edges.dtypes)["date_key"] == "int"
     assert edges.where(F.col("rating") > 0).count() == 1
+
+
+def test_feedback_pipeline_three_sinks(spark, tmp_path):
+    from basketgraph.streaming.pipeline import read_daily, read_lines, start_feedback_pipeline
+
+    src = tmp_path / "lines"
+    _write_lines(src, "a.txt", LINES)
+    out = str(tmp_path / "pipe")
+    for q in start_feedback_pipeline(read_lines(spark, "text", str(src)), out, STOP, POS, NEG, available_now=True):
+        run_to_completion(q, 300)
+    assert spark.read.json(f"{out}/records").count() == 3
+    assert spark.read.json(f"{out}/dead_letters").count() == 3
+    daily = read_daily(spark, out)
+    # user 1 sent two records today: one document per user per day
+    assert sorted(r.userid for r in daily.collect()) == ["1", "17850"]
+    assert daily.where("userid = '1'").first().productid == "3"
