@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 # Java's \s class spelled out, so the same pattern means the same in other regex dialects.
 WHITESPACE = r" \t\n\x0B\f\r"
-NON_LETTER = rf"[^a-zA-Z{WHITESPACE}]"
-EDGE_SPACE = rf"^[{WHITESPACE}]+|[{WHITESPACE}]+$"
+# One match per run of unwanted characters, not one per character.
+NON_LETTER = rf"[^a-zA-Z{WHITESPACE}]+"
+# The same six characters, literally, for a native two-sided trim.
+WHITESPACE_CHARS = " \t\n\x0b\f\r"
 _META = set(".^$*+?()[]{}|\\-/")
 
 
@@ -42,8 +44,12 @@ def keep_letters(col: Column | str) -> Column:
 
 
 def trim_whitespace(col: Column | str) -> Column:
-    """Trim tabs and line breaks too, not only spaces (``trim`` removes spaces only)."""
-    return F.regexp_replace(_c(col), EDGE_SPACE, "")
+    """Trim tabs and line breaks too, not only spaces (plain ``trim`` removes spaces only).
+
+    After ``keep_letters`` these six characters are the only non-letters left, so
+    this equals a trim of every control character and space.
+    """
+    return F.trim(_c(col), F.lit(WHITESPACE_CHARS))
 
 
 def remove_words(col: Column | str, words: Iterable[str], literal: bool = True) -> Column:

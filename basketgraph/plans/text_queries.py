@@ -21,7 +21,8 @@ def _sql_list(words) -> str:
 def clean_sql(col: str) -> str:
     """The cleaning chain in DuckDB SQL, from the same patterns as ``functions.text``."""
     letters = f"regexp_replace({col}, '{tx.NON_LETTER}', '', 'g')"
-    trimmed = f"regexp_replace({letters}, '{tx.EDGE_SPACE}', '', 'g')"
+    chars = " || ".join(f"chr({ord(ch)})" for ch in tx.WHITESPACE_CHARS)
+    trimmed = f"trim({letters}, {chars})"
     return f"regexp_replace(lower({trimmed}), '{tx.words_pattern(STOP_WORDS)}', '', 'g')"
 
 
