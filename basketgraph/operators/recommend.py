@@ -131,9 +131,7 @@ def order_path_scores_for(mc: DataFrame, customer: Column | int) -> DataFrame:
     m = mc.select("order_key", "product_key", "m")
     on_mine = m.join(w, "product_key")  # rows of m on the customer's products
     pairs = on_mine.groupBy("order_key").agg(exact_sum(F.col("w") * F.col("m")).alias("a"))
-    triples = m.join(pairs, "order_key").groupBy("product_key").agg(
-        exact_sum(F.col("m") * F.col("a")).alias("t")
-    )
+    triples = m.join(pairs, "order_key").select("product_key", (F.col("m") * F.col("a")).alias("t"))
     deg = on_mine.groupBy("product_key").agg(exact_sum("m").alias("deg"))
     size = mine.groupBy("order_key").agg(exact_sum("m").alias("size"))
     corr = _corrections(mine, deg, size).select("product_key", "t")
@@ -165,19 +163,19 @@ def order_path_scores(mc: DataFrame, hot_order_products: int = HOT_ORDER_PRODUCT
     cooc = left.join(right, "order_key").groupBy("q", "product_key").agg(
         exact_sum(F.col("mq") * F.col("mp")).alias("c")
     )
+    # Term rows are not summed here: all three terms meet in one aggregation below.
     t_cold = (
         w.withColumnRenamed("product_key", "q")
         .join(cooc, "q")
-        .groupBy("customer_key", "product_key")
-        .agg(exact_sum(F.col("w") * F.col("c")).alias("t"))
+        .select("customer_key", "product_key", (F.col("w") * F.col("c")).alias("t"))
     )
 
     hot_m = hot.select("order_key", "product_key", "m")
     reach = w.join(hot_m, "product_key").groupBy("customer_key", "order_key").agg(
         exact_sum(F.col("w") * F.col("m")).alias("a")
     )
-    t_hot = reach.join(hot_m, "order_key").groupBy("customer_key", "product_key").agg(
-        exact_sum(F.col("a") * F.col("m")).alias("t")
+    t_hot = reach.join(hot_m, "order_key").select(
+        "customer_key", "product_key", (F.col("a") * F.col("m")).alias("t")
     )
 
     deg = mc.groupBy("product_key").agg(exact_sum("m").alias("deg"))
