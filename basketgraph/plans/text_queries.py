@@ -11,6 +11,7 @@ from basketgraph.functions.lexicon import NEGATIVE_WORDS, POSITIVE_WORDS, STOP_W
 from basketgraph.operators import feedback as fb_ops
 from basketgraph.operators import sentiment as sent
 from basketgraph.plans.registry import register
+from basketgraph.session import spread
 from basketgraph.sources import tables as tb
 
 
@@ -51,7 +52,7 @@ def sentiment_sql(table: str, id_cols: str) -> str:
     "X7 X8 X9 X10",
 )
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(tb.table(spark, sf_dir, "documents").select("doc_id", "text"))
     cleaned = docs.select("doc_id", tx.clean_text("text", STOP_WORDS).alias("clean_text"))
     return cleaned.select("doc_id", "clean_text", F.size(tx.tokens("clean_text")).alias("n_tokens"))
 
@@ -62,7 +63,7 @@ def sentiment_of_documents(docs: DataFrame) -> DataFrame:
 
 @register("sentiment_documents", sentiment_sql("documents", "doc_id"), "A11 C2 X6 J12 S8")
 def sentiment_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentiment_of_documents(tb.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return sentiment_of_documents(spread(tb.table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 @register(
@@ -77,7 +78,7 @@ def sentiment_documents_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(w, sent.POSITIVE) for w in POSITIVE_WORDS] + [(w, sent.NEGATIVE) for w in NEGATIVE_WORDS],
         "word string, polarity string",
     )
-    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(tb.table(spark, sf_dir, "documents").select("doc_id", "text"))
     scored = sent.score_text_with_lexicon(docs, "doc_id", "text", STOP_WORDS, lexicon)
     return scored.select(
         "doc_id",
@@ -92,7 +93,7 @@ def sentiment_documents_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("sentiment_conversations", sentiment_sql("conversations", "conv_id, turn"), "A11 C2 X6 J12")
 def sentiment_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = tb.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    conv = spread(tb.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
     return sent.score_text(conv, "text", STOP_WORDS, POSITIVE_WORDS, NEGATIVE_WORDS, keep=["conv_id", "turn"])
 
 

@@ -72,3 +72,15 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Round-robin ``df`` over all task slots when its scan is narrower than the cluster.
+
+    For row-local but CPU-heavy work (regex cleaning of whole texts) right after a
+    scan. A table stored as one large row group scans in one task; on a real
+    table with many files and row groups the scan already has more partitions
+    than slots and this returns ``df`` unchanged, adding no shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
