@@ -125,3 +125,21 @@ def test_feedback_pipeline_three_sinks(spark, tmp_path):
     # user 1 sent two records today: one document per user per day
     assert sorted(r.userid for r in daily.collect()) == ["1", "17850"]
     assert daily.where("userid = '1'").first().productid == "3"
+
+
+def test_journal_compaction_and_event_dates(spark, tmp_path):
+    import datetime as dt
+
+    path, out = str(tmp_path / "journal"), str(tmp_path / "compact")
+    day = dt.datetime(2024, 3, 1, 12)
+    rows = _events(spark, [(5, 1, day, 1.0), (5, 2, day.replace(hour=13), 2.0)])
+    journal.write_batch(rows.select(journal.daily_key("ts", "user_id").alias("doc_id"), "*"), 0, path)
+    journal.compact(spark, path, out, ["doc_id"], ["ts", "event_id"])
+    assert [(r.doc_id, r.value) for r in spark.read.parquet(out).collect()] == [("2024-03-01_5", 2.0)]
+
+    recs = spark.createDataFrame(
+        [("7", "9", 4, "nice one", dt.datetime(2020, 6, 1, 23, 59))],
+        "customerid string, productid string, rating int, about string, ts timestamp",
+    )
+    out_rec = score_feedback(recs, STOP, ("nice",), NEG, event_date="ts").first()
+    assert (out_rec.date, out_rec.userid, out_rec.sentAnalysis) == ("2020-06-01", "7", "POSITIVE")
