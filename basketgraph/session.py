@@ -45,7 +45,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     and is used as is. Only a session without one (a test or a local driver run)
     gets a fresh local folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -59,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("no checkpoint directory: set spark.checkpoint.dir to a shared folder")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -82,5 +87,9 @@ def spread(df):
     table with many files and row groups the scan already has more partitions
     than slots and this returns ``df`` unchanged, adding no shuffle.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < slots
+    except Exception:  # Spark Connect exposes neither; leave the plan as it is
+        return df
+    return df.repartition(slots) if narrow else df
