@@ -16,7 +16,7 @@ from basketgraph.plans.text_queries import sentiment_of_documents, sentiment_sql
 from basketgraph.session import shared_path
 from basketgraph.sources import tables as tb
 from basketgraph.streaming import journal
-from basketgraph.streaming.pipeline import run_to_completion, start_json_sink
+from basketgraph.streaming.feedback_stream import run_to_completion, start_json_sink
 
 
 def _stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Readers for the delimited and JSON files of the retail pipeline.
+"""Readers for the delimited and JSON files of the retail jobs.
 
 Every reader takes an explicit schema, uses the reader's own header handling
 (never a substring test on the line) and returns named, typed columns.

@@ -1 +1 @@
-"""Structured Streaming pipelines and sinks."""
+"""Structured Streaming jobs and sinks."""

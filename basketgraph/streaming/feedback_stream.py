@@ -94,7 +94,7 @@ def read_lines(spark, fmt: str = "text", path: str | None = None, **options) ->
     return df.select("value")
 
 
-def start_feedback_pipeline(
+def start_feedback_stream(
     lines: DataFrame,
     out_dir: str,
     stop_words: Iterable[str],
@@ -125,7 +125,7 @@ def start_feedback_pipeline(
 
 
 def read_daily(spark, out_dir: str) -> DataFrame:
-    """The keyed feedback table written by ``start_feedback_pipeline``."""
+    """The keyed feedback table written by ``start_feedback_stream``."""
     return journal.read_table(
         spark, f"{out_dir}/daily", ["doc_id"], [journal.BATCH_COL, "productid", "rating", "sentAnalysis"]
     )

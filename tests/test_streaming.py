@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from basketgraph.operators import feedback as fb_ops
 from basketgraph.streaming import journal
-from basketgraph.streaming.pipeline import parse_feedback_lines, run_to_completion, score_feedback, start_json_sink
+from basketgraph.streaming.feedback_stream import parse_feedback_lines, run_to_completion, score_feedback, start_json_sink
 
 STOP, POS, NEG = ("is", "the"), ("good",), ("bad",)
 
@@ -111,13 +111,13 @@ def test_feedback_edges_from_json(spark, tmp_path):
     assert edges.where(F.col("rating") > 0).count() == 1
 
 
-def test_feedback_pipeline_three_sinks(spark, tmp_path):
-    from basketgraph.streaming.pipeline import read_daily, read_lines, start_feedback_pipeline
+def test_feedback_stream_three_sinks(spark, tmp_path):
+    from basketgraph.streaming.feedback_stream import read_daily, read_lines, start_feedback_stream
 
     src = tmp_path / "lines"
     _write_lines(src, "a.txt", LINES)
     out = str(tmp_path / "pipe")
-    for q in start_feedback_pipeline(read_lines(spark, "text", str(src)), out, STOP, POS, NEG, available_now=True):
+    for q in start_feedback_stream(read_lines(spark, "text", str(src)), out, STOP, POS, NEG, available_now=True):
         run_to_completion(q, 300)
     assert spark.read.json(f"{out}/records").count() == 3
     assert spark.read.json(f"{out}/dead_letters").count() == 3
