@@ -7,6 +7,7 @@ the JVM (``regexp_replace``, ``split``, higher-order ``filter``); no Python UDF.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -68,6 +69,21 @@ def tokens(col: Column | str) -> Column:
     return F.filter(F.split(_c(col), " "), lambda t: t != "")
 
 
+def normalize_words(words: Iterable[str]) -> list[str]:
+    """Apply the text cleaning rule to a word list itself (letters only, trimmed, lower case).
+
+    Lexicon entries such as ``all-around`` can never equal a cleaned token; their
+    cleaned form ``allaround`` can. Runs on the driver over the word list only.
+    Entries that clean to nothing are dropped; order and first occurrence are kept.
+    """
+    out = []
+    for w in words:
+        c = re.sub(NON_LETTER, "", w).strip(WHITESPACE_CHARS).lower()
+        if c:
+            out.append(c)
+    return list(dict.fromkeys(out))
+
+
 def count_in(tokens_col: Column, words: Iterable[str]) -> Column:
     """Number of tokens found in ``words``.
 

@@ -32,11 +32,17 @@ def score_text(
     negative: Iterable[str],
     keep: Iterable[str] = (),
     literal_stop_words: bool = True,
+    normalize_lexicon: bool = True,
 ) -> DataFrame:
     """``keep`` columns plus clean_text, n_tokens, pos_count, neg_count, pos_score, neg_score, sentiment.
 
     Row-local: no shuffle, no Python; works unchanged on a streaming DataFrame.
+    With ``normalize_lexicon`` the positive and negative words are cleaned by the
+    same rule as the text (``all-around`` matches as ``allaround``); without it
+    they are matched as given, so entries with non-letters never match.
     """
+    if normalize_lexicon:
+        positive, negative = tx.normalize_words(positive), tx.normalize_words(negative)
     cleaned = df.select(*keep, tx.clean_text(text_col, stop_words, literal_stop_words).alias("clean_text"))
     toks = tx.tokens("clean_text")
     scored = cleaned.select(
@@ -71,8 +77,12 @@ def score_text_with_lexicon(
     """
     cleaned = df.select(id_col, tx.clean_text(text_col, stop_words).alias("clean_text"))
     exploded = cleaned.select(id_col, F.explode_outer(tx.tokens("clean_text")).alias("word"))
-    # One row per word, so a word on both lists does not duplicate its token.
-    lex = lexicon.groupBy("word").agg(
+    # Words cleaned by the text rule; one row per word, so a word on both lists
+    # does not duplicate its token.
+    cleaned_words = lexicon.select(
+        F.lower(tx.trim_whitespace(tx.keep_letters("word"))).alias("word"), "polarity"
+    ).where(F.length("word") > 0)
+    lex = cleaned_words.groupBy("word").agg(
         F.max(F.col("polarity") == POSITIVE).alias("is_pos"),
         F.max(F.col("polarity") == NEGATIVE).alias("is_neg"),
     )

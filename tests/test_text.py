@@ -64,3 +64,19 @@ def test_membership_is_a_hash_set(spark):
     df = spark.createDataFrame([("w1 x",)], "t string")
     plan = df.select(tx.count_in(tx.tokens("t"), words).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
     assert "INSET" in plan.upper()
+
+
+def test_lexicon_normalised_like_the_text(spark):
+    assert tx.normalize_words(["All-around", " good ", "***", "good"]) == ["allaround", "good"]
+    docs = spark.createDataFrame([(1, "An all-around winner")], "id long, text string")
+    on = sent.score_text(docs, "text", STOP, ["all-around"], NEG, keep=["id"]).first()
+    off = sent.score_text(docs, "text", STOP, ["all-around"], NEG, keep=["id"], normalize_lexicon=False).first()
+    assert (on.pos_count, on.sentiment) == (1, "POSITIVE")
+    assert (off.pos_count, off.sentiment) == (0, "NEUTRAL")
+
+
+def test_lexicon_table_is_normalised_too(spark):
+    docs = spark.createDataFrame([(1, "An all-around winner")], "id long, text string")
+    lex = spark.createDataFrame([("All-around", "POSITIVE")], "word string, polarity string")
+    r = sent.score_text_with_lexicon(docs, "id", "text", STOP, lex).first()
+    assert (r.pos_count, r.sentiment) == (1, "POSITIVE")
