@@ -115,3 +115,21 @@ def test_merge_edges_insert_if_absent(spark):
     once = g.merge_edges(existing, new)
     twice = g.merge_edges(once, new)
     assert rows(once) == rows(twice) == [("P1", "C1"), ("P2", "C1")]
+
+
+def test_latest_price_random_against_python(spark):
+    import datetime as dt
+    import random
+
+    rnd = random.Random(11)
+    obs = [
+        (rnd.randrange(20), dt.date(2020, rnd.randint(1, 4), 1), float(rnd.randint(1, 6)))
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(obs, "product_id long, price_date date, price double")
+    expect = {}
+    for k, d, p in obs:
+        if k not in expect or (d, p) > expect[k]:
+            expect[k] = (d, p)
+    got = {r.product_id: (r.price_date, r.price) for r in ops.latest_price(df).collect()}
+    assert got == expect

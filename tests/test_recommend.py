@@ -165,3 +165,30 @@ def test_best_sellers_and_flag(spark):
     products = spark.createDataFrame([(p,) for p in range(6)], "product_key long")
     flags = dict(rows(rec.with_bestseller_flag(products, top)))
     assert flags == {0: True, 1: True, 2: False, 3: False, 4: False, 5: False}
+
+
+def _brute_rating_paths(fb, seed_cust, k):
+    path_rows = []
+    for i1, (c1, p1, _, s1) in enumerate(fb):
+        if c1 != seed_cust or s1 != "POSITIVE":
+            continue
+        for i2, (c2, pp, _, s2) in enumerate(fb):
+            if i2 == i1 or pp != p1 or s2 != "POSITIVE":
+                continue
+            for i3, (c3, p3, r3, s3) in enumerate(fb):
+                if i3 not in (i1, i2) and c3 == c2 and s3 == "POSITIVE":
+                    path_rows.append((p3, r3))
+    head = sorted(path_rows, key=lambda x: (-x[1], x[0]))[:k]
+    best = {}
+    for p, r in head:
+        best[p] = max(best.get(p, 0), r)
+    return sorted(best.items())
+
+
+def test_rating_literal_form_matches_brute_force(spark):
+    fb = _random_feedback(6)
+    df = spark.createDataFrame(fb, "customer_key long, product_key long, rating int, sentiment string")
+    for cust in sorted({c for c, *_ in fb})[:10]:
+        for k in (1, 3):
+            got = rows(rec.rating_top_paths_for(df, F.lit(cust), k=k), "product_key", "score")
+            assert got == _brute_rating_paths(fb, cust, k)
