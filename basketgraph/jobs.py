@@ -84,7 +84,7 @@ def feedback_tables(records: DataFrame) -> tuple[dict[str, DataFrame], list[Data
 
 def write_tables(
     tables: Mapping[str, DataFrame], shared: list[DataFrame], out_dir: str, fmt: str = "parquet",
-    mode: str = "errorifexists",
+    mode: str = "errorifexists", single_file: bool = False,
 ) -> None:
     """Write every table under ``out_dir/<name>``; shared intermediates are cached only for the duration."""
     for df in shared:
@@ -93,7 +93,7 @@ def write_tables(
         for name, df in tables.items():
             path = f"{out_dir.rstrip('/')}/{name}"
             if fmt == "graph-csv":
-                write_graph_table(_graph_columns(name, df), path, mode=mode)
+                write_graph_table(_graph_columns(name, df), path, mode=mode, single_file=single_file)
             elif fmt == "parquet":
                 df.write.mode(mode).parquet(path)
             else:
@@ -122,6 +122,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--out", required=True)
     p.add_argument("--format", default="parquet", choices=["parquet", "graph-csv"])
     p.add_argument("--mode", default="errorifexists")
+    p.add_argument("--single-file", action="store_true", help="one part file per graph-csv table (small exports)")
     p.add_argument("--invoices")
     p.add_argument("--farmers", help="CSV with header farmer_key,farmer_name")
     p.add_argument("--prices", help="comma-separated market price files")
@@ -157,7 +158,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     else:
         records = fb.feedback_records_from_json(files.read_feedback_json(spark, a.feedback))
         tables, shared = feedback_tables(records)
-    write_tables(tables, shared, a.out, a.format, a.mode)
+    write_tables(tables, shared, a.out, a.format, a.mode, a.single_file)
     return 0
 
 

@@ -20,7 +20,9 @@ def test_orders_job_graph_csv(spark, tmp_path):
     inv = tmp_path / "retail.csv"
     inv.write_text(HEADER + "\n".join(LINES) + "\n")
     out = tmp_path / "out"
-    assert jobs.main(["orders", "--invoices", str(inv), "--out", str(out), "--format", "graph-csv"], spark=spark) == 0
+    argv = ["orders", "--invoices", str(inv), "--out", str(out), "--format", "graph-csv", "--single-file"]
+    assert jobs.main(argv, spark=spark) == 0
+    assert len([p for p in (out / "buysEdge").iterdir() if p.name.startswith("part-")]) == 1
     assert _header(out / "orderNode") == ":ID;total_price:double;total_cost:double;delivery:double"
     assert _header(out / "buysEdge") == ":START_ID;:END_ID"
     assert _header(out / "customerNode") == ":ID;name:string;age:int;gender:string"
