@@ -46,3 +46,11 @@ def test_filters_pushed_and_columns_pruned(spark):
 def test_bestseller_flag_broadcasts_bounded_side(spark):
     plan = _plan(REGISTRY["product_bestseller"].build(spark, SF))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_small_dimension_joins_broadcast_at_runtime(spark):
+    # No hint in the code: AQE measures the one-row-per-type category side and broadcasts it.
+    df = REGISTRY["product_category"].build(spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in final
