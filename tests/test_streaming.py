@@ -143,3 +143,17 @@ def test_journal_compaction_and_event_dates(spark, tmp_path):
     )
     out_rec = score_feedback(recs, STOP, ("nice",), NEG, event_date="ts").first()
     assert (out_rec.date, out_rec.userid, out_rec.sentAnalysis) == ("2020-06-01", "7", "POSITIVE")
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    src = tmp_path / "live"
+    _write_lines(src, "a.txt", LINES[:2])
+    records, _ = parse_feedback_lines(spark.readStream.format("text").load(str(src)))
+    q = start_json_sink(score_feedback(records, STOP, POS, NEG), str(tmp_path / "o"), str(tmp_path / "c"), interval="1 second")
+    try:
+        q.processAllAvailable()
+        _write_lines(src, "b.txt", LINES[2:3])  # arrives while the query runs
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.json(str(tmp_path / "o")).count() == 3
