@@ -3,9 +3,9 @@
 CLI (one verb, like the original jobs)::
 
     python -m basketgraph.jobs orders   --invoices retail.csv --out DIR [--farmers f.csv] [--format graph-csv]
-    python -m basketgraph.jobs mkt      --prices a.csv,b.csv --products ListProducts.txt --invoices retail.csv
-                                        --categories category_node.csv --municipalities m.txt --out DIR
-    python -m basketgraph.jobs feedback --feedback CustomerFeedback.json --out DIR
+    python -m basketgraph.jobs mkt      --prices a.csv,b.csv --products products.csv --invoices retail.csv
+                                        --categories categories.csv --municipalities m.txt --out DIR
+    python -m basketgraph.jobs feedback --feedback feedback.json --out DIR
 
 Intermediates shared by several outputs are persisted around the writes and
 released afterwards (G1). Outputs are parquet by default; ``graph-csv`` writes

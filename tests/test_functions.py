@@ -32,7 +32,7 @@ def test_header_fields():
 
 
 def test_word_list_reader_and_size_check(spark, tmp_path):
-    p = tmp_path / "pos-words.txt"
+    p = tmp_path / "positive.txt"
     p.write_text("good\n\n all-around \ngreat\n")
     words = read_word_list(spark, str(p))
     assert sorted(words_of(words)) == ["all-around", "good", "great"]

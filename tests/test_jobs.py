@@ -33,11 +33,11 @@ def test_orders_job_graph_csv(spark, tmp_path):
 
 
 def test_mkt_and_feedback_jobs(spark, tmp_path):
-    prices = tmp_path / "market-prices-fruit-products.csv"
+    prices = tmp_path / "prices-fruit.csv"
     prices.write_text(PRICE_HEADER + _price_row("Apple", "2020/04", "1.0") + "\n")
-    products = tmp_path / "ListProducts.txt"
+    products = tmp_path / "products.csv"
     products.write_text("ProductID,ProductName,Type\n22728,Apple,Fruit\n")
-    cats = tmp_path / "category_node.csv"
+    cats = tmp_path / "categories.csv"
     cats.write_text(":ID;categoryname:string\nCAT3;Fruit\n")
     munis = tmp_path / "municipalities.txt"
     munis.write_text("Municipality,Comarca,Province\nAbrera,Baix Llobregat,Barcelona\nBadalona,Barcelones,Barcelona\n")

@@ -18,8 +18,8 @@ def _price_row(name, month, price, n_cols=13):
 
 
 def _prices(spark, tmp_path):
-    a = tmp_path / "market-prices-fruit-products.csv"
-    b = tmp_path / "market-prices-dairy-products.csv"
+    a = tmp_path / "prices-fruit.csv"
+    b = tmp_path / "prices-dairy.csv"
     a.write_text(
         PRICE_HEADER
         + "\n".join(
@@ -39,7 +39,7 @@ def _prices(spark, tmp_path):
 
 
 def _products(spark, tmp_path):
-    p = tmp_path / "ListProducts.txt"
+    p = tmp_path / "products.csv"
     p.write_text("ProductID,ProductName,Type\n1,Apple,Fruit\n2,Pear,Fruit\n3,Milk,Dairy\n4,Cheese,Dairy\n")
     return read_product_list(spark, str(p))
 
