@@ -119,6 +119,13 @@ def _corrections(mc: DataFrame, deg: DataFrame, size: DataFrame) -> DataFrame:
     return j.select("customer_key", "product_key", t.alias("t"))
 
 
+def without_owned(scores: DataFrame, mc: DataFrame) -> DataFrame:
+    """Drop (customer, product) scores for products the customer already bought (optional, off by default)."""
+    owned = mc.select("customer_key", "product_key").distinct()
+    keys = ["customer_key", "product_key"] if "customer_key" in scores.columns else ["product_key"]
+    return scores.join(owned.select(*keys), keys, "left_anti")
+
+
 def order_path_scores_for(mc: DataFrame, customer: Column | int) -> DataFrame:
     """product_key, score for one customer: every term restricted to that customer first.
 

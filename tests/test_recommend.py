@@ -192,3 +192,17 @@ def test_rating_literal_form_matches_brute_force(spark):
         for k in (1, 3):
             got = rows(rec.rating_top_paths_for(df, F.lit(cust), k=k), "product_key", "score")
             assert got == _brute_rating_paths(fb, cust, k)
+
+
+def test_exclude_owned_option(spark):
+    buys, contains = _random_graphs(7)
+    brute = _brute_order_paths(buys, contains)
+    mc = _frames(spark, buys, contains)
+    owned = {(dict(buys)[o], p) for o, p in contains}
+    expect = sorted((c, p, s) for (c, p), s in brute.items() if s > 0 and (c, p) not in owned)
+    got = rows(rec.without_owned(rec.order_path_scores(mc), mc), "customer_key", "product_key", "score")
+    assert got == expect
+    cust = buys[0][1]
+    mine = mc.where(F.col("customer_key") == cust)
+    one = rows(rec.without_owned(rec.order_path_scores_for(mc, F.lit(cust)), mine), "product_key", "score")
+    assert one == [(p, s) for c, p, s in expect if c == cust]
