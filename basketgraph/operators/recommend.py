@@ -37,6 +37,10 @@ HOT_ORDER_PRODUCTS = 1000
 POSITIVE = "POSITIVE"
 NEGATIVE = "NEGATIVE"
 
+# Largest one-customer side (products of that customer) shipped to every task;
+# a larger side is shuffle-joined instead.
+SEED_BROADCAST_ROWS = 1_000_000
+
 
 # ---------------------------------------------------------------------------
 # Shared inputs
@@ -55,6 +59,15 @@ def exact_sum(col: Column | str) -> Column:
     return F.when(s.isNull() & (F.count(col) > 0), F.raise_error(F.lit("path count overflow"))).otherwise(s)
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = SEED_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is at most ``max_rows``, else ``df`` (shuffle join).
+
+    For sides derived from one customer: usually tiny, but not bounded by
+    construction, so the count is checked before anything is broadcast.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def order_product_counts(contains: DataFrame, buys: DataFrame) -> DataFrame:
     """order_key, customer_key, product_key, m: parallel ``contains`` edges counted.
 
@@ -129,14 +142,15 @@ def without_owned(scores: DataFrame, mc: DataFrame) -> DataFrame:
 def order_path_scores_for(mc: DataFrame, customer: Column | int) -> DataFrame:
     """product_key, score for one customer: every term restricted to that customer first.
 
-    ``mc`` is ``order_product_counts``. Joins against the customer's products are
-    small on one side and go broadcast when AQE measures them small; the join on
-    orders sharing a product moves one row per such order.
+    ``mc`` is ``order_product_counts``. The customer's product weights are
+    broadcast after a size check, so the full multiplicity table is never
+    shuffled to meet them; the join on orders sharing a product moves one row
+    per such order.
     """
     mine = mc.where(F.col("customer_key") == customer)
-    w = mine.groupBy("product_key").agg(exact_sum("m").alias("w"))
+    w = broadcast_if_small(mine.groupBy("product_key").agg(exact_sum("m").alias("w")))
     m = mc.select("order_key", "product_key", "m")
-    on_mine = m.join(w, "product_key")  # rows of m on the customer's products
+    on_mine = m.join(w, "product_key")  # rows of m on the customer's products; m is not shuffled
     pairs = on_mine.groupBy("order_key").agg(exact_sum(F.col("w") * F.col("m")).alias("a"))
     triples = m.join(pairs, "order_key").select("product_key", (F.col("m") * F.col("a")).alias("t"))
     deg = on_mine.groupBy("product_key").agg(exact_sum("m").alias("deg"))
@@ -212,7 +226,7 @@ def rating_path_candidates(feedback: DataFrame, customer: Column | int, sentimen
     """
     pos = feedback.where(F.col("sentiment") == sentiment).select("customer_key", "product_key", "rating")
     me = F.col("customer_key") == customer
-    w1 = pos.where(me).groupBy("product_key").agg(F.count(F.lit(1)).alias("w1"))
+    w1 = broadcast_if_small(pos.where(me).groupBy("product_key").agg(F.count(F.lit(1)).alias("w1")))
     shared = pos.join(w1, "product_key").groupBy("customer_key").agg(
         exact_sum("w1").alias("u"),
         exact_sum(F.when(me, F.lit(1)).otherwise(F.lit(0))).alias("n_self"),

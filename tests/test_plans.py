@@ -54,3 +54,8 @@ def test_small_dimension_joins_broadcast_at_runtime(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in final
+
+
+def test_seed_side_is_broadcast_after_size_check(spark):
+    df = REGISTRY["recommend_from_orders"].build(spark, SF)
+    assert "BroadcastHashJoin" in df._jdf.queryExecution().sparkPlan().toString()
