@@ -206,3 +206,20 @@ def test_exclude_owned_option(spark):
     mine = mc.where(F.col("customer_key") == cust)
     one = rows(rec.without_owned(rec.order_path_scores_for(mc, F.lit(cust)), mine), "product_key", "score")
     assert one == [(p, s) for c, p, s in expect if c == cust]
+
+
+def test_skewed_graph_hot_customer_and_hot_product(spark):
+    rnd = random.Random(21)
+    buys, contains = [], []
+    for o in range(60):
+        cust = 1 if o < 20 else 2 + rnd.randrange(10)  # customer 1 owns a third of the orders
+        buys.append((o, cust))
+        contains.append((o, 999))  # product 999 is in every order
+        for _ in range(rnd.randint(1, 3)):
+            contains.append((o, rnd.randrange(12)))
+    brute = _brute_order_paths(buys, contains)
+    mc = _frames(spark, buys, contains)
+    expect = sorted((c, p, s) for (c, p), s in brute.items() if s > 0)
+    for hot in (rec.HOT_ORDER_PRODUCTS, 2):
+        assert rows(rec.order_path_scores(mc, hot), "customer_key", "product_key", "score") == expect
+    assert rows(rec.order_path_scores_for(mc, F.lit(1)), "product_key", "score") == [(p, s) for c, p, s in expect if c == 1]
