@@ -30,20 +30,29 @@ def valid_edges(
     return out.join(_node_keys(dst_nodes, node_col, dst_col), dst_col, "left_semi").select(edges.columns)
 
 
-def rejected_edges(
+def flag_edges(
     edges: DataFrame, src_nodes: DataFrame, dst_nodes: DataFrame,
     src_col: str = "src", dst_col: str = "dst", node_col: str = "id",
 ) -> DataFrame:
-    """Edges with a missing end plus ``reason``; with ``valid_edges`` they sum to the input."""
+    """Edge columns plus ``reason``: null when both ends exist, else which end is missing."""
     s = _node_keys(src_nodes, node_col, src_col).withColumn("_src_ok", F.lit(True))
     d = _node_keys(dst_nodes, node_col, dst_col).withColumn("_dst_ok", F.lit(True))
     j = edges.join(s, src_col, "left").join(d, dst_col, "left")
     src_ok = F.col("_src_ok").isNotNull()
     dst_ok = F.col("_dst_ok").isNotNull()
     reason = (
-        F.when(~src_ok & ~dst_ok, MISSING_BOTH).when(~src_ok, MISSING_SRC).otherwise(MISSING_DST)
+        F.when(~src_ok & ~dst_ok, MISSING_BOTH).when(~src_ok, MISSING_SRC).when(~dst_ok, MISSING_DST)
     )
-    return j.where(~(src_ok & dst_ok)).select(*edges.columns, reason.alias("reason"))
+    return j.select(*edges.columns, reason.alias("reason"))
+
+
+def rejected_edges(
+    edges: DataFrame, src_nodes: DataFrame, dst_nodes: DataFrame,
+    src_col: str = "src", dst_col: str = "dst", node_col: str = "id",
+) -> DataFrame:
+    """Edges with a missing end plus ``reason``; with ``valid_edges`` they sum to the input."""
+    flagged = flag_edges(edges, src_nodes, dst_nodes, src_col, dst_col, node_col)
+    return flagged.where(F.col("reason").isNotNull())
 
 
 def merge_edges(existing: DataFrame, new: DataFrame, keys: Sequence[str] = ("src", "dst")) -> DataFrame:
@@ -81,10 +90,12 @@ def assemble_graph(nodes: Mapping[str, DataFrame], edges: Mapping[str, EdgeSpec]
     """
     kept, rejects = {}, []
     for name, spec in edges.items():
-        src_nodes, dst_nodes = nodes[spec.src_label], nodes[spec.dst_label]
-        kept[name] = valid_edges(spec.edges, src_nodes, dst_nodes)
+        # One flagged pass per edge type feeds both outputs; the identical join
+        # subtrees are planned once and their shuffles reused.
+        flagged = flag_edges(spec.edges, nodes[spec.src_label], nodes[spec.dst_label])
+        kept[name] = flagged.where(F.col("reason").isNull()).select(spec.edges.columns)
         rejects.append(
-            rejected_edges(spec.edges.select("src", "dst"), src_nodes, dst_nodes).select(
+            flagged.where(F.col("reason").isNotNull()).select(
                 F.lit(name).alias("edge_type"), "src", "dst", "reason"
             )
         )
