@@ -6,6 +6,9 @@ CLI (one verb, like the original jobs)::
     python -m basketgraph.jobs mkt      --prices a.csv,b.csv --products products.csv --invoices retail.csv
                                         --categories categories.csv --municipalities m.txt --out DIR
     python -m basketgraph.jobs feedback --feedback feedback.json --out DIR
+    python -m basketgraph.jobs stream   --lines DIR --stop s.txt --positive p.txt --negative n.txt --out DIR
+                                        [--available-now] [--source-format text|socket|kafka --option k=v ...]
+    python -m basketgraph.jobs compact  --journal DIR/daily --out DIR2
 
 Intermediates shared by several outputs are persisted around the writes and
 released afterwards (G1). Outputs are parquet by default; ``graph-csv`` writes
@@ -25,7 +28,9 @@ from pyspark.sql import functions as F
 from basketgraph.operators import assign, orders, prices
 from basketgraph.operators import feedback as fb
 from basketgraph.sources import files
+from basketgraph.functions.lexicon import words_of
 from basketgraph.sources.graph_files import read_graph_table, write_graph_table
+from basketgraph.streaming import feedback_stream, journal
 
 # Size of the default farmer table.
 DEFAULT_FARMERS = 50
@@ -118,7 +123,7 @@ def _categories(spark: SparkSession, path: str) -> DataFrame:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="basketgraph.jobs")
-    p.add_argument("job", choices=["orders", "mkt", "feedback"])
+    p.add_argument("job", choices=["orders", "mkt", "feedback", "stream", "compact"])
     p.add_argument("--out", required=True)
     p.add_argument("--format", default="parquet", choices=["parquet", "graph-csv"])
     p.add_argument("--mode", default="errorifexists")
@@ -130,9 +135,26 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--categories")
     p.add_argument("--municipalities")
     p.add_argument("--feedback")
+    p.add_argument("--lines", help="stream source path (text format) or omitted for socket/kafka")
+    p.add_argument("--source-format", default="text")
+    p.add_argument("--option", action="append", default=[], help="source option key=value, repeatable")
+    p.add_argument("--stop")
+    p.add_argument("--positive")
+    p.add_argument("--negative")
+    p.add_argument("--available-now", action="store_true")
+    p.add_argument("--timeout", type=int, default=0, help="seconds to run a continuous stream; 0 = until stopped")
+    p.add_argument("--journal")
     a = p.parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
 
+    if a.job == "stream":
+        return _run_stream(spark, a)
+    if a.job == "compact":
+        journal.compact(
+            spark, a.journal, a.out, ["doc_id"], [journal.BATCH_COL, "productid", "rating", "sentAnalysis"]
+        )
+        return 0
+
     farmers = (
         spark.read.option("header", True).schema("farmer_key long, farmer_name string").csv(a.farmers)
         if a.farmers else default_farmers(spark)
@@ -162,6 +184,22 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     return 0
 
 
+def _run_stream(spark: SparkSession, a) -> int:
+    """The feedback stream: lines -> validated, scored records -> JSON, keyed daily table, dead letters."""
+    options = dict(kv.split("=", 1) for kv in a.option)
+    lines = feedback_stream.read_lines(spark, a.source_format, a.lines, **options)
+    lists = [words_of(files.read_word_list(spark, path)) for path in (a.stop, a.positive, a.negative)]
+    queries = feedback_stream.start_feedback_stream(lines, a.out, *lists, available_now=a.available_now)
+    if a.available_now:
+        for q in queries:
+            feedback_stream.run_to_completion(q)
+    else:
+        spark.streams.awaitAnyTermination(a.timeout or None)
+        for q in queries:
+            q.stop()
+    return 0
+
+
 if __name__ == "__main__":
     sys.exit(main())
 

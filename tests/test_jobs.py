@@ -57,3 +57,24 @@ def test_mkt_and_feedback_jobs(spark, tmp_path):
     fb.write_text(json.dumps({"date": "2020-06-01", "userid": "1", "productid": "2", "rating": 4, "sentAnalysis": "NEUTRAL"}) + "\n")
     assert jobs.main(["feedback", "--feedback", str(fb), "--out", str(tmp_path / "fbout")], spark=spark) == 0
     assert spark.read.parquet(str(tmp_path / "fbout" / "feedbackEdge")).count() == 1
+
+
+def test_stream_and_compact_jobs(spark, tmp_path):
+    src = tmp_path / "lines"
+    src.mkdir()
+    lines = [
+        json.dumps({"customerid": "1", "productid": "2", "rating": 5, "about": "good good", "product": "x"}),
+        json.dumps({"customerid": "1", "productid": "3", "rating": 1, "about": "bad", "product": "y"}),
+        "not json",
+    ]
+    (src / "a.txt").write_text("\n".join(lines) + "\n")
+    for name, words in (("stop.txt", "the\n"), ("pos.txt", "good\n"), ("neg.txt", "bad\n")):
+        (tmp_path / name).write_text(words)
+    out = tmp_path / "fb"
+    argv = ["stream", "--lines", str(src), "--stop", str(tmp_path / "stop.txt"), "--positive", str(tmp_path / "pos.txt"),
+            "--negative", str(tmp_path / "neg.txt"), "--out", str(out), "--available-now"]
+    assert jobs.main(argv, spark=spark) == 0
+    assert spark.read.json(str(out / "records")).count() == 2
+    assert spark.read.json(str(out / "dead_letters")).count() == 1
+    assert jobs.main(["compact", "--journal", str(out / "daily"), "--out", str(tmp_path / "daily_compact")], spark=spark) == 0
+    assert spark.read.parquet(str(tmp_path / "daily_compact")).count() == 1  # one user, one day
