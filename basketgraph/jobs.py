@@ -84,7 +84,8 @@ def market_tables(
 
 
 def feedback_tables(records: DataFrame) -> tuple[dict[str, DataFrame], list[DataFrame]]:
-    return {"feedbackEdge": fb.feedback_edges(records)}, []
+    # The exported property is named ``date`` as in the graph's feedback edge header.
+    return {"feedbackEdge": fb.feedback_edges(records).withColumnRenamed("date_key", "date")}, []
 
 
 def write_tables(

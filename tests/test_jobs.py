@@ -57,6 +57,9 @@ def test_mkt_and_feedback_jobs(spark, tmp_path):
     fb.write_text(json.dumps({"date": "2020-06-01", "userid": "1", "productid": "2", "rating": 4, "sentAnalysis": "NEUTRAL"}) + "\n")
     assert jobs.main(["feedback", "--feedback", str(fb), "--out", str(tmp_path / "fbout")], spark=spark) == 0
     assert spark.read.parquet(str(tmp_path / "fbout" / "feedbackEdge")).count() == 1
+    argv = ["feedback", "--feedback", str(fb), "--out", str(tmp_path / "fbcsv"), "--format", "graph-csv"]
+    assert jobs.main(argv, spark=spark) == 0
+    assert _header(tmp_path / "fbcsv" / "feedbackEdge") == ":START_ID;:END_ID;rating:int;sentimentalAnalysis:string;date:int"
 
 
 def test_stream_and_compact_jobs(spark, tmp_path):
