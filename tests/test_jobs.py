@@ -26,6 +26,9 @@ def test_orders_job_graph_csv(spark, tmp_path):
     assert _header(out / "orderNode") == ":ID;total_price:double;total_cost:double;delivery:double"
     assert _header(out / "buysEdge") == ":START_ID;:END_ID"
     assert _header(out / "customerNode") == ":ID;name:string;age:int;gender:string"
+    assert _header(out / "containsEdge") == ":START_ID;:END_ID;quantity:int;unitprice:double;costprice:double"
+    assert _header(out / "classifiedasEdge") == ":START_ID;:END_ID"
+    assert _header(out / "segmentNode") == ":ID;segmentName:string"
     buys = read_graph_table(spark, str(out / "buysEdge"))
     assert buys.count() == 3
     supplied = read_graph_table(spark, str(out / "suppliedbyEdge")).collect()
@@ -44,12 +47,17 @@ def test_mkt_and_feedback_jobs(spark, tmp_path):
     inv = tmp_path / "retail.csv"
     inv.write_text(HEADER + "\n".join(LINES) + "\n")
     out = tmp_path / "mkt"
+    csv_out = tmp_path / "mktcsv"
     argv = ["mkt", "--prices", str(prices), "--products", str(products), "--categories", str(cats),
             "--municipalities", str(munis), "--invoices", str(inv), "--out", str(out)]
     assert jobs.main(argv, spark=spark) == 0
     nodes = {r.product_id: r for r in spark.read.parquet(str(out / "productNode")).collect()}
     assert nodes["P22728"].nameproduct == "Apple" and nodes["P22728"].marketpriceEU == 1.0
     assert [tuple(r) for r in spark.read.parquet(str(out / "belongstoEdge")).collect()] == [("P22728", "CAT3")]
+    assert jobs.main(argv[:-1] + [str(csv_out), "--format", "graph-csv"], spark=spark) == 0
+    assert _header(csv_out / "productNode") == ":ID;nameproduct:string;marketpriceEU:double"
+    assert _header(csv_out / "priceInDateEdge") == ":START_ID;:END_ID;marketpriceEU:double"
+    assert _header(csv_out / "farmerNode") == ":ID;farmername:string;location:string;experience:int"
     farmers = spark.read.parquet(str(out / "farmerNode")).collect()
     assert len(farmers) == jobs.DEFAULT_FARMERS and {r.location for r in farmers} <= {"Abrera", "Badalona"}
 
