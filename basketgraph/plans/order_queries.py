@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from basketgraph.operators import calendar
 from basketgraph.operators import orders as ops
 from basketgraph.plans.registry import register
 from basketgraph.sources import tables as tb
@@ -109,3 +111,32 @@ def distinct_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = ops.customer_invoices(tb.invoice_lines(spark, sf_dir), tb.invoices(spark, sf_dir))
     return ops.customer_segments(pairs)
+
+
+@register(
+    "date_nodes",
+    """
+    WITH refs AS (
+        SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem
+        UNION ALL SELECT CAST(date_trunc('month', l_shipdate) AS DATE) FROM lineitem
+        UNION ALL SELECT CAST(o_orderdate AS DATE) FROM orders),
+    b AS (SELECT MIN(d) AS lo, MAX(d) AS hi FROM refs),
+    days AS (SELECT CAST(g.generate_series AS DATE) AS day FROM b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) g)
+    SELECT strftime(day, '%Y%m%d') AS id, CAST(year(day) AS INTEGER) AS year, CAST(quarter(day) AS INTEGER) AS quarter,
+           CAST(month(day) AS INTEGER) AS month, CAST(day(day) AS INTEGER) AS day,
+           CAST(dayofyear(day) AS INTEGER) AS day_of_year, CAST(week(day) AS INTEGER) AS iso_week,
+           CAST(isodow(day) AS INTEGER) AS iso_weekday, isodow(day) >= 6 AS is_weekend,
+           monthname(day) AS month_name, dayname(day) AS day_name
+    FROM days
+    """,
+    "date label (S10)",
+)
+def date_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day referenced by in_date (line dates), price_in_date (price months) and feedback (order dates)."""
+    li = tb.table(spark, sf_dir, "lineitem").select("l_shipdate")
+    refs = (
+        li.select(F.col("l_shipdate").cast("date").alias("d"))
+        .unionByName(li.select(F.trunc(F.col("l_shipdate").cast("date"), "month").alias("d")))
+        .unionByName(tb.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d")))
+    )
+    return calendar.date_nodes(refs)

@@ -62,3 +62,16 @@ def test_dense_index_and_stable_pick(spark):
     again = spark.range(2000).repartition(7).select("id", assign.stable_pick("id", "s", 10).alias("p"))
     first = dict(spark.range(2000).select("id", assign.stable_pick("id", "s", 10).alias("p")).collect())
     assert all(first[r.id] == r.p for r in again.collect())
+
+
+def test_date_nodes_cover_the_range(spark):
+    import datetime as dt
+
+    from basketgraph.operators.calendar import date_nodes
+
+    refs = spark.createDataFrame([(dt.date(2024, 1, 6),), (dt.date(2023, 12, 30),)], "d date")
+    nodes = {r.id: r for r in date_nodes(refs).collect()}
+    assert sorted(nodes) == ["20231230", "20231231", "20240101", "20240102", "20240103", "20240104", "20240105", "20240106"]
+    sat = nodes["20240106"]
+    assert (sat.iso_weekday, sat.is_weekend, sat.day_name, sat.iso_week, sat.quarter) == (6, True, "Saturday", 1, 1)
+    assert len(sat) == 11  # id and ten properties
