@@ -9,6 +9,7 @@ CLI (one verb, like the original jobs)::
     python -m basketgraph.jobs stream   --lines DIR --stop s.txt --positive p.txt --negative n.txt --out DIR
                                         [--available-now] [--source-format text|socket|kafka --option k=v ...]
     python -m basketgraph.jobs compact  --journal DIR/daily --out DIR2
+    python -m basketgraph.jobs dates    --out DIR [--format graph-csv]   (after the other jobs wrote DIR)
 
 Intermediates shared by several outputs are persisted around the writes and
 released afterwards (G1). Outputs are parquet by default; ``graph-csv`` writes
@@ -22,10 +23,11 @@ import sys
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketgraph.operators import assign, orders, prices
+from basketgraph.operators import assign, calendar, orders, prices
 from basketgraph.operators import feedback as fb
 from basketgraph.sources import files
 from basketgraph.functions.lexicon import words_of
@@ -88,6 +90,28 @@ def feedback_tables(records: DataFrame) -> tuple[dict[str, DataFrame], list[Data
     return {"feedbackEdge": fb.feedback_edges(records).withColumnRenamed("date_key", "date")}, []
 
 
+# Edge tables written by the other jobs that point at day ids, and their date column.
+DATE_EDGES = (("indateEdge", "date_id", "dst"), ("priceInDateEdge", "date_id", "dst"), ("feedbackEdge", "date", "date"))
+
+
+def date_tables(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> DataFrame:
+    """Date nodes covering every day id referenced by the date-bearing edge tables under ``out_dir``."""
+    refs = None
+    for name, parquet_col, csv_col in DATE_EDGES:
+        path = f"{out_dir.rstrip('/')}/{name}"
+        try:
+            df = read_graph_table(spark, path) if fmt == "graph-csv" else spark.read.parquet(path)
+            col = csv_col if fmt == "graph-csv" else parquet_col
+            day = F.to_date(F.col(col).cast("string"), "yyyyMMdd").alias("d")
+            df = df.select(day)
+        except AnalysisException:  # that job has not run (no such path); its dates are not referenced
+            continue
+        refs = df if refs is None else refs.unionByName(df)
+    if refs is None:
+        raise ValueError(f"no date-bearing edge tables under {out_dir}")
+    return calendar.date_nodes(refs)
+
+
 def write_tables(
     tables: Mapping[str, DataFrame], shared: list[DataFrame], out_dir: str, fmt: str = "parquet",
     mode: str = "errorifexists", single_file: bool = False,
@@ -124,7 +148,7 @@ def _categories(spark: SparkSession, path: str) -> DataFrame:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="basketgraph.jobs")
-    p.add_argument("job", choices=["orders", "mkt", "feedback", "stream", "compact"])
+    p.add_argument("job", choices=["orders", "mkt", "feedback", "stream", "compact", "dates"])
     p.add_argument("--out", required=True)
     p.add_argument("--format", default="parquet", choices=["parquet", "graph-csv"])
     p.add_argument("--mode", default="errorifexists")
@@ -150,6 +174,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     if a.job == "stream":
         return _run_stream(spark, a)
+    if a.job == "dates":
+        tables = {"dateNode": date_tables(spark, a.out, a.format)}
+        write_tables(tables, [], a.out, a.format, a.mode, a.single_file)
+        return 0
     if a.job == "compact":
         journal.compact(
             spark, a.journal, a.out, ["doc_id"], [journal.BATCH_COL, "productid", "rating", "sentAnalysis"]

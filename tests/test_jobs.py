@@ -89,3 +89,18 @@ def test_stream_and_compact_jobs(spark, tmp_path):
     assert spark.read.json(str(out / "dead_letters")).count() == 1
     assert jobs.main(["compact", "--journal", str(out / "daily"), "--out", str(tmp_path / "daily_compact")], spark=spark) == 0
     assert spark.read.parquet(str(tmp_path / "daily_compact")).count() == 1  # one user, one day
+
+
+def test_dates_job_covers_written_edges(spark, tmp_path):
+    inv = tmp_path / "retail.csv"
+    inv.write_text(HEADER + "\n".join(LINES) + "\n")
+    fb = tmp_path / "fb.json"
+    fb.write_text(json.dumps({"date": "2010-12-05", "userid": "1", "productid": "2", "rating": 4, "sentAnalysis": "NEUTRAL"}) + "\n")
+    for fmt in ("parquet", "graph-csv"):
+        out = tmp_path / f"graph-{fmt}"
+        assert jobs.main(["orders", "--invoices", str(inv), "--out", str(out), "--format", fmt], spark=spark) == 0
+        assert jobs.main(["feedback", "--feedback", str(fb), "--out", str(out), "--format", fmt], spark=spark) == 0
+        assert jobs.main(["dates", "--out", str(out), "--format", fmt], spark=spark) == 0
+        nodes = read_graph_table(spark, str(out / "dateNode")) if fmt == "graph-csv" else spark.read.parquet(str(out / "dateNode"))
+        ids = sorted(r.id for r in nodes.collect())
+        assert ids == ["20101201", "20101202", "20101203", "20101204", "20101205"]
