@@ -104,3 +104,23 @@ def test_dates_job_covers_written_edges(spark, tmp_path):
         nodes = read_graph_table(spark, str(out / "dateNode")) if fmt == "graph-csv" else spark.read.parquet(str(out / "dateNode"))
         ids = sorted(r.id for r in nodes.collect())
         assert ids == ["20101201", "20101202", "20101203", "20101204", "20101205"]
+
+
+def test_cli_runs_as_a_process(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    fb = tmp_path / "fb.json"
+    fb.write_text(json.dumps({"date": "2020-06-01", "userid": "12", "productid": "85", "rating": 4, "sentAnalysis": "POSITIVE"}) + "\n")
+    out = tmp_path / "out"
+    repo = Path(__file__).resolve().parents[1]
+    cmd = [sys.executable, "-m", "basketgraph.jobs", "feedback", "--feedback", str(fb), "--out", str(out),
+           "--format", "graph-csv", "--single-file"]
+    done = subprocess.run(cmd, cwd=repo, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    part = next(p for p in (out / "feedbackEdge").iterdir() if p.name.startswith("part-"))
+    assert part.read_text().splitlines() == [
+        ":START_ID;:END_ID;rating:int;sentimentalAnalysis:string;date:int",
+        "C12;P85;4;POSITIVE;20200601",
+    ]
