@@ -126,7 +126,7 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("l_orderkey").alias("edge_order"),
         F.col("l_linenumber").alias("edge_line"),
-        (F.pmod(F.col("l_quantity").cast("int"), F.lit(RATING_LEVELS)) + 1).alias("rating"),
+        (F.pmod(F.col("l_quantity").try_cast("int"), F.lit(RATING_LEVELS)) + 1).alias("rating"),
         sentiment_of_flag(F.col("l_returnflag")).alias("sentiment"),
         F.col("o_orderdate").cast("date").alias("feedback_date"),
     )
