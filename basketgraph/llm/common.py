@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-import re
+import os
 
 import numpy as np
 import pandas as pd
@@ -117,6 +117,9 @@ def make_dirs(spark: SparkSession, uri: str) -> None:
     path(uri).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path(uri))
 
 
+_TOKENIZERS: dict = {}
+
+
 class CachedTokenizer:
     """Ids of whole texts by the tokenizers library, encoding each distinct word chunk once.
 
@@ -128,10 +131,9 @@ class CachedTokenizer:
     text are ordinary text.
     """
 
-    OTHER_SPACE = re.compile("[^\\S \\t\\n\\r]|[\\u180e\\u200b\\ufeff]")
-    CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+$")
-
-    def __init__(self, path: str, space_joins_next: bool, max_cached: int = 400_000):
+    OTHER_SPACE = r"[\x00\x01\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
+    def __init__(self, path: str, space_joins_next: bool, max_cached: int = 1_000_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -147,36 +149,73 @@ class CachedTokenizer:
         self.flat = np.zeros(4096, np.uint32)
         self.used = 0
 
-    def _learn(self, new: list[str]) -> None:
-        for enc, chunk in zip(self.tok.encode_batch(new, add_special_tokens=False), new, strict=True):
-            ids = np.asarray(enc.ids, np.uint32)
-            k = len(self.at)
-            if k == len(self.size):
-                self.size, self.start = np.resize(self.size, 2 * k), np.resize(self.start, 2 * k)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.start[k], self.size[k] = self.used, len(ids)
-            self.used += len(ids)
-            self.at[chunk] = k
+    @classmethod
+    def shared(cls, path: str, space_joins_next: bool) -> CachedTokenizer:
+        """One instance per worker process, so that a reused worker keeps what earlier tasks have encoded."""
+        key = (path, space_joins_next)
+        if key not in _TOKENIZERS:
+            _TOKENIZERS[key] = cls(path, space_joins_next)
+        return _TOKENIZERS[key]
 
-    def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if self.OTHER_SPACE.search(text):
-            return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
-        chunks = self.CHUNK.findall(text) if self.joins else text.split()
+    def _learn(self, new: list[str]) -> None:
+        # a chunk with white space at its head can follow another one directly, one without is set apart by a space that gives no token
+        alone = [c for c in new if self.joins and c[0] not in " \t\n\r" or not c.strip(" \t\n\r")]
+        single = set(alone)
+        together = [c for c in new if c not in single]
+        for enc, chunk in zip(self.tok.encode_batch_fast(alone, add_special_tokens=False), alone, strict=True):
+            self._add([chunk], np.asarray(enc.ids, np.uint32), np.array([len(enc.ids)]))
+        gap = "" if self.joins else " "
+        for k in range(0, len(together), 256):
+            part = together[k : k + 256]
+            enc = self.tok.encode(gap.join(part), add_special_tokens=False)
+            ends = np.cumsum([len(c) + len(gap) for c in part])
+            begin = np.fromiter((o[0] for o in enc.offsets), np.int64, len(enc.ids))
+            self._add(part, np.asarray(enc.ids, np.uint32), np.bincount(np.searchsorted(ends, begin, side="right"), minlength=len(part)))
+
+    def _add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        k, n = len(self.at), len(chunks)
+        while k + n > len(self.size):
+            self.size, self.start = np.resize(self.size, 2 * len(self.size)), np.resize(self.start, 2 * len(self.start))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.size[k : k + n] = sizes
+        self.start[k : k + n] = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        self.at.update(zip(chunks, range(k, k + n), strict=True))
+
+    def encode_many(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each text has."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = [t or "" for t in texts]
+        odd = np.flatnonzero(pc.match_substring_regex(pa.array(texts, pa.large_string()), pattern=self.OTHER_SPACE).to_numpy(zero_copy_only=False)).tolist()
+        whole = {k: np.asarray(self.tok.encode(texts[k], add_special_tokens=False).ids, np.uint32) for k in odd}
+        plain = pa.array(["" if k in whole else t for k, t in enumerate(texts)], pa.large_string())
+        if self.joins:
+            marked = pc.replace_substring_regex(plain, pattern=r"([^ \t\n\r])([ \t\n\r])", replacement="\\1\x01\\2")
+            lists = pc.split_pattern(marked, pattern="\x01")
+        else:
+            lists = pc.ascii_split_whitespace(plain)
+        coded = lists.values.dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
         if len(self.at) > self.max_cached:
             self._reset()
         at = self.at
-        try:
-            rows = np.fromiter(map(at.__getitem__, chunks), np.int64, len(chunks))
-        except KeyError:
-            self._learn(list(dict.fromkeys(c for c in chunks if c not in at)))
-            rows = np.fromiter(map(at.__getitem__, chunks), np.int64, len(chunks))
-        size = self.size[rows]
+        self._learn([c for c in chunks if c not in at and c])
+        row = np.fromiter((at[c] if c else -1 for c in chunks), np.int64, len(chunks))
+        size_of = np.where(row < 0, 0, self.size[row])
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        size = size_of[code]
         end = np.cumsum(size)
-        if not len(end) or not end[-1]:
-            return np.zeros(0, np.uint32)
-        take = np.arange(end[-1], dtype=np.int64) + np.repeat(self.start[rows] - (end - size), size)
-        return self.flat[take]
+        total = int(end[-1]) if len(end) else 0
+        flat = self.flat[np.arange(total, dtype=np.int64) + np.repeat(self.start[row[code]] - (end - size), size)]
+        upto = np.r_[0, end][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        if not whole:
+            return flat, np.diff(upto)
+        parts = [whole.get(k, flat[upto[k] : upto[k + 1]]) for k in range(len(texts))]
+        return np.concatenate(parts) if parts else flat, np.array([len(x) for x in parts], np.int64)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_many([text])[0]
