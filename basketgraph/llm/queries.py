@@ -1,6 +1,6 @@
 """Imports every operator module, which registers its query."""
 
-from basketgraph.llm import op1_warc, op2_decontaminate, op3_repair, op6_quality, op8_packing, op10_chat  # noqa: F401
+from basketgraph.llm import op1_warc, op2_decontaminate, op3_repair, op6_quality, op7_fingerprint, op8_packing, op10_chat  # noqa: F401
 from basketgraph.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
