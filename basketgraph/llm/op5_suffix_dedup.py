@@ -204,9 +204,11 @@ def _digest(window: bytes) -> tuple[int, int]:
 
 def _intervals(doc: np.ndarray, pos: np.ndarray) -> pd.DataFrame:
     """Neighbouring window starts of a document as one stretch of windows."""
+    if not len(doc):
+        return pd.DataFrame({"doc": doc, "start": pos, "n": pos})
     order = np.lexsort((pos, doc))
     doc, pos = doc[order], pos[order]
-    head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (pos[1:] > pos[:-1] + 1)]) if len(doc) else np.zeros(0, np.int64)
+    head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (pos[1:] > pos[:-1] + 1)])
     tail = np.append(head[1:], len(doc)) - 1
     return pd.DataFrame({"doc": doc[head], "start": pos[head], "n": pos[tail] - pos[head] + 1})
 
