@@ -38,6 +38,8 @@ THRESHOLD = 0.85
 SKETCH = 128
 TREES, FIRST_DEPTH, LAST_DEPTH = 14, 3, 9
 LEAF, BLOCK = 128, 96
+#: A large node that kept this share of its parent is dealt into blocks rather than branched on.
+TIGHT = 0.6
 #: Least equal minwise values of a candidate: five standard deviations below the mean at the threshold.
 LEAST_EQUAL = 88
 BUFFER = 1 << 20
@@ -152,9 +154,9 @@ def next_nodes(nodes: DataFrame) -> DataFrame:
         for batch in batches:
             values = np.frombuffer(b"".join(batch["sketch"]), np.uint32).reshape(-1, SKETCH)
             keys, rows = _branch(batch["node"].to_numpy(np.int64).view(np.uint64), values, np.arange(len(batch)))
-            yield pd.DataFrame({"node": keys.view(np.int64), "doc": batch["doc"].to_numpy(np.int64)[rows]})
+            yield pd.DataFrame({"node": keys.view(np.int64), "doc": batch["doc"].to_numpy(np.int64)[rows], "parent": batch["size"].to_numpy(np.int64)[rows]})
 
-    return nodes.select("node", "doc", "sketch").mapInPandas(grow, "node long, doc long")
+    return nodes.select("node", "doc", "size", "sketch").mapInPandas(grow, "node long, doc long, parent long")
 
 
 def _sized(nodes: DataFrame) -> DataFrame:
@@ -171,14 +173,18 @@ def tree_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     found = common.stored(_sized(first_nodes(reps)), "op9-nodes")
     small = found.where(F.col("size") <= LEAF).select("node", "doc")
-    big = found.where(F.col("size") > LEAF)
+    big = found.where(F.col("size") > LEAF).select("node", "doc", "size")
+    tight = big.limit(0)
     for depth in range(FIRST_DEPTH, LAST_DEPTH):
         if not big.limit(1).count():
             break
         found = common.stored(_sized(next_nodes(big.join(reps.select("doc", "sketch"), "doc"))), f"op9-nodes-{depth}")
         small = small.unionAll(found.where(F.col("size") <= LEAF).select("node", "doc"))
-        big = found.where(F.col("size") > LEAF)
-    return small.withColumn("whole", F.col("node")), dealt_blocks(big)
+        # a child that kept most of its parent holds near copies of one text: branching on would only multiply its paths
+        kept = F.col("size") >= TIGHT * F.col("parent")
+        tight = tight.unionAll(found.where((F.col("size") > LEAF) & kept).select("node", "doc", "size"))
+        big = found.where((F.col("size") > LEAF) & ~kept).select("node", "doc", "size")
+    return small.withColumn("whole", F.col("node")), dealt_blocks(tight.unionAll(big))
 
 
 def dealt_blocks(big: DataFrame) -> DataFrame:
