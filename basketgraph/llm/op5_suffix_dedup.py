@@ -35,7 +35,8 @@ from basketgraph.llm.suffixes import common_prefixes, suffix_array
 LENGTH = 100
 GRAM = 32
 SPAN = LENGTH - GRAM + 1
-HOT = 256
+#: Different stretches of one key that one shard takes at most (a few megabytes of text).
+HOT = 1 << 15
 #: Window starts per buffer; a longer text is taken in overlapping pieces.
 BUFFER = 1 << 19
 SHARD_BYTES = 1 << 20
