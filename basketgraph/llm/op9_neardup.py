@@ -35,13 +35,15 @@ from basketgraph.llm.registry import query
 
 SHINGLE = 5
 THRESHOLD = 0.85
-SKETCH = 128
+SKETCH = 256
 TREES, FIRST_DEPTH, LAST_DEPTH = 14, 3, 9
 LEAF, BLOCK = 128, 96
 #: A large node that kept this share of its parent is dealt into blocks rather than branched on.
 TIGHT = 0.6
-#: Least equal minwise values of a candidate: five standard deviations below the mean at the threshold.
-LEAST_EQUAL = 88
+#: Least equal minwise values of a candidate: more than four standard deviations below the mean at the threshold.
+LEAST_EQUAL = 193
+#: From here on a pair is very likely a link.
+SURE_EQUAL = 230
 BUFFER = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -191,7 +193,7 @@ def dealt_blocks(big: DataFrame) -> DataFrame:
     """Blocks of about BLOCK vertices by a hash; the vertex of least hash is a pivot in every block of its node."""
     part = F.pmod(F.xxhash64("node", "doc"), F.ceil(F.col("size") / BLOCK)).cast("long")
     rows = big.select(F.xxhash64("node", part, F.lit("block")).alias("block"), "doc", F.col("node").alias("whole"))
-    pivot = big.groupBy("node", "size").agg(F.min(F.struct(F.xxhash64("doc", "node").alias("h"), "doc")).alias("m"))
+    pivot = big.groupBy("node", "size").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc")).alias("m"))
     blocks = pivot.select("node", F.col("m.doc").alias("doc"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / BLOCK).cast("long") - 1)).alias("part"))
     pivots = blocks.select(F.xxhash64("node", "part", F.lit("block")).alias("block"), "doc", F.col("node").alias("whole"))
     return rows.unionAll(pivots).distinct().withColumnRenamed("block", "node")
@@ -231,7 +233,7 @@ def candidates(nodes: DataFrame, reps: DataFrame, comps: DataFrame | None) -> Da
             if len(ids) < 2 or (comp == comp[0]).all():
                 continue
             values = np.frombuffer(b"".join(g["sketch"]), np.uint32).reshape(-1, SKETCH)
-            for one, two in _similar(values, n, comp, forest):
+            for one, two in _similar(values, n, comp, mix(ids.astype(np.uint64)), forest):
                 a.append(ids[one])
                 b.append(ids[two])
             if sum(map(len, a)) > 100_000:
@@ -243,7 +245,7 @@ def candidates(nodes: DataFrame, reps: DataFrame, comps: DataFrame | None) -> Da
     return rows.mapInPandas(pairs, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
 
-def _similar(values: np.ndarray, n: np.ndarray, comp: np.ndarray, forest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _similar(values: np.ndarray, n: np.ndarray, comp: np.ndarray, rank: np.ndarray, forest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     equal = np.empty((len(n), len(n)), np.int16)
     for k in range(len(n)):
         equal[k] = (values == values[k]).sum(1)
@@ -252,7 +254,11 @@ def _similar(values: np.ndarray, n: np.ndarray, comp: np.ndarray, forest: bool)
     if not forest:
         yield one, two
         return
-    order = np.argsort(-equal[one, two], kind="stable")
+    # very similar pairs go by a hash of the smaller-ranked vertex, so that all nodes of a group of copies choose the same
+    # few hubs and their forests agree; the others by similarity
+    same = equal[one, two]
+    sure = same >= SURE_EQUAL
+    order = np.lexsort((np.where(sure, np.minimum(rank[one], rank[two]) >> np.uint64(1), (1 << 16) - same.astype(np.uint64)), ~sure))
     root = list(range(len(n)))
 
     def top(x: int) -> int:
