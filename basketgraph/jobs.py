@@ -104,8 +104,10 @@ def date_tables(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> Data
             col = csv_col if fmt == "graph-csv" else parquet_col
             day = F.to_date(F.col(col).cast("string"), "yyyyMMdd").alias("d")
             df = df.select(day)
-        except AnalysisException:  # that job has not run (no such path); its dates are not referenced
-            continue
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
+                raise
+            continue  # that job has not run; its dates are not referenced
         refs = df if refs is None else refs.unionByName(df)
     if refs is None:
         raise ValueError(f"no date-bearing edge tables under {out_dir}")
@@ -221,7 +223,7 @@ def _run_stream(spark: SparkSession, a) -> int:
     queries = feedback_stream.start_feedback_stream(lines, a.out, *lists, available_now=a.available_now)
     if a.available_now:
         for q in queries:
-            feedback_stream.run_to_completion(q)
+            feedback_stream.run_to_completion(q, a.timeout or None)
     else:
         spark.streams.awaitAnyTermination(a.timeout or None)
         for q in queries:

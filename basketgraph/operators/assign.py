@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketgraph.session import ensure_checkpoint_dir
+
 from basketgraph.functions.ids import CUSTOMER_PREFIX, FARMER_PREFIX, prefixed
 
 # Attribute ranges and choices.
@@ -47,6 +49,7 @@ def with_dense_index(df: DataFrame, order_by: Sequence[str], name: str = "idx")
     the numbering is computed once and survives executor loss.
     """
     order_by = list(order_by)
+    ensure_checkpoint_dir(df.sparkSession)
     ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     ordered = ordered.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), _POS_BITS)

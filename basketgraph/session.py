@@ -28,7 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("BASKETGRAPH_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("BASKETGRAPH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={scratch}")
     )
@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("no checkpoint directory: set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="basketgraph-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

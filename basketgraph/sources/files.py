@@ -15,6 +15,10 @@ from basketgraph import schemas
 from basketgraph.functions.ids import nonempty, parse_invoice_ts, parse_month
 
 
+#: Fields may be quoted; a quote inside one is doubled.
+QUOTED = {"quote": '"', "escape": '"'}
+
+
 def read_invoice_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Invoice lines with a customer: invoice_no, stock_code, description, quantity,
     invoice_ts, unit_price, amount, customer_id.
@@ -26,6 +30,7 @@ def read_invoice_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFram
         spark.read.schema(schemas.INVOICE_CSV)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .options(**QUOTED)
         .csv(path if isinstance(path, str) else list(path))
     )
     return raw.where(nonempty("customer_id").isNotNull()).select(
@@ -35,7 +40,7 @@ def read_invoice_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFram
         "quantity",
         parse_invoice_ts("invoice_date").alias("invoice_ts"),
         "unit_price",
-        (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)").alias("amount"),
+        (F.col("quantity") * F.col("unit_price")).cast("decimal(28,6)").alias("amount"),
         F.trim("customer_id").alias("customer_id"),
     )
 
@@ -50,6 +55,7 @@ def read_market_prices(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         spark.read.schema(schemas.MARKET_PRICE_CSV)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .options(**QUOTED)
         .csv(list(paths))
     )
     return raw.where(F.col("price_es").isNotNull()).select(
@@ -58,7 +64,7 @@ def read_market_prices(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def read_product_list(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PRODUCT_LIST_CSV).option("header", True).csv(path)
+    return spark.read.schema(schemas.PRODUCT_LIST_CSV).option("header", True).options(**QUOTED).csv(path)
 
 
 def read_municipalities(spark: SparkSession, path: str) -> DataFrame:
@@ -66,6 +72,7 @@ def read_municipalities(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(schemas.MUNICIPALITY_CSV)
         .option("header", True)
         .option("encoding", "UTF-8")
+        .options(**QUOTED)
         .csv(path)
     )
 

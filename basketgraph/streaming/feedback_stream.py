@@ -25,11 +25,13 @@ REQUIRED_FIELDS = ("customerid", "productid", "rating", "about")
 def parse_feedback_lines(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """(records, dead letters) from raw lines; dead letters keep the raw text and a reason."""
     parsed = fb_ops.parse_json_lines(lines, value_col, schemas.FEEDBACK_LINE, REQUIRED_FIELDS)
+    fits = F.expr("try_cast(parsed.rating AS INT)").isNotNull()
+    parsed = parsed.withColumn("reason", F.when(F.col("reason").isNull() & ~fits, F.lit("rating_out_of_range")).otherwise(F.col("reason")))
     valid, rejected = fb_ops.split_valid(parsed)
     records = valid.select(
         F.col("parsed.customerid").alias("customerid"),
         F.col("parsed.productid").alias("productid"),
-        F.col("parsed.rating").cast("int").alias("rating"),
+        F.expr("try_cast(parsed.rating AS INT)").alias("rating"),
         F.col("parsed.about").alias("about"),
         F.col("parsed.product").alias("product"),
     )
@@ -71,9 +73,9 @@ def start_json_sink(
     return writer.start()
 
 
-def run_to_completion(query: StreamingQuery, timeout_sec: int = 900) -> None:
-    """Wait for an ``availableNow`` query; stop it and fail if it does not finish in time."""
-    finished = query.awaitTermination(timeout_sec)
+def run_to_completion(query: StreamingQuery, timeout_sec: int | None = None) -> None:
+    """Wait for an ``availableNow`` query to finish its backlog, however long; a caller's limit stops it and fails."""
+    finished = query.awaitTermination(timeout_sec) if timeout_sec else query.awaitTermination() or True
     if not finished:
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_sec}s")
@@ -115,7 +117,7 @@ def start_feedback_stream(
     records, dead = parse_feedback_lines(lines)
     scored = score_feedback(records, stop_words, positive, negative)
     ck = f"{out_dir.rstrip('/')}/_checkpoints"
-    keyed = scored.select(journal.daily_key("date", "userid").alias("doc_id"), "*")
+    keyed = scored.select(journal.daily_key("date", "userid").alias("doc_id"), "*").where(F.col("doc_id").isNotNull())
     queries = [
         start_json_sink(scored, f"{out_dir}/records", f"{ck}/records", available_now),
         journal.start_journal_sink(keyed, f"{out_dir}/daily", f"{ck}/daily", available_now),

@@ -66,5 +66,5 @@ def compact(spark: SparkSession, journal_path: str, out_path: str, key: Sequence
 
 
 def daily_key(date_col: str, user_col: str) -> F.Column:
-    """``yyyy-MM-dd_user``: one document per user per day."""
-    return F.concat_ws("_", F.date_format(F.col(date_col), "yyyy-MM-dd"), F.col(user_col).cast("string"))
+    """``yyyy-MM-dd_user``: one document per user per day; null if either part is null, so unrelated rows never share a key."""
+    return F.concat(F.date_format(F.col(date_col), "yyyy-MM-dd"), F.lit("_"), F.col(user_col).cast("string"))
