@@ -79,7 +79,11 @@ class EdgeSpec:
 class Graph:
     nodes: dict[str, DataFrame]
     edges: dict[str, DataFrame]
-    rejects: DataFrame  # edge_type, src, dst, reason
+    flagged: DataFrame  # edge_type, src, dst, reason (null for kept edges)
+
+    @property
+    def rejects(self) -> DataFrame:
+        return self.flagged.where(F.col("reason").isNotNull())
 
 
 def assemble_graph(nodes: Mapping[str, DataFrame], edges: Mapping[str, EdgeSpec]) -> Graph:
@@ -88,20 +92,14 @@ def assemble_graph(nodes: Mapping[str, DataFrame], edges: Mapping[str, EdgeSpec]
     Node tables have an ``id`` column, edge tables ``src`` and ``dst``. The
     result is lazy; write it with ``write_graph`` or the graph file writer.
     """
-    kept, rejects = {}, []
+    kept, parts = {}, []
     for name, spec in edges.items():
-        # One flagged pass per edge type feeds both outputs; the identical join
-        # subtrees are planned once and their shuffles reused.
         flagged = flag_edges(spec.edges, nodes[spec.src_label], nodes[spec.dst_label])
         kept[name] = flagged.where(F.col("reason").isNull()).select(spec.edges.columns)
-        rejects.append(
-            flagged.where(F.col("reason").isNotNull()).select(
-                F.lit(name).alias("edge_type"), "src", "dst", "reason"
-            )
-        )
-    report = rejects[0]
-    for r in rejects[1:]:
-        report = report.unionByName(r)
+        parts.append(flagged.select(F.lit(name).alias("edge_type"), "src", "dst", "reason"))
+    report = parts[0]
+    for part in parts[1:]:
+        report = report.unionByName(part)
     return Graph(dict(nodes), kept, report)
 
 

@@ -15,9 +15,11 @@ of parallel ``contains`` edges, ``w(c,q) = sum over orders o of c of m(o,q)``,
 
 The first term counts all edge triples; the second removes, by inclusion and
 exclusion, the triples that reuse an edge. It assumes one customer per order.
-Every term is an equi-join plus a hash aggregation over pre-aggregated counts,
-so the work is linear in the edge count for one customer, and a popular
-product is a large *group* to aggregate rather than a quadratic join.
+Every term is an equi-join plus a hash aggregation over pre-aggregated counts.
+For one customer the work is linear in the edges of the orders that share a
+product with that customer. For all customers the output itself grows with the
+customers of a product times the products bought together with it, so a product
+that everyone buys makes it quadratic in those edges.
 
 Inputs use business keys: ``order_key``, ``product_key``, ``customer_key``.
 """
@@ -27,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketgraph.session import materialize
+
 # List length of every recommender and best-seller list.
 TOP_K = 10
 # Orders with more distinct products than this are scored through the
@@ -68,6 +72,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SEED_BROADCAST_ROWS) -> Da
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def restrict(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in ``keys``; the keys are broadcast after a size check."""
+    return df.join(broadcast_if_small(keys.select(key).distinct()), key, "left_semi")
+
+
+def edges_near(contains: DataFrame, buys: DataFrame, customer: Column | int) -> tuple[DataFrame, DataFrame]:
+    """(contains, buys) of the orders that share a product with the customer's orders.
+
+    Every path of the order recommender for this customer, and every count in its
+    edge-reuse terms, lies inside these orders, so scores over them are exact.
+    """
+    mine = restrict(contains, buys.where(F.col("customer_key") == customer), "order_key")
+    reached = materialize(restrict(contains, mine, "product_key").select("order_key").distinct())
+    return restrict(contains, reached, "order_key"), restrict(buys, reached, "order_key")
+
+
 def order_product_counts(contains: DataFrame, buys: DataFrame) -> DataFrame:
     """order_key, customer_key, product_key, m: parallel ``contains`` edges counted.
 

@@ -5,6 +5,7 @@ Importing this package registers every query in ``registry.REGISTRY``.
 
 from basketgraph.plans import (  # noqa: F401
     assign_queries,
+    file_queries,
     graph_queries,
     order_queries,
     price_queries,

@@ -14,7 +14,7 @@ from basketgraph.functions.ids import CUSTOMER_PREFIX, ORDER_PREFIX, PRODUCT_PRE
 from basketgraph.operators import graph as graph_ops
 from basketgraph.operators import recommend as rec
 from basketgraph.plans.registry import register
-from basketgraph.session import materialize
+from basketgraph.session import materialize, shared_path
 from basketgraph.sources import tables as tb
 
 # The customer the single-customer recommenders run for (a parameter of the
@@ -37,7 +37,10 @@ def buys_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feedback_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fb = tb.feedback(spark, sf_dir)
+    return _feedback_keys(tb.feedback(spark, sf_dir))
+
+
+def _feedback_keys(fb: DataFrame) -> DataFrame:
     return fb.select(
         F.col("customer_id").alias("customer_key"),
         F.col("product_id").alias("product_key"),
@@ -46,6 +49,28 @@ def feedback_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_multiplicities(spark: SparkSession, sf_dir: str, customer: int) -> DataFrame:
+    """``order_product_counts`` of the orders that share a product with the customer, written once."""
+    near = rec.edges_near(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir), customer)
+    return materialize(rec.order_product_counts(*near))
+
+
+def liked_near(spark: SparkSession, sf_dir: str, customer: int) -> DataFrame:
+    """Positive feedback of all customers who like a product that ``customer`` likes.
+
+    The rating paths of this customer use no other edge.
+    """
+    flags = [flag for flag, label in tb.RETURNFLAG_SENTIMENT.items() if label == rec.POSITIVE]
+    lines = tb.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag").isin(flags))
+    headers = tb.table(spark, sf_dir, "orders")
+    own = headers.where(F.col("o_custkey") == customer).select(F.col("o_orderkey").alias("l_orderkey"))
+    liked = rec.restrict(lines, own, "l_orderkey")
+    orders = rec.restrict(lines, liked, "l_partkey").select(F.col("l_orderkey").alias("o_orderkey"))
+    fans = materialize(rec.restrict(headers, orders, "o_orderkey").select("o_custkey").distinct())
+    theirs = rec.restrict(headers, fans, "o_custkey").select("o_orderkey", "o_custkey", "o_orderdate")
+    return _feedback_keys(tb.feedback(spark, sf_dir, lines, rec.broadcast_if_small(theirs)))
+
+
 def _recs_out(df: DataFrame, customer=None) -> DataFrame:
     cust = prefixed("customer_key", CUSTOMER_PREFIX) if customer is None else F.lit(f"{CUSTOMER_PREFIX}{customer}")
     return df.select(
@@ -89,7 +114,7 @@ def _edge_ids(df: DataFrame, *extra: str) -> DataFrame:
 @register(
     "graph_edges_valid",
     f"SELECT src, dst, line_no FROM ({_EDGES_SQL}) e WHERE src_ok AND dst_ok",
-    "J6 S9",
+    "J6",
 )
 def graph_edges_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, orders, parts = _integrity_inputs(spark, sf_dir)
@@ -152,16 +177,8 @@ def graph_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             "feedback": graph_ops.EdgeSpec(fb, "customer", "product"),
         },
     )
-    rejected = graph.rejects.groupBy("edge_type", F.col("reason").alias("status")).agg(
-        F.count(F.lit(1)).alias("n_edges")
-    )
-    kept = None
-    for name, edges in graph.edges.items():
-        k = edges.agg(F.count(F.lit(1)).alias("n_edges")).select(
-            F.lit(name).alias("edge_type"), F.lit("kept").alias("status"), "n_edges"
-        )
-        kept = k if kept is None else kept.unionByName(k)
-    return rejected.unionByName(kept)
+    status = F.coalesce("reason", F.lit("kept")).alias("status")
+    return graph.flagged.groupBy("edge_type", status).agg(F.count(F.lit(1)).alias("n_edges"))
 
 
 # ---------------------------------------------------------------------------
@@ -236,10 +253,10 @@ _ORDER_PATHS_SQL = f"""
     FROM ({_ORDER_PATHS_SQL.format(where=f"WHERE b.c = {SEED_CUSTOMER}")}) s
     ORDER BY score DESC, p2 LIMIT 10
     """,
-    "J7 F6 A10 T1 K4",
+    "J7 F6 A10 T1",
 )
 def recommend_from_orders(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
-    mc = materialize(rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir)))
+    mc = customer_multiplicities(spark, sf_dir, customer)
     scores = rec.order_path_scores_for(mc, F.lit(customer))
     return _recs_out(rec.top_k(scores), customer)
 
@@ -289,7 +306,7 @@ _RATING_SQL = f"""
     "J8 F7 T2",
 )
 def recommend_from_ratings(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
-    scores = rec.rating_scores_for(feedback_keys(spark, sf_dir), F.lit(customer))
+    scores = rec.rating_scores_for(liked_near(spark, sf_dir, customer), F.lit(customer))
     return _recs_out(rec.top_k(scores), customer)
 
 
@@ -310,7 +327,7 @@ _RATING_PATHS_SQL = _RATING_SQL.replace(
 )
 def recommend_from_ratings_paths(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
     """The literal form: top 10 path rows by rating, then de-duplicated by product."""
-    scores = rec.rating_top_paths_for(feedback_keys(spark, sf_dir), F.lit(customer))
+    scores = rec.rating_top_paths_for(liked_near(spark, sf_dir, customer), F.lit(customer))
     return _recs_out(scores, customer)
 
 
@@ -319,6 +336,14 @@ def recommend_from_ratings_paths(spark: SparkSession, sf_dir: str, customer: int
 # ---------------------------------------------------------------------------
 
 
+def _both_lists(spark: SparkSession, sf_dir: str, customer: int) -> tuple[DataFrame, DataFrame]:
+    """Top lists of one customer by order paths and by ratings: customer_key, product_key, score."""
+    seed = F.lit(customer)
+    by_orders = rec.top_k(rec.order_path_scores_for(customer_multiplicities(spark, sf_dir, customer), seed))
+    by_ratings = rec.top_k(rec.rating_scores_for(liked_near(spark, sf_dir, customer), seed))
+    return by_orders.withColumn("customer_key", seed.cast("long")), by_ratings.withColumn("customer_key", seed.cast("long"))
+
+
 @register(
     "recommend_merge_veto",
     f"""
@@ -338,21 +363,15 @@ def recommend_from_ratings_paths(spark: SparkSession, sf_dir: str, customer: int
     FROM merged m JOIN part p ON p.p_partkey = m.k
     WHERE m.k NOT IN (SELECT k FROM disliked)
     """,
-    "U3 K4 J9 J11 F8 S11",
+    "U3 J9 J11 F8 S11",
 )
 def recommend_merge_veto(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
-    seed = F.lit(customer)
-    fb = feedback_keys(spark, sf_dir)
-    mc = materialize(rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir)))
-    by_orders = rec.top_k(rec.order_path_scores_for(mc, seed)).withColumn("customer_key", seed.cast("long"))
-    by_ratings = rec.top_k(rec.rating_scores_for(fb, seed)).withColumn("customer_key", seed.cast("long"))
+    by_orders, by_ratings = _both_lists(spark, sf_dir, customer)
     combined = rec.combine_recommendations(by_orders, by_ratings)
-    # MERGE into the (empty) recommended_for edge set: insert if absent.
-    existing = combined.limit(0)
-    merged = graph_ops.merge_edges(existing, combined, ["customer_key", "product_key"])
-    # The customer's own feedback, looked up by customer key.
-    mine = fb.where(F.col("customer_key") == seed)
-    kept = rec.veto_disliked(merged, mine)
+    # The customer's own feedback, looked up by customer key before the join.
+    own = tb.table(spark, sf_dir, "orders").where(F.col("o_custkey") == customer).select("o_orderkey", "o_custkey", "o_orderdate")
+    mine = _feedback_keys(tb.feedback(spark, sf_dir, headers=rec.broadcast_if_small(own)))
+    kept = rec.veto_disliked(combined, mine)
     named = kept.join(
         tb.products(spark, sf_dir).select(F.col("product_id").alias("product_key"), "product_name"),
         "product_key",
@@ -365,3 +384,42 @@ def recommend_merge_veto(spark: SparkSession, sf_dir: str, customer: int = SEED_
         "from_orders",
         "from_ratings",
     )
+
+
+@register(
+    "recommend_merge_existing",
+    f"""
+    WITH by_orders AS (
+        SELECT p2 AS k FROM ({_ORDER_PATHS_SQL.format(where=f"WHERE b.c = {SEED_CUSTOMER}")}) s
+        ORDER BY score DESC, p2 LIMIT 10),
+    disliked AS (
+        SELECT DISTINCT p AS k FROM ({_FEEDBACK_SQL}) x WHERE c = {SEED_CUSTOMER} AND sentiment = 'NEGATIVE'),
+    offers AS (
+        SELECT k, 1 AS rank, 'orders' AS source FROM by_orders
+        UNION ALL SELECT p2, 2, 'ratings' FROM ({_RATING_SQL}) r
+        UNION ALL SELECT k, 3, 'disliked' FROM disliked)
+    SELECT 'C{SEED_CUSTOMER}' AS customer_id, 'P' || CAST(k AS VARCHAR) AS product_id, arg_min(source, rank) AS source
+    FROM offers GROUP BY k
+    """,
+    "K4 U3",
+)
+def recommend_merge_existing(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
+    """The stored ``recommended_for`` edges after three merges, run twice: order list, rating list, disliked products.
+
+    Each merge reads the stored table and writes the next one; edges already present keep their first source.
+    """
+    by_orders, by_ratings = _both_lists(spark, sf_dir, customer)
+    own = tb.table(spark, sf_dir, "orders").where(F.col("o_custkey") == customer).select("o_orderkey", "o_custkey", "o_orderdate")
+    disliked = _feedback_keys(tb.feedback(spark, sf_dir, headers=rec.broadcast_if_small(own))).where(F.col("sentiment") == rec.NEGATIVE)
+    batches = [
+        materialize(batch.select("customer_key", "product_key", F.lit(source).alias("source")))
+        for source, batch in (("orders", by_orders), ("ratings", by_ratings), ("disliked", disliked))
+    ]
+    stored = spark.createDataFrame([], batches[0].schema)
+    for batch in batches + batches:
+        path = shared_path(spark, "recommended_for")
+        graph_ops.merge_edges(stored, batch, ["customer_key", "product_key"]).write.parquet(path)
+        stored = spark.read.parquet(path)
+    return stored.select(
+        prefixed("customer_key", CUSTOMER_PREFIX).alias("customer_id"), prefixed("product_key", PRODUCT_PREFIX).alias("product_id"), "source"
+    )

@@ -19,12 +19,18 @@ from basketgraph.functions.ids import nonempty, parse_invoice_ts, parse_month
 QUOTED = {"quote": '"', "escape": '"'}
 
 
-def read_invoice_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Invoice lines with a customer: invoice_no, stock_code, description, quantity,
-    invoice_ts, unit_price, amount, customer_id.
+# Reject reasons of invoice lines.
+NO_CUSTOMER = "no_customer"
+BAD_QUANTITY = "bad_quantity"
+BAD_PRICE = "bad_price"
+
 
-    Rows without a customer are dropped. Negative quantities and cancelled
-    invoices (``C`` prefix) are kept, as the totals filter is off by default.
+def parse_invoice_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """All invoice lines: invoice_no, stock_code, description, quantity, invoice_ts,
+    unit_price, amount, customer_id and ``reason`` (null when the line counts).
+
+    A line without a customer, or whose quantity or price is no number, is rejected;
+    accepted and rejected lines sum to the input.
     """
     raw = (
         spark.read.schema(schemas.INVOICE_CSV)
@@ -33,7 +39,12 @@ def read_invoice_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFram
         .options(**QUOTED)
         .csv(path if isinstance(path, str) else list(path))
     )
-    return raw.where(nonempty("customer_id").isNotNull()).select(
+    reason = (
+        F.when(nonempty("customer_id").isNull(), NO_CUSTOMER)
+        .when(F.col("quantity").isNull(), BAD_QUANTITY)
+        .when(F.col("unit_price").isNull(), BAD_PRICE)
+    )
+    return raw.select(
         "invoice_no",
         "stock_code",
         "description",
@@ -42,9 +53,16 @@ def read_invoice_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFram
         "unit_price",
         (F.col("quantity") * F.col("unit_price")).cast("decimal(28,6)").alias("amount"),
         F.trim("customer_id").alias("customer_id"),
+        reason.alias("reason"),
     )
 
 
+def read_invoice_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The lines of ``parse_invoice_csv`` that count. Negative quantities and cancelled
+    invoices (``C`` prefix) are kept, as the totals filter is off by default."""
+    return parse_invoice_csv(spark, path).where(F.col("reason").isNull()).drop("reason")
+
+
 def read_market_prices(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All market price files in one scan: product_name, price_date, price.
 

@@ -108,18 +108,21 @@ def sentiment_of_flag(flag_col) -> F.Column:
     return expr
 
 
-def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feedback(
+    spark: SparkSession, sf_dir: str, lines: DataFrame | None = None, headers: DataFrame | None = None
+) -> DataFrame:
     """Feedback edges: customer_id, product_id, edge_order, edge_line, rating, sentiment, feedback_date.
 
+    ``lines`` and ``headers`` give the rows of ``lineitem`` and ``orders`` to use, all by default.
     One edge per line row; parallel edges between one customer and one product
     stay separate rows. ``(edge_order, edge_line)`` are properties only: line
     numbers repeat within an order in the given tables, and the path counts rely
     on edge multiplicities, not on an edge id.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = (table(spark, sf_dir, "lineitem") if lines is None else lines).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag"
     )
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = (table(spark, sf_dir, "orders") if headers is None else headers).select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return j.select(
         F.col("o_custkey").alias("customer_id"),
