@@ -9,10 +9,11 @@ sketches; larger ones branch on, and one that does not fall apart is dealt into
 a pivot. ``TREES`` independent trees bring the recall of a link at the threshold
 above 0.9999. Candidates are confirmed on the full sets.
 
-Two rounds keep the work linear in hot groups: the first confirms a spanning
-forest of every node; the second confirms all candidates that still join two
-components (in a dealt node: every vertex outside the largest component with
-all of the node). Components come from min-label propagation with pointer jumping.
+Two rounds keep the rows linear in the nodes: the first confirms a spanning
+forest of every node; the second compares the full sets of all vertices that still have a
+candidate of another component, inside their node (a dealt node: every vertex outside its
+largest component with all of it, in tiles of bounded size), and returns a spanning forest of
+the links. No list of pairs is ever written out. Components come from min-label propagation with pointer jumping.
 
 Defined results: a null, empty or blank text has the empty set and is linked
 with nothing; fewer words than a shingle make one shingle of all words; rows that share a doc_id are one vertex;
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketgraph.llm import common
@@ -44,6 +45,8 @@ TIGHT = 0.6
 LEAST_EQUAL = 193
 #: From here on a pair is very likely a link.
 SURE_EQUAL = 230
+#: Most vertices and shingles of one side of a tile, and matrix columns held at a time.
+TILE_ROWS, TILE_SHINGLES, TILE_COLUMNS = 2048, 2_000_000, 2048
 BUFFER = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -169,10 +172,7 @@ def _sized(nodes: DataFrame) -> DataFrame:
 
 
 def tree_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(small, dealt): nodes to compare exhaustively, and blocks of nodes that did not fall apart.
-
-    Both are (node, doc, whole): ``whole`` names the node that a block is part of.
-    """
+    """(small, large): rows (node, doc) of nodes to compare exhaustively, rows (node, doc, size) of nodes that did not fall apart."""
     found = common.stored(_sized(first_nodes(reps)), "op9-nodes")
     small = found.where(F.col("size") <= LEAF).select("node", "doc")
     big = found.where(F.col("size") > LEAF).select("node", "doc", "size")
@@ -186,17 +186,17 @@ def tree_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         kept = F.col("size") >= TIGHT * F.col("parent")
         tight = tight.unionAll(found.where((F.col("size") > LEAF) & kept).select("node", "doc", "size"))
         big = found.where((F.col("size") > LEAF) & ~kept).select("node", "doc", "size")
-    return small.withColumn("whole", F.col("node")), dealt_blocks(tight.unionAll(big))
+    return small, tight.unionAll(big)
 
 
 def dealt_blocks(big: DataFrame) -> DataFrame:
     """Blocks of about BLOCK vertices by a hash; the vertex of least hash is a pivot in every block of its node."""
     part = F.pmod(F.xxhash64("node", "doc"), F.ceil(F.col("size") / BLOCK)).cast("long")
-    rows = big.select(F.xxhash64("node", part, F.lit("block")).alias("block"), "doc", F.col("node").alias("whole"))
+    rows = big.select(F.xxhash64("node", part, F.lit("block")).alias("node"), "doc")
     pivot = big.groupBy("node", "size").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc")).alias("m"))
     blocks = pivot.select("node", F.col("m.doc").alias("doc"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / BLOCK).cast("long") - 1)).alias("part"))
-    pivots = blocks.select(F.xxhash64("node", "part", F.lit("block")).alias("block"), "doc", F.col("node").alias("whole"))
-    return rows.unionAll(pivots).distinct().withColumnRenamed("block", "node")
+    pivots = blocks.select(F.xxhash64("node", "part", F.lit("block")).alias("node"), "doc")
+    return rows.unionAll(pivots).distinct()
 
 
 def _groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
@@ -218,24 +218,21 @@ def _groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
-def candidates(nodes: DataFrame, reps: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Distinct (a, b), a < b: without components a spanning forest of each node's similar vertices, with them all similar pairs
-    of different components."""
+def candidates(nodes: DataFrame, reps: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b: a spanning forest of each node's similar vertices."""
     rows = nodes.select("node", "doc").join(reps.select("doc", "n", "sketch"), "doc")
-    forest = comps is None
-    rows = rows.withColumn("comp", F.col("doc")) if forest else rows.join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
     rows = rows.repartition("node").sortWithinPartitions("node", "doc")
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = [], []
         for g in _groups(batches, "node"):
-            ids, comp, n = g["doc"].to_numpy(np.int64), g["comp"].to_numpy(np.int64), g["n"].to_numpy(np.int64)
-            if len(ids) < 2 or (comp == comp[0]).all():
+            ids, n = g["doc"].to_numpy(np.int64), g["n"].to_numpy(np.int64)
+            if len(ids) < 2:
                 continue
             values = np.frombuffer(b"".join(g["sketch"]), np.uint32).reshape(-1, SKETCH)
-            for one, two in _similar(values, n, comp, mix(ids.astype(np.uint64)), forest):
-                a.append(ids[one])
-                b.append(ids[two])
+            one, two = _forest(values, n, mix(ids.astype(np.uint64)))
+            a.append(ids[one])
+            b.append(ids[two])
             if sum(map(len, a)) > 100_000:
                 yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
                 a, b = [], []
@@ -245,49 +242,146 @@ def candidates(nodes: DataFrame, reps: DataFrame, comps: DataFrame | None) -> Da
     return rows.mapInPandas(pairs, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
 
-def _similar(values: np.ndarray, n: np.ndarray, comp: np.ndarray, rank: np.ndarray, forest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    equal = np.empty((len(n), len(n)), np.int16)
-    for k in range(len(n)):
-        equal[k] = (values == values[k]).sum(1)
-    possible = (equal >= LEAST_EQUAL) & (comp[:, None] != comp[None, :]) & (100 * np.minimum(n[:, None], n[None, :]) >= 85 * np.maximum(n[:, None], n[None, :]))
-    one, two = np.nonzero(np.triu(possible, 1))
-    if not forest:
-        yield one, two
-        return
+def _near(values: np.ndarray, n: np.ndarray, one: np.ndarray, size: int) -> np.ndarray:
+    """Equal minwise values of each row with one other, 0 where the set sizes alone rule a link out."""
+    equal = (values == one).sum(1)
+    return np.where(100 * np.minimum(n, size) >= 85 * np.maximum(n, size), equal, 0)
+
+
+def _top(root: dict[int, int], x: int) -> int:
+    while root.setdefault(x, x) != x:
+        root[x] = root[root[x]]
+        x = root[x]
+    return x
+
+
+def _forest(values: np.ndarray, n: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    equal = np.stack([_near(values, n, values[k], n[k]) for k in range(len(n))])
+    one, two = np.nonzero(np.triu(equal >= LEAST_EQUAL, 1))
     # very similar pairs go by a hash of the smaller-ranked vertex, so that all nodes of a group of copies choose the same
     # few hubs and their forests agree; the others by similarity
     same = equal[one, two]
     sure = same >= SURE_EQUAL
     order = np.lexsort((np.where(sure, np.minimum(rank[one], rank[two]) >> np.uint64(1), (1 << 16) - same.astype(np.uint64)), ~sure))
-    root = list(range(len(n)))
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
+    root: dict[int, int] = {}
     keep = []
     for k in order.tolist():
-        x, y = top(int(one[k])), top(int(two[k]))
+        x, y = _top(root, int(one[k])), _top(root, int(two[k]))
         if x != y:
             root[max(x, y)] = min(x, y)
             keep.append(k)
             if len(keep) == len(n) - 1:
                 break
-    yield one[keep], two[keep]
+    return one[keep], two[keep]
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
+def tiles(large: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
+    """(node, doc, comp, side): pairs of a large node with one vertex outside the node's largest component, cut into tiles.
+
+    A tile meets a bounded share of all vertices (side 0) with a bounded share of those outside (side 1); a node whose
+    vertices are all in one component has no tile.
+    """
+    rows = large.select("node", "doc").join(reps.select("doc", "n"), "doc").join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    sums = rows.groupBy("node", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    whole = sums.groupBy("node").agg(F.sum("c").alias("c"), F.sum("w").alias("w"), F.max(F.struct("c", "w", "comp")).alias("m"))
+
+    def parts(c: Column, w: Column) -> Column:
+        return F.greatest(F.ceil(c / TILE_ROWS), F.ceil(w / TILE_SHINGLES)).cast("long")
+
+    cut = whole.select("node", F.col("m.comp").alias("main"), parts(F.col("c"), F.col("w")).alias("p"), parts(F.col("c") - F.col("m.c"), F.col("w") - F.col("m.w")).alias("q"))
+    placed = rows.join(cut.where("q > 0"), "node")
+    index = lambda k: F.sequence(F.lit(0).cast("long"), F.col(k) - 1)
+    every = placed.select("node", "doc", "comp", F.lit(0).alias("side"), F.pmod(F.xxhash64("doc"), "p").alias("i"), F.explode(index("q")).alias("j"))
+    outside = placed.where("comp <> main").select("node", "doc", "comp", F.lit(1).alias("side"), F.explode(index("p")).alias("i"), F.pmod(F.xxhash64("doc", F.lit(1)), "q").alias("j"))
+    return every.unionByName(outside).select(F.xxhash64("node", "i", "j", F.lit("tile")).alias("node"), "doc", "comp", "side")
+
+
+def unsettled(small: DataFrame, large: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
+    """(node, doc, comp, side) of the vertices that still have a similar one of another component in their node or tile."""
+    nodes = small.select("node", "doc").join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    mixed = nodes.groupBy("node").agg(F.min("comp").alias("l"), F.max("comp").alias("m")).where("l < m").select("node")
+    rows = nodes.join(mixed, "node", "left_semi").withColumn("side", F.lit(2)).select("node", "doc", "comp", "side").unionAll(tiles(large, reps, comps))
+    rows = rows.join(reps.select("doc", "n", "sketch"), "doc").repartition("node").sortWithinPartitions("node", "doc")
+
+    def left(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in _groups(batches, "node"):
+            side, comp, n = g["side"].to_numpy(), g["comp"].to_numpy(np.int64), g["n"].to_numpy(np.int64)
+            values = np.frombuffer(b"".join(g["sketch"]), np.uint32).reshape(-1, SKETCH)
+            x, y = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+            vx, nx, cx = values[x], n[x], comp[x]
+            found = np.zeros(len(g), bool)
+            for k in y:
+                hit = (_near(vx, nx, values[k], n[k]) >= LEAST_EQUAL) & (cx != comp[k])
+                found[x[hit]] = True
+                found[k] |= hit.any()
+            if found.any():
+                yield g.loc[found, ["node", "doc", "comp", "side"]]
+
+    return rows.mapInPandas(left, "node long, doc long, comp long, side int")
+
+
+def _full_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc, s) of the documents in ``ids``, each once: the shingle set as bytes."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"doc": batch["doc_id"].astype("int64"), "s": [s.tobytes() for s in shingle_sets(list(batch["text"]))]})
 
-    full = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(common.broadcast_if_small(wanted), "doc_id", "left_semi").mapInPandas(sets, "doc long, s binary")
-    full = common.stored(full, "op9-sets")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(common.broadcast_if_small(ids.select(F.col("doc").alias("doc_id")).distinct()), "doc_id", "left_semi").mapInPandas(sets, "doc long, s binary")
+
+
+def _shared(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Intersection sizes of the sets ``x`` with other sets ``y``, by products of 0-1 matrices over some columns at a time."""
+    size = np.array([len(s) for s in sets])
+    _, col, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    own = np.repeat(np.arange(len(sets)), size)
+    name = np.cumsum(times > 1) - 1
+    common_col = times[col] > 1
+    col, own = name[col[common_col]], own[common_col]
+    order = np.argsort(col, kind="stable")
+    col, own = col[order], own[order]
+    n_cols = int(col[-1]) + 1 if len(col) else 0
+    out = np.zeros((len(x), len(y)), np.int32)
+    for begin in range(0, n_cols, TILE_COLUMNS):
+        a, b = np.searchsorted(col, (begin, begin + TILE_COLUMNS))
+        part = np.zeros((len(sets), min(TILE_COLUMNS, n_cols - begin)), np.float32)
+        part[own[a:b], col[a:b] - begin] = 1
+        out += (part[x] @ part[y].T).astype(np.int32)
+    return out
+
+
+def settled(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) that join different components: of each node or tile a spanning forest, on the full sets."""
+    full = common.stored(_full_sets(rows, docs), "op9-sets2")
+    rows = rows.join(full, "doc").repartition("node").sortWithinPartitions("node", "doc")
+
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in _groups(batches, "node"):
+            side, comp, ids = g["side"].to_numpy(), g["comp"].to_numpy(np.int64), g["doc"].to_numpy(np.int64)
+            x, y = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+            sets = [np.frombuffer(s, np.uint64) for s in g["s"]]
+            n = np.array([len(s) for s in sets])
+            same = _shared(sets, x, y).astype(np.int64)
+            i, j = np.nonzero((100 * same >= 85 * (n[x][:, None] + n[y][None, :] - same)) & (comp[x][:, None] != comp[y][None, :]))
+            i, j = x[i], y[j]
+            _, once = np.unique(np.stack([np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])]), axis=1, return_index=True)
+            root: dict[int, int] = {}
+            keep = []
+            for k in once.tolist():
+                one, two = _top(root, int(comp[i[k]])), _top(root, int(comp[j[k]]))
+                if one != two:
+                    root[max(one, two)] = min(one, two)
+                    keep.append(k)
+            if keep:
+                yield pd.DataFrame({"a": np.minimum(ids[i[keep]], ids[j[keep]]), "b": np.maximum(ids[i[keep]], ids[j[keep]])})
+
+    return rows.mapInPandas(link, "a long, b long")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
+    wanted = pairs.select(F.col("a").alias("doc")).unionAll(pairs.select(F.col("b").alias("doc")))
+    full = common.stored(_full_sets(wanted, docs), "op9-sets")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -318,30 +412,20 @@ def components(links: DataFrame) -> DataFrame:
             return comps
 
 
-def crossing(dealt: DataFrame, comps: DataFrame) -> DataFrame:
-    """For dealt nodes: every vertex outside its node's largest component joins all blocks of the node."""
-    rows = dealt.join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-    largest = rows.select("whole", "doc", "comp").distinct().groupBy("whole", "comp").agg(F.count("*").alias("n")).groupBy("whole").agg(F.max(F.struct("n", "comp")).alias("m")).select("whole", F.col("m.comp").alias("main"))
-    outside = rows.join(largest, "whole").where("comp <> main").select("whole", "doc").distinct()
-    blocks = dealt.select("whole", "node").distinct()
-    return dealt.select("node", "doc").unionAll(blocks.join(outside, "whole").select("node", "doc")).distinct()
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of ``docs``."""
     signed = common.stored(signatures(docs), "op9-signed")
     filled = signed.where("n > 0 and doc_id is not null")
     vertex = filled.groupBy("lo", "hi", "n").agg(F.min("doc_id").alias("doc"))
     reps = common.stored(vertex.join(filled.select("lo", "hi", "n", F.col("doc_id").alias("doc"), "sketch"), ["lo", "hi", "n", "doc"]).dropDuplicates(["doc"]).select("doc", "n", "sketch"), "op9-reps")
-    small, dealt = tree_nodes(reps)
-    dealt = common.stored(dealt, "op9-dealt")
-    tried = common.stored(candidates(small.select("node", "doc").unionAll(dealt.select("node", "doc")), reps, None), "op9-forest")
+    small, large = tree_nodes(reps)
+    large = common.stored(large, "op9-large")
+    tried = common.stored(candidates(small.unionAll(dealt_blocks(large)), reps), "op9-forest")
     links = common.stored(confirmed(tried, docs), "op9-links1")
     comps = components(links)
-    rest = candidates(small.select("node", "doc").unionAll(crossing(dealt, comps)), reps, comps).join(tried, ["a", "b"], "left_anti")
-    rest = common.stored(rest, "op9-rest")
+    rest = common.stored(unsettled(small, large, reps, comps), "op9-rest")
     if rest.limit(1).count():
-        comps = components(links.unionAll(confirmed(rest, docs)))
+        comps = components(links.unionAll(common.stored(settled(rest, docs), "op9-links2")))
     classes = vertex.join(comps, "doc", "left").select("lo", "hi", "n", F.coalesce("comp", "doc").alias("component_id"))
     out = signed.select("doc_id", "n", "lo", "hi").join(classes, ["lo", "hi", "n"], "left")
     component = F.coalesce("component_id", "doc_id")

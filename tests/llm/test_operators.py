@@ -258,6 +258,38 @@ def test_a_large_group_of_near_copies(spark):  # noqa: F811
     assert all(r["kept"] for r in got if r["doc_id"] >= 1000)
 
 
+def test_a_large_node_compared_in_tiles(spark, monkeypatch):  # noqa: F811
+    for name, value in (("LEAF", 8), ("BLOCK", 6), ("TILE_ROWS", 16), ("TILE_COLUMNS", 64)):
+        monkeypatch.setattr(op9_neardup, name, value)
+    rng = np.random.default_rng(11)
+    base = [f"t{i}" for i in range(120)]
+    rows = []
+    for d in range(90):
+        w = list(base)
+        for _ in range(int(rng.integers(0, 4))):  # around the threshold: some pairs link, many just miss
+            w[rng.integers(120)] = f"x{d}"
+        rows.append((d, " ".join(w)))
+    sets = {d: {tuple(t.split()[k : k + 5]) for k in range(116)} for d, t in rows}
+    root = {d: d for d, _ in rows}
+    for _ in rows:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+        if all(root[root[d]] == root[d] for d in root):
+            break
+    got = op9_neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == root
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 3000, rng.integers(0, 2500)).astype(np.uint64)) for _ in range(12)]
+    x, y = np.array([0, 2, 3, 4, 6, 8, 9, 10, 11]), np.array([1, 5, 7])
+    want = [[len(np.intersect1d(sets[i], sets[j])) for j in y] for i in x]
+    assert op9_neardup._shared(sets, x, y).tolist() == want
+
+
 def test_chat_edges(spark):  # noqa: F811
     hard = "</s>[INST] \\ <\\s> [/INST]\n"
     rows = [(1, 0, None, hard), (1, 1, "assistant", hard), (1, 1, "assistant", None), (1, 2, "user", ""), (2, 0, "odd [role]\n", "x"), (None, 0, "assistant", "y"), (None, 0, "assistant", "y")]
