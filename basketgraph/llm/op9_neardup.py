@@ -104,10 +104,11 @@ def _sets(raw: list[bytes]) -> list[np.ndarray]:
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
+    """The last 16 bits of each minwise value: different values agree in one of 65,536 cases, and candidates are confirmed."""
     low = np.full(SKETCH, 0xFFFFFFFF, np.uint32)
     for k in range(0, len(s), 2048):
         low = np.minimum(low, ((s[k : k + 2048, None] * _FACTORS[None, :]) >> np.uint64(32)).min(0).astype(np.uint32))
-    return low
+    return low.astype(np.uint16)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -143,7 +144,7 @@ def first_nodes(reps: DataFrame) -> DataFrame:
 
     def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = np.frombuffer(b"".join(batch["sketch"]), np.uint32).reshape(-1, SKETCH)
+            values = np.frombuffer(b"".join(batch["sketch"]), np.uint16).reshape(-1, SKETCH)
             ids = batch["doc"].to_numpy(np.int64)
             rows = np.repeat(np.arange(len(ids)), TREES)
             keys = np.tile(mix(np.arange(1, TREES + 1, dtype=np.uint64)), len(ids))
@@ -157,7 +158,7 @@ def first_nodes(reps: DataFrame) -> DataFrame:
 def next_nodes(nodes: DataFrame) -> DataFrame:
     def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = np.frombuffer(b"".join(batch["sketch"]), np.uint32).reshape(-1, SKETCH)
+            values = np.frombuffer(b"".join(batch["sketch"]), np.uint16).reshape(-1, SKETCH)
             keys, rows = _branch(batch["node"].to_numpy(np.int64).view(np.uint64), values, np.arange(len(batch)))
             yield pd.DataFrame({"node": keys.view(np.int64), "doc": batch["doc"].to_numpy(np.int64)[rows], "parent": batch["size"].to_numpy(np.int64)[rows]})
 
@@ -229,7 +230,7 @@ def candidates(nodes: DataFrame, reps: DataFrame) -> DataFrame:
             ids, n = g["doc"].to_numpy(np.int64), g["n"].to_numpy(np.int64)
             if len(ids) < 2:
                 continue
-            values = np.frombuffer(b"".join(g["sketch"]), np.uint32).reshape(-1, SKETCH)
+            values = np.frombuffer(b"".join(g["sketch"]), np.uint16).reshape(-1, SKETCH)
             one, two = _forest(values, n, mix(ids.astype(np.uint64)))
             a.append(ids[one])
             b.append(ids[two])
@@ -306,7 +307,7 @@ def unsettled(small: DataFrame, large: DataFrame, reps: DataFrame, comps: DataFr
     def left(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _groups(batches, "node"):
             side, comp, n = g["side"].to_numpy(), g["comp"].to_numpy(np.int64), g["n"].to_numpy(np.int64)
-            values = np.frombuffer(b"".join(g["sketch"]), np.uint32).reshape(-1, SKETCH)
+            values = np.frombuffer(b"".join(g["sketch"]), np.uint16).reshape(-1, SKETCH)
             x, y = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
             vx, nx, cx = values[x], n[x], comp[x]
             found = np.zeros(len(g), bool)
