@@ -26,6 +26,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with ``_v``, which tells documents of one doc_id apart; (doc_id, _v) is the key of a document.
+
+    An id with one text has 0, so that the column costs shuffles nothing; an id with several texts has the hash of each,
+    and rows that agree in both are one document. Each row without a doc_id is a document of its own: it has a written
+    row number from 1 on, so the key is the same whenever the table is read again.
+    """
+    nameless = stored(docs.where(F.col("doc_id").isNull()).withColumn("_v", F.monotonically_increasing_id() + 1), name)
+    named = docs.where(F.col("doc_id").isNotNull())
+    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    several = stored(named.groupBy("doc_id").agg(F.min(text).alias("l"), F.max(text).alias("m")).where("l < m").select(F.col("doc_id").alias("_several")), f"{name}-several")
+    named = named.join(broadcast_if_small(several), named["doc_id"] == several["_several"], "left")
+    named = named.withColumn("_v", F.when(F.col("_several").isNotNull(), text).otherwise(F.lit(0).cast("long"))).drop("_several")
+    return named.unionByName(nameless)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows; else unchanged, for a shuffle join."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -133,7 +133,7 @@ def proximity_matches(index: DataFrame, probe: DataFrame, slop: int) -> DataFram
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, hits (positions of hit words), item_ids (items with an occurring window)."""
+    """Per row of ``docs``: doc_id, text_hash (with doc_id its row_key), n_words, hits (positions of hit words), item_ids (items with an occurring window)."""
     terms = common.stored(item_terms(items).select("item_id", "off", "term"), "op2-items")
     index = common.stored(postings(docs, terms), "op2-postings")
     probe = common.stored(probes(terms, term_counts(index, terms)), "op2-probes")
@@ -142,13 +142,13 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = common.stored(phrase_spans(docs, items, aligned), "op2-spans").withColumnRenamed("key", "own")
     rows = index.where(F.col("term") == END).join(found, F.col("key").eqNullSafe(F.col("own")), "left")
     none = F.array().cast("array<bigint>")
-    return rows.select(F.col("key.id").alias("doc_id"), F.col("pos").cast("long").alias("n_words"), F.coalesce(F.col("hits"), F.array().cast("array<int>")).alias("hits"), F.coalesce(F.col("item_ids").cast("array<bigint>"), none).alias("item_ids"))
+    return rows.select(F.col("key.id").alias("doc_id"), F.col("key.h").alias("text_hash"), F.col("pos").cast("long").alias("n_words"), F.coalesce(F.col("hits"), F.array().cast("array<int>")).alias("hits"), F.coalesce(F.col("item_ids").cast("array<bigint>"), none).alias("item_ids"))
 
 
-def verdict(found: DataFrame) -> DataFrame:
-    """The digest columns of the contract."""
+def verdict(found: DataFrame, *keep: str) -> DataFrame:
+    """The digest columns of the contract, and the columns of ``found`` to keep."""
     ids = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
-    out = found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"))
+    out = found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), *keep)
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 

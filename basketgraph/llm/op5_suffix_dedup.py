@@ -13,7 +13,8 @@ windows are matched by a 128-bit digest with map-side combining instead, linear
 
 Defined results: a null or empty text has no bytes; texts below LENGTH bytes lose
 nothing; positions are ordered by (doc_id, start) with a null doc_id first; rows
-that repeat a doc_id are one document where their bytes agree, so a repeated row does not remove itself; an empty
+that agree in doc_id and text are one document, so a repeated row does not remove itself; different texts of one
+doc_id are different documents, and so is every row with a null doc_id (``common.keyed``); an empty
 table gives no rows. Other columns are ignored.
 """
 
@@ -62,10 +63,11 @@ def _pieces(ids: list[int], texts: list[bytes]) -> Iterator[tuple[list[int], lis
         yield docs, offsets, parts
 
 
-def stretches(ids: list[int], texts: list[bytes]) -> pd.DataFrame:
-    """key, seg (hash of the stretch's bytes), doc, start, n (windows; negative if the least substring repeats inside)."""
+def stretches(ids: list[int], variants: list[int], texts: list[bytes]) -> pd.DataFrame:
+    """key, seg (hash of the stretch's bytes), doc, v, start, n (windows; negative if the least substring repeats inside)."""
     out = []
-    for docs, offsets, parts in _pieces(ids, texts):
+    ids, variants = np.array(ids, np.int64), np.array(variants, np.int64)
+    for places, offsets, parts in _pieces(list(range(len(texts))), texts):
         data = np.frombuffer(b"".join(parts), np.uint8)
         size = np.array([len(p) for p in parts], np.int64)
         begin = np.cumsum(size) - size
@@ -96,15 +98,15 @@ def stretches(ids: list[int], texts: list[bytes]) -> pd.DataFrame:
         seg = r.of(first, last + LENGTH)
         owner = np.searchsorted(begin, first, side="right") - 1
         n = last - first + 1
-        out.append(pd.DataFrame({"key": key.view(np.int64), "seg": seg.view(np.int64), "doc": np.array(docs, np.int64)[owner], "start": np.array(offsets, np.int64)[owner] + first - begin[owner], "n": np.where(several, -n, n)}))
-    return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("key", "seg", "doc", "start", "n")})
+        out.append(pd.DataFrame({"key": key.view(np.int64), "seg": seg.view(np.int64), "doc": ids[places][owner], "v": variants[places][owner], "start": np.array(offsets, np.int64)[owner] + first - begin[owner], "n": np.where(several, -n, n)}))
+    return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("key", "seg", "doc", "v", "start", "n")})
 
 
-STRETCH = "key long, seg long, doc long, start long, n int"
+STRETCH = "key long, seg long, doc long, v long, start long, n int"
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """(doc, z): texts as compressed UTF-8, so that shuffles carry few bytes."""
+    """(doc, v, z): texts as compressed UTF-8, so that shuffles carry few bytes."""
 
     @F.pandas_udf("binary")
     def squeeze(text: pd.Series) -> pd.Series:
@@ -113,7 +115,7 @@ def _packed(docs: DataFrame) -> DataFrame:
         z = zstandard.ZstdCompressor(level=1)
         return pd.Series([z.compress((t or "").encode()) for t in text])
 
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), squeeze("text").alias("z"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("_v").alias("v"), squeeze("text").alias("z"))
 
 
 def _unpack(z: pd.Series) -> list[bytes]:
@@ -126,11 +128,11 @@ def _unpack(z: pd.Series) -> list[bytes]:
 def found_stretches(docs: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            df = stretches([NO_ID if pd.isna(d) else int(d) for d in batch["doc_id"]], [(t or "").encode() for t in batch["text"]])
+            df = stretches([NO_ID if pd.isna(d) else int(d) for d in batch["doc_id"]], list(batch["_v"]), [(t or "").encode() for t in batch["text"]])
             if len(df):
                 yield df
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(scan, STRETCH)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "_v", "text").mapInPandas(scan, STRETCH)
 
 
 def _whole_keys(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
@@ -153,49 +155,48 @@ def _whole_keys(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataF
 
 
 def matched_stretches(found: DataFrame) -> DataFrame:
-    """From stretches: kind 0 (doc, start, n): all n windows repeat an earlier stretch; kind 1: a stretch to be
+    """From stretches: kind 0 (doc, v, start, n): all n windows repeat an earlier stretch; kind 1: a stretch to be
     compared with the other ones of its key; kind 2: the same for a hot key."""
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in _whole_keys(batches, 100_000):
-            c = {k: block[k].to_numpy(np.int64) for k in ("key", "seg", "doc", "start", "n")}
+            c = {k: block[k].to_numpy(np.int64) for k in ("key", "seg", "doc", "v", "start", "n")}
             new = np.r_[True, c["key"][1:] != c["key"][:-1]]
             group = np.cumsum(new) - 1
             alone = np.bincount(group)[group] == 1
             sel = np.flatnonzero(~alone | (c["n"] < 0))
             if not len(sel):
                 continue
-            order = sel[np.lexsort((c["start"][sel], c["doc"][sel], c["n"][sel], c["seg"][sel], group[sel]))]
-            g, seg, doc, start, n = group[order], c["seg"][order], c["doc"][order], c["start"][order], c["n"][order]
+            order = sel[np.lexsort((c["start"][sel], c["v"][sel], c["doc"][sel], c["n"][sel], c["seg"][sel], group[sel]))]
+            g, seg, doc, v, start, n = group[order], c["seg"][order], c["doc"][order], c["v"][order], c["start"][order], c["n"][order]
             head = np.r_[True, (g[1:] != g[:-1]) | (seg[1:] != seg[:-1]) | (n[1:] != n[:-1])]
             owner = np.flatnonzero(head)[np.cumsum(head) - 1]
-            again = ~head & ((doc != doc[owner]) | (start != start[owner]))
+            again = ~head & ((doc != doc[owner]) | (v != v[owner]) | (start != start[owner]))
             kinds = np.bincount(g[head], minlength=int(g[-1]) + 1)[g]
             rep = head & ((kinds > 1) | (n < 0))
             kind = np.where(kinds > HOT, 2, 1)
             yield pd.DataFrame({
                 "kind": np.r_[np.zeros(again.sum(), np.int64), kind[rep]], "key": np.r_[np.zeros(again.sum(), np.int64), c["key"][order][rep]],
-                "doc": np.r_[doc[again], doc[rep]], "start": np.r_[start[again], start[rep]], "n": np.abs(np.r_[n[again], n[rep]]),
+                "doc": np.r_[doc[again], doc[rep]], "v": np.r_[v[again], v[rep]], "start": np.r_[start[again], start[rep]], "n": np.abs(np.r_[n[again], n[rep]]),
             })
 
     rows = found.repartition("key").sortWithinPartitions("key")
-    return rows.mapInPandas(match, "kind int, key long, doc long, start long, n int")
+    return rows.mapInPandas(match, "kind int, key long, doc long, v long, start long, n int")
 
 
 def cut_out(reps: DataFrame, packed: DataFrame) -> DataFrame:
-    """The bytes of stretches (kind 1), or digests of their windows (kind 2): kind, key, key2, doc, start, n, data."""
-    per_doc = reps.groupBy("doc").agg(F.collect_list(F.struct("kind", "key", "start", "n")).alias("reps"))
+    """The bytes of stretches (kind 1), or digests of their windows (kind 2): kind, key, key2, doc, v, start, n, data."""
+    per_doc = reps.groupBy("doc", "v").agg(F.collect_list(F.struct("kind", "key", "start", "n")).alias("reps"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc, data, reps in zip(batch["doc"], _unpack(batch["z"]), batch["reps"], strict=True):
-                fit = [r for r in reps if r["start"] + r["n"] + LENGTH - 1 <= len(data)]  # rows that repeat a doc_id may differ in length
-                plain = [(1, r["key"], 0, doc, r["start"], r["n"], data[r["start"] : r["start"] + r["n"] + LENGTH - 1]) for r in fit if r["kind"] == 1]
-                hot = [(2, *struct, doc, at, 1, None) for r in fit if r["kind"] == 2 for at in range(r["start"], r["start"] + r["n"]) for struct in [_digest(data[at : at + LENGTH])]]
+            for doc, v, data, reps in zip(batch["doc"], batch["v"], _unpack(batch["z"]), batch["reps"], strict=True):
+                plain = [(1, r["key"], 0, doc, v, r["start"], r["n"], data[r["start"] : r["start"] + r["n"] + LENGTH - 1]) for r in reps if r["kind"] == 1]
+                hot = [(2, *struct, doc, v, at, 1, None) for r in reps if r["kind"] == 2 for at in range(r["start"], r["start"] + r["n"]) for struct in [_digest(data[at : at + LENGTH])]]
                 if plain or hot:
-                    yield pd.DataFrame(plain + hot, columns=["kind", "key", "key2", "doc", "start", "n", "data"])
+                    yield pd.DataFrame(plain + hot, columns=["kind", "key", "key2", "doc", "v", "start", "n", "data"])
 
-    return packed.join(per_doc, "doc").mapInPandas(cut, "kind int, key long, key2 long, doc long, start long, n int, data binary")
+    return packed.join(per_doc, ["doc", "v"]).mapInPandas(cut, "kind int, key long, key2 long, doc long, v long, start long, n int, data binary")
 
 
 def _digest(window: bytes) -> tuple[int, int]:
@@ -203,20 +204,20 @@ def _digest(window: bytes) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
-def _intervals(doc: np.ndarray, pos: np.ndarray) -> pd.DataFrame:
+def _intervals(doc: np.ndarray, v: np.ndarray, pos: np.ndarray) -> pd.DataFrame:
     """Neighbouring window starts of a document as one stretch of windows."""
     if not len(doc):
-        return pd.DataFrame({"doc": doc, "start": pos, "n": pos})
-    order = np.lexsort((pos, doc))
-    doc, pos = doc[order], pos[order]
-    head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (pos[1:] > pos[:-1] + 1)])
+        return pd.DataFrame({"doc": doc, "v": v, "start": pos, "n": pos})
+    order = np.lexsort((pos, v, doc))
+    doc, v, pos = doc[order], v[order], pos[order]
+    head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (v[1:] != v[:-1]) | (pos[1:] > pos[:-1] + 1)])
     tail = np.append(head[1:], len(doc)) - 1
-    return pd.DataFrame({"doc": doc[head], "start": pos[head], "n": pos[tail] - pos[head] + 1})
+    return pd.DataFrame({"doc": doc[head], "v": v[head], "start": pos[head], "n": pos[tail] - pos[head] + 1})
 
 
 def repeated_windows(block: pd.DataFrame) -> pd.DataFrame:
     """By one suffix array over stretches of whole keys: the windows that an earlier one equals."""
-    parts, doc, start, n = list(block["data"]), block["doc"].to_numpy(np.int64), block["start"].to_numpy(np.int64), block["n"].to_numpy(np.int64)
+    parts, doc, v, start, n = list(block["data"]), block["doc"].to_numpy(np.int64), block["v"].to_numpy(np.int64), block["start"].to_numpy(np.int64), block["n"].to_numpy(np.int64)
     # bytes of UTF-8 stay below 0xF5, so after adding 1 the value 255 can part the stretches and 0 end the text
     gap = b"\xfe"
     t = np.append(np.frombuffer(gap.join(parts), np.uint8) + np.uint8(1), np.uint8(0))
@@ -227,16 +228,16 @@ def repeated_windows(block: pd.DataFrame) -> pd.DataFrame:
     owner = np.searchsorted(begin, sa, side="right") - 1
     offset = sa - begin[owner]
     is_window = offset < n[owner]
-    g, d, p = group[is_window], doc[owner[is_window]], start[owner[is_window]] + offset[is_window]
-    order = np.lexsort((p, d, g))
-    g, d, p = g[order], d[order], p[order]
+    g, d, w, p = group[is_window], doc[owner[is_window]], v[owner[is_window]], start[owner[is_window]] + offset[is_window]
+    order = np.lexsort((p, w, d, g))
+    g, d, w, p = g[order], d[order], w[order], p[order]
     head = np.r_[True, g[1:] != g[:-1]]
     first = np.flatnonzero(head)[np.cumsum(head) - 1]
-    again = ~head & ((d != d[first]) | (p != p[first]))
-    return _intervals(d[again], p[again])
+    again = ~head & ((d != d[first]) | (w != w[first]) | (p != p[first]))
+    return _intervals(d[again], w[again], p[again])
 
 
-WINDOWS = "doc long, start long, n long"
+WINDOWS = "doc long, v long, start long, n long"
 
 
 def sorted_shards(cut: DataFrame) -> DataFrame:
@@ -247,21 +248,21 @@ def sorted_shards(cut: DataFrame) -> DataFrame:
             if len(df):
                 yield df
 
-    plain = cut.where("kind = 1").select("key", "doc", "start", "n", "data")
+    plain = cut.where("kind = 1").select("key", "doc", "v", "start", "n", "data")
     return plain.repartition("key").sortWithinPartitions("key").mapInPandas(sort, WINDOWS)
 
 
 def hot_windows(cut: DataFrame) -> DataFrame:
-    rows = cut.where("kind = 2").select("key", "key2", "doc", "start")
-    first = rows.groupBy("key", "key2").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
-    return rows.join(first, ["key", "key2"]).where(F.struct("doc", "start") != F.col("first")).select("doc", "start", F.lit(1).cast("long").alias("n"))
+    rows = cut.where("kind = 2").select("key", "key2", "doc", "v", "start")
+    first = rows.groupBy("key", "key2").agg(F.min(F.struct("doc", "v", "start")).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    return rows.join(first, ["key", "key2"]).where(F.struct("doc", "v", "start") != F.col("first")).select("doc", "v", "start", F.lit(1).cast("long").alias("n"))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc, start, n): stretches of n window starts whose windows occur earlier; doc is NO_ID for a null doc_id."""
+    """(doc, v, start, n): stretches of n window starts whose windows occur earlier; doc is NO_ID for a null doc_id."""
     matched = common.stored(matched_stretches(found_stretches(docs)), "op5-matched")
     cut = common.stored(cut_out(matched.where("kind > 0"), _packed(docs)), "op5-cut")
-    whole = matched.where("kind = 0").select("doc", "start", F.col("n").cast("long").alias("n"))
+    whole = matched.where("kind = 0").select("doc", "v", "start", F.col("n").cast("long").alias("n"))
     return common.stored(whole.unionAll(sorted_shards(cut)).unionAll(hot_windows(cut)), "op5-repeats")
 
 
@@ -278,27 +279,32 @@ def removed_ranges(starts: np.ndarray, ns: np.ndarray, size: int) -> tuple[np.nd
     return a[head], reach[np.append(head[1:], len(a)) - 1]
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, _v long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
 def deduplicated(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes (null unless asked for)."""
-    gone = repeats(docs).groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
+    return cut_documents(common.keyed(docs.select("doc_id", "text"), "op5-nameless"), keep_bytes).drop("_v")
+
+
+def cut_documents(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
+    """The same per row of a table that ``common.keyed`` returned, with its ``_v``."""
+    gone = repeats(docs).groupBy("doc", "v").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc, data, starts, ns in zip(batch["doc"], _unpack(batch["z"]), batch["starts"], batch["ns"], strict=True):
+            for doc, v, data, starts, ns in zip(batch["doc"], batch["v"], _unpack(batch["z"]), batch["starts"], batch["ns"], strict=True):
                 a, b = removed_ranges(np.array(starts, np.int64), np.array(ns, np.int64), len(data)) if starts is not None else ((), ())
                 if len(a):
                     kept = b"".join(data[x:y] for x, y in zip([0, *b], [*a, len(data)], strict=True))
                 else:
                     kept = data
-                out.append((None if doc == NO_ID else doc, len(data), len(data) - len(kept), len(a), hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None))
-            df = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                out.append((None if doc == NO_ID else doc, v, len(data), len(data) - len(kept), len(a), hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None))
+            df = pd.DataFrame(out, columns=["doc_id", "_v", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
             yield df.astype({"doc_id": "Int64"})
 
-    return _packed(docs).join(gone, "doc", "left").select("doc", "z", "starts", "ns").mapInPandas(cut, RESULT)
+    return _packed(docs).join(gone, ["doc", "v"], "left").select("doc", "v", "z", "starts", "ns").mapInPandas(cut, RESULT)
 
 
 @query("op5_suffix_dedup")

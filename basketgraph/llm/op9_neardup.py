@@ -16,9 +16,10 @@ largest component with all of it, in tiles of bounded size), and returns a spann
 the links. No list of pairs is ever written out. Components come from min-label propagation with pointer jumping.
 
 Defined results: a null, empty or blank text has the empty set and is linked
-with nothing; fewer words than a shingle make one shingle of all words; rows that share a doc_id are one vertex;
-rows with a null doc_id follow their set's component and are never kept when that has a doc_id;
-an empty table gives no rows. Other columns are ignored.
+with nothing; fewer words than a shingle make one shingle of all words. Rows that agree in doc_id and text are one
+document; different texts of one doc_id are different documents, and so is every row with a null doc_id (``common.keyed``).
+component_id is the least doc_id of the component, null if it has none; one document of a component is kept, of least
+doc_id (null last) and then of least ``_v``. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -112,16 +113,17 @@ def sketch(s: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size), lo and hi (fingerprint of the set), sketch."""
+    """row (unique), doc_id, _v, n (set size), lo and hi (fingerprint of the set), sketch; stable once it is written."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = shingle_sets(list(batch["text"]))
             lo = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
             hi = np.array([mix(s ^ BASE).sum(dtype=np.uint64) for s in sets], np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "lo": lo.view(np.int64), "hi": hi.view(np.int64), "sketch": [sketch(s).tobytes() if len(s) else b"" for s in sets]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "_v": batch["_v"], "n": [len(s) for s in sets], "lo": lo.view(np.int64), "hi": hi.view(np.int64), "sketch": [sketch(s).tobytes() if len(s) else b"" for s in sets]})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(sign, "doc_id long, n long, lo long, hi long, sketch binary")
+    signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "_v", "text").mapInPandas(sign, "doc_id long, _v long, n long, lo long, hi long, sketch binary")
+    return signed.withColumn("row", F.monotonically_increasing_id())
 
 
 def _branch(keys: np.ndarray, values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -321,14 +323,18 @@ def unsettled(small: DataFrame, large: DataFrame, reps: DataFrame, comps: DataFr
     return rows.mapInPandas(left, "node long, doc long, comp long, side int")
 
 
-def _full_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc, s) of the documents in ``ids``, each once: the shingle set as bytes."""
+def _full_sets(ids: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc, s) of the vertices in ``ids``, each once: the shingle set as bytes."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc": batch["doc_id"].astype("int64"), "s": [s.tobytes() for s in shingle_sets(list(batch["text"]))]})
+            yield pd.DataFrame({"doc": batch["doc"], "s": [s.tobytes() for s in shingle_sets(list(batch["text"]))]})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(common.broadcast_if_small(ids.select(F.col("doc").alias("doc_id")).distinct()), "doc_id", "left_semi").mapInPandas(sets, "doc long, s binary")
+    wanted = common.stored(reps.join(ids.select("doc").distinct(), "doc", "left_semi").select("doc", F.col("doc_id").alias("own_id"), F.col("_v").alias("own_v"), "copies"), "op9-wanted")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "_v", "text").join(common.broadcast_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("_v") == F.col("own_v"))).select("doc", "copies", "text")
+    if wanted.where("copies > 1").limit(1).count():
+        rows = rows.dropDuplicates(["doc"])  # rows that agree in doc_id and text
+    return rows.select("doc", "text").mapInPandas(sets, "doc long, s binary")
 
 
 def _shared(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -351,9 +357,9 @@ def _shared(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def settled(rows: DataFrame, docs: DataFrame) -> DataFrame:
+def settled(rows: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """Confirmed links (a, b) that join different components: of each node or tile a spanning forest, on the full sets."""
-    full = common.stored(_full_sets(rows, docs), "op9-sets2")
+    full = common.stored(_full_sets(rows, reps, docs), "op9-sets2")
     rows = rows.join(full, "doc").repartition("node").sortWithinPartitions("node", "doc")
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -379,10 +385,10 @@ def settled(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(link, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     wanted = pairs.select(F.col("a").alias("doc")).unionAll(pairs.select(F.col("b").alias("doc")))
-    full = common.stored(_full_sets(wanted, docs), "op9-sets")
+    full = common.stored(_full_sets(wanted, reps, docs), "op9-sets")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -415,22 +421,34 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of ``docs``."""
+    return grouped_documents(common.keyed(docs.select("doc_id", "text"), "op9-nameless")).drop("_v")
+
+
+def grouped_documents(docs: DataFrame) -> DataFrame:
+    """The same per row of a table that ``common.keyed`` returned, with its ``_v``."""
     signed = common.stored(signatures(docs), "op9-signed")
-    filled = signed.where("n > 0 and doc_id is not null")
-    vertex = filled.groupBy("lo", "hi", "n").agg(F.min("doc_id").alias("doc"))
-    reps = common.stored(vertex.join(filled.select("lo", "hi", "n", F.col("doc_id").alias("doc"), "sketch"), ["lo", "hi", "n", "doc"]).dropDuplicates(["doc"]).select("doc", "n", "sketch"), "op9-reps")
+    filled = signed.where("n > 0")
+    own = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_v")
+    # a vertex goes by its least row; copies: the most rows of its set that agree in doc_id and text
+    documents = filled.groupBy("lo", "hi", "n", "doc_id", "_v").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
+    vertex = documents.groupBy("lo", "hi", "n").agg(F.min("row").alias("doc"), F.min(own).alias("first"), F.max("copies").alias("copies"))
+    vertex = common.stored(vertex, "op9-vertex")
+    reps = common.stored(vertex.select("doc", "copies").join(filled.select(F.col("row").alias("doc"), "doc_id", "_v", "n", "sketch"), "doc"), "op9-reps")
     small, large = tree_nodes(reps)
     large = common.stored(large, "op9-large")
     tried = common.stored(candidates(small.unionAll(dealt_blocks(large)), reps), "op9-forest")
-    links = common.stored(confirmed(tried, docs), "op9-links1")
+    links = common.stored(confirmed(tried, reps, docs), "op9-links1")
     comps = components(links)
     rest = common.stored(unsettled(small, large, reps, comps), "op9-rest")
     if rest.limit(1).count():
-        comps = components(links.unionAll(common.stored(settled(rest, docs), "op9-links2")))
-    classes = vertex.join(comps, "doc", "left").select("lo", "hi", "n", F.coalesce("comp", "doc").alias("component_id"))
-    out = signed.select("doc_id", "n", "lo", "hi").join(classes, ["lo", "hi", "n"], "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+        comps = components(links.unionAll(common.stored(settled(rest, reps, docs), "op9-links2")))
+    heads = comps.join(vertex.select("doc", "first"), "doc").groupBy("comp").agg(F.min("first").alias("head"))
+    classes = vertex.join(comps.join(heads, "comp").select("doc", "head"), "doc", "left").select("lo", "hi", "n", F.coalesce("head", "first").alias("head"))
+    out = signed.select("doc_id", "_v", "n", "lo", "hi").join(classes, ["lo", "hi", "n"], "left")
+    return out.select(
+        "doc_id", "_v", F.col("n").alias("n_shingles"), F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
+        (F.col("head").isNull() | own.eqNullSafe(F.col("head"))).alias("kept"),
+    )
 
 
 SQL = r"""

@@ -7,9 +7,9 @@ rest is packed. All stages but the last return the columns they were given.
 
 Defined results: an empty table passes through every stage; a null text counts as empty
 (the quality stage scores it like any text, the cutting stage leaves it null);
-rows with a null doc_id are kept or dropped by the same rules (in the near-duplicate stage they go if their
-set has a member with a doc_id); rows that repeat a doc_id share its decisions; other columns pass through
-untouched, whatever their names.
+decisions and cut texts go by document, not by doc_id: rows that agree in doc_id and text are one document, different
+texts of one doc_id are different ones, and so is every row with a null doc_id (in the near-duplicate stage it goes if
+its group has a document with a doc_id or an earlier one without); other columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ from basketgraph.llm import common, op2_decontaminate, op5_suffix_dedup, op6_qua
 from basketgraph.session import shared_path
 
 
-def _decided(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` by a table with one row (doc_id) per decision; null ids match each other."""
-    own = decisions.select(F.col("doc_id").alias("_decided_id")).distinct()
-    return docs.join(own, docs["doc_id"].eqNullSafe(F.col("_decided_id")), how)
+def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the documents (doc_id, key) of ``gone``; null ids match each other, so ``key`` tells them apart."""
+    own = gone.select(F.col("doc_id").alias("_gone_id"), F.col(key).alias("_gone_key")).distinct()
+    return docs.join(own, docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (docs[key] == F.col("_gone_key")), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,31 +34,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group."""
-    found = op9_neardup.near_duplicates(docs.select("doc_id", "text"))
-    return _decided(docs, found.where(~F.col("kept")), "left_anti")
+    """Keeps the first document of each group: least doc_id, null last."""
+    rows = common.keyed(docs, "pipeline-nameless")
+    found = op9_neardup.grouped_documents(rows.select("doc_id", "text", "_v"))
+    return _without(rows, found.where(~F.col("kept")), "_v").drop("_v")
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts out every byte of a 100-byte string that occurs earlier; parts of a character left at a cut go too."""
-    cut = op5_suffix_dedup.deduplicated(docs.select("doc_id", "text")).where("n_removed > 0")
+    rows = common.keyed(docs, "pipeline-nameless")
+    cut = op5_suffix_dedup.cut_documents(rows.select("doc_id", "text", "_v")).where("n_removed > 0")
 
     @F.pandas_udf("string")
     def text_of(kept):
         return kept.map(lambda b: bytes(b).decode(errors="ignore"))
 
-    changed = cut.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("_cut_id"), text_of("kept").alias("_cut_text"))
-    joined = docs.join(changed, docs["doc_id"].eqNullSafe(F.col("_cut_id")), "left")
-    text = F.coalesce(F.col("_cut_text"), docs["text"])
-    new = {"text": text, "n_chars": F.when(F.col("_cut_text").isNotNull(), F.length("_cut_text").cast("long")).otherwise(docs["n_chars"]) if "n_chars" in docs.columns else None}
-    return joined.select(*[new[c].alias(c) if new.get(c) is not None else docs[c] for c in docs.columns])
+    changed = cut.dropDuplicates(["doc_id", "_v"]).select(F.col("doc_id").alias("_cut_id"), F.col("_v").alias("_cut_v"), text_of("kept").alias("_cut_text"))
+    joined = rows.join(changed, rows["doc_id"].eqNullSafe(F.col("_cut_id")) & (rows["_v"] == F.col("_cut_v")), "left")
+    text = F.coalesce(F.col("_cut_text"), rows["text"])
+    new = {"text": text, "n_chars": F.when(F.col("_cut_text").isNotNull(), F.length("_cut_text").cast("long")).otherwise(rows["n_chars"]) if "n_chars" in docs.columns else None}
+    return joined.select(*[new[c].alias(c) if new.get(c) is not None else rows[c] for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth or more are words of benchmark windows."""
     items = common.read(spark, sf_dir, "benchmark").select("item_id", "text")
-    found = op2_decontaminate.verdict(op2_decontaminate.contamination(docs.select("doc_id", "text"), items))
-    return _decided(docs, found.where("contaminated"), "left_anti")
+    found = op2_decontaminate.verdict(op2_decontaminate.contamination(docs.select("doc_id", "text"), items), "text_hash")
+    rows = docs.withColumn("_text_hash", op2_decontaminate.row_key()["h"])
+    return _without(rows, found.where("contaminated").withColumnRenamed("text_hash", "_text_hash"), "_text_hash").drop("_text_hash")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
