@@ -145,7 +145,7 @@ def with_bestseller_flag(products: DataFrame, top: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _corrections(mc: DataFrame, deg: DataFrame, size: DataFrame) -> DataFrame:
+def corrections(mc: DataFrame, deg: DataFrame, size: DataFrame) -> DataFrame:
     """customer_key, product_key, t: the edge-reuse terms, one row per (order, product) of a customer."""
     j = mc.join(size, "order_key").join(deg, "product_key")
     t = F.col("m") * (F.lit(2) - F.col("size") - F.col("m") - F.col("deg"))
@@ -175,7 +175,7 @@ def order_path_scores_for(mc: DataFrame, customer: Column | int) -> DataFrame:
     triples = m.join(pairs, "order_key").select("product_key", (F.col("m") * F.col("a")).alias("t"))
     deg = on_mine.groupBy("product_key").agg(exact_sum("m").alias("deg"))
     size = mine.groupBy("order_key").agg(exact_sum("m").alias("size"))
-    corr = _corrections(mine, deg, size).select("product_key", "t")
+    corr = corrections(mine, deg, size).select("product_key", "t")
     scores = triples.unionByName(corr).groupBy("product_key").agg(exact_sum("t").alias("score"))
     return scores.where(F.col("score") > 0)
 
@@ -220,7 +220,7 @@ def order_path_scores(mc: DataFrame, hot_order_products: int = HOT_ORDER_PRODUCT
     )
 
     deg = mc.groupBy("product_key").agg(exact_sum("m").alias("deg"))
-    corr = _corrections(mc, deg, per_order.select("order_key", "size"))
+    corr = corrections(mc, deg, per_order.select("order_key", "size"))
 
     scores = (
         t_cold.unionByName(t_hot)

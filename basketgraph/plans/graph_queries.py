@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketgraph.functions.ids import CUSTOMER_PREFIX, ORDER_PREFIX, PRODUCT_PREFIX, prefixed
+from basketgraph.operators import bounded
 from basketgraph.operators import graph as graph_ops
 from basketgraph.operators import recommend as rec
 from basketgraph.plans.registry import register
@@ -268,11 +269,11 @@ def recommend_from_orders(spark: SparkSession, sf_dir: str, customer: int = SEED
     FROM ({_ORDER_PATHS_SQL.format(where="")}) s
     QUALIFY row_number() OVER (PARTITION BY c ORDER BY score DESC, p2) <= 10
     """,
-    "J7 T3",
+    "J7 A10 T3",
 )
 def recommend_from_orders_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     mc = materialize(rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir)))
-    return _recs_out(rec.top_k_per_customer(rec.order_path_scores(mc)))
+    return _recs_out(bounded.bounded_order_top_k(mc))
 
 
 # ---------------------------------------------------------------------------
@@ -331,6 +332,25 @@ def recommend_from_ratings_paths(spark: SparkSession, sf_dir: str, customer: int
     return _recs_out(scores, customer)
 
 
+@register(
+    "recommend_from_ratings_all",
+    f"""
+    WITH f AS MATERIALIZED (SELECT * FROM ({_FEEDBACK_SQL}) x WHERE sentiment = 'POSITIVE'),
+    paths AS (
+        SELECT f1.c, f3.p AS p2, f3.rating FROM f f1
+        JOIN f f2 ON f2.p = f1.p AND f2.eid <> f1.eid
+        JOIN f f3 ON f3.c = f2.c AND f3.eid <> f2.eid AND f3.eid <> f1.eid)
+    SELECT 'C' || CAST(c AS VARCHAR) AS customer_id, 'P' || CAST(p2 AS VARCHAR) AS product_id, MAX(rating) AS score
+    FROM paths GROUP BY c, p2
+    QUALIFY row_number() OVER (PARTITION BY c ORDER BY MAX(rating) DESC, p2) <= 10
+    """,
+    "J8 F7 T3",
+)
+def recommend_from_ratings_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's best-rated products by rating paths."""
+    return _recs_out(bounded.rating_top_k(feedback_keys(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------------------
 # Merge of both recommenders, product lookup and negative-feedback veto
 # ---------------------------------------------------------------------------
