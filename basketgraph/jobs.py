@@ -8,7 +8,7 @@ CLI (one verb, like the original jobs)::
     python -m basketgraph.jobs feedback --feedback feedback.json --out DIR
     python -m basketgraph.jobs stream   --lines DIR --stop s.txt --positive p.txt --negative n.txt --out DIR
                                         [--available-now] [--source-format text|socket|kafka --option k=v ...]
-    python -m basketgraph.jobs compact  --journal DIR/daily --out DIR2
+    python -m basketgraph.jobs compact  --out DIR [--vacuum]             (the daily table that stream writes under DIR)
     python -m basketgraph.jobs dates    --out DIR [--format graph-csv]   (after the other jobs wrote DIR)
 
 Intermediates shared by several outputs are persisted around the writes and
@@ -30,9 +30,8 @@ from pyspark.sql import functions as F
 from basketgraph.operators import assign, calendar, orders, prices
 from basketgraph.operators import feedback as fb
 from basketgraph.sources import files
-from basketgraph.functions.lexicon import words_of
 from basketgraph.sources.graph_files import read_graph_table, write_graph_table
-from basketgraph.streaming import feedback_stream, journal
+from basketgraph.streaming import feedback_stream
 
 # Size of the default farmer table.
 DEFAULT_FARMERS = 50
@@ -170,7 +169,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--negative")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--timeout", type=int, default=0, help="seconds to run a continuous stream; 0 = until stopped")
-    p.add_argument("--journal")
+    p.add_argument("--journal", help="compact: export the resolved table of this folder to --out instead")
+    p.add_argument("--vacuum", action="store_true", help="compact: also remove what the new generation replaces")
     a = p.parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
 
@@ -181,9 +181,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         write_tables(tables, [], a.out, a.format, a.mode, a.single_file)
         return 0
     if a.job == "compact":
-        journal.compact(
-            spark, a.journal, a.out, ["doc_id"], [journal.BATCH_COL, "productid", "rating", "sentAnalysis"]
-        )
+        if a.journal:
+            feedback_stream.keyed_feedback(spark, a.journal).read().write.mode("errorifexists").parquet(a.out)
+            return 0
+        table = feedback_stream.daily_table(spark, a.out)
+        table.compact()
+        if a.vacuum:
+            table.vacuum()
         return 0
 
     farmers = (
@@ -219,7 +223,7 @@ def _run_stream(spark: SparkSession, a) -> int:
     """The feedback stream: lines -> validated, scored records -> JSON, keyed daily table, dead letters."""
     options = dict(kv.split("=", 1) for kv in a.option)
     lines = feedback_stream.read_lines(spark, a.source_format, a.lines, **options)
-    lists = [words_of(files.read_word_list(spark, path)) for path in (a.stop, a.positive, a.negative)]
+    lists = [files.read_word_list(spark, path) for path in (a.stop, a.positive, a.negative)]
     queries = feedback_stream.start_feedback_stream(lines, a.out, *lists, available_now=a.available_now)
     if a.available_now:
         for q in queries:

@@ -100,3 +100,37 @@ def score_text_with_lexicon(
         F.try_divide(F.col("neg_count").cast("double"), F.col("n_tokens")).alias("neg_score"),
         label(F.col("pos_count"), F.col("neg_count")).alias("sentiment"),
     )
+
+
+def word_table(stop: DataFrame, positive: DataFrame, negative: DataFrame) -> DataFrame:
+    """word, is_stop, is_positive, is_negative from three word lists (column ``word``) of any size, one row per word.
+
+    Positive and negative words are cleaned by the text rule; stop words are matched as given, so only those of plain lower-case letters can match.
+    """
+    cleaned = F.lower(tx.trim_whitespace(tx.keep_letters("word"))).alias("word")
+
+    def marked(df: DataFrame, word: Column, name: str) -> DataFrame:
+        return df.select(word, *[F.lit(name == flag).alias(flag) for flag in ("is_stop", "is_positive", "is_negative")])
+
+    words = marked(stop, F.col("word"), "is_stop").unionByName(marked(positive, cleaned, "is_positive")).unionByName(marked(negative, cleaned, "is_negative"))
+    words = words.where(F.col("word").rlike("^[a-z]+$"))
+    return words.groupBy("word").agg(*[F.max(flag).alias(flag) for flag in ("is_stop", "is_positive", "is_negative")])
+
+
+def score_with_word_table(rows: DataFrame, row_id: str, text_col: str, words: DataFrame, broadcast_words: bool) -> DataFrame:
+    """``row_id``, n_tokens, pos_count, neg_count, sentiment by a join with ``word_table``: the counts of ``score_text``.
+
+    Tokens are joined to the words, which are broadcast on request (the caller knows their number) and shuffled
+    otherwise. A token that holds a tab or line break keeps it when its words are deleted, so it counts and matches nothing. Static
+    words join a micro-batch as they join a table.
+    """
+    text = F.lower(tx.trim_whitespace(tx.keep_letters(text_col)))
+    toks = rows.select(row_id, F.explode_outer(tx.tokens(text)).alias("word"))
+    j = toks.join(F.broadcast(words) if broadcast_words else words, "word", "left")
+    kept = F.col("word").isNotNull() & ~F.coalesce(F.col("is_stop"), F.lit(False))
+    counts = j.groupBy(row_id).agg(
+        F.count(F.when(kept, 1)).alias("n_tokens"),
+        F.count(F.when(kept & F.col("is_positive"), 1)).alias("pos_count"),
+        F.count(F.when(kept & F.col("is_negative"), 1)).alias("neg_count"),
+    )
+    return counts.select("*", label(F.col("pos_count"), F.col("neg_count")).alias("sentiment"))

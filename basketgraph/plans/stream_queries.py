@@ -10,13 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from basketgraph.functions.lexicon import NEGATIVE_WORDS, POSITIVE_WORDS, STOP_WORDS
 from basketgraph.plans.registry import register
 from basketgraph.plans.text_queries import sentiment_of_documents, sentiment_sql
 from basketgraph.session import shared_path
 from basketgraph.sources import tables as tb
-from basketgraph.streaming import journal
+from basketgraph.streaming import feedback_stream, journal
 from basketgraph.streaming.feedback_stream import run_to_completion, start_json_sink
+from basketgraph.streaming.generations import KeyedTable
 
 
 def _stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,3 +71,115 @@ def stream_upsert_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type",
         "value",
     )
+
+
+# ---------------------------------------------------------------------------
+# Raw feedback lines, broken ones included
+# ---------------------------------------------------------------------------
+
+# One line per document. By its id a line is cut short, no object, without a rating, or with one that no int holds.
+_LINE_KINDS = (("cut", 11), ("array", 19), ("unrated", 13), ("overrated", 17))
+
+
+def feedback_lines(docs: DataFrame) -> DataFrame:
+    """value: a raw feedback line per document; productid is the document's id."""
+    kind = F.lit("plain")
+    for name, divisor in reversed(_LINE_KINDS):
+        kind = F.when(F.col("doc_id") % divisor == 0, name).otherwise(kind)
+    rated = F.when(kind == "overrated", F.lit(3_000_000_000)).when(kind != "unrated", F.lit(1) + F.col("doc_id") % 5)
+    body = F.struct(
+        (F.col("doc_id") % 500).cast("string").alias("customerid"), F.col("doc_id").cast("string").alias("productid"),
+        rated.alias("rating"), F.col("text").alias("about"), F.col("source").alias("product"),
+    )
+    line = F.to_json(body)
+    cut = F.substring(line, F.lit(1), F.length(line) - 1)
+    array = F.concat(F.lit("["), F.col("doc_id").cast("string"), F.lit("]"))
+    return docs.select(F.when(kind == "cut", cut).when(kind == "array", array).otherwise(line).alias("value"))
+
+
+_LINES_SQL = f"""
+    SELECT CAST(doc_id AS VARCHAR) AS productid,
+           CASE WHEN reason IS NULL THEN CAST(doc_id % 500 AS VARCHAR) END AS userid,
+           CASE WHEN reason IS NULL THEN CAST(1 + doc_id % 5 AS INTEGER) END AS rating,
+           CASE WHEN reason IS NULL THEN sentiment END AS sentiment, reason
+    FROM (
+        SELECT d.doc_id, s.sentiment,
+               CASE WHEN d.doc_id % 11 = 0 OR d.doc_id % 19 = 0 THEN 'not_json_object'
+                    WHEN d.doc_id % 13 = 0 OR d.text IS NULL THEN 'missing_field'
+                    WHEN d.doc_id % 17 = 0 THEN 'rating_out_of_range' END AS reason
+        FROM documents d JOIN ({sentiment_sql("documents", "doc_id")}) s ON s.doc_id = d.doc_id) x
+"""
+
+
+def _written_lines(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """A stream of the lines, written as eight text files and read two files a batch."""
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    feedback_lines(docs).repartition(8).write.text(f"{base}/lines")
+    return feedback_stream.read_lines(spark, "text", f"{base}/lines", maxFilesPerTrigger=2)
+
+
+def _lines_out(spark: SparkSession, out: str) -> DataFrame:
+    """Records and rejects, one row per line."""
+    records = feedback_stream.read_records(spark, out)
+    dead = feedback_stream.read_dead_letters(spark, out)
+    own_id = F.coalesce(F.nullif(F.regexp_extract("raw", r'"productid":"(\d+)"', 1), F.lit("")), F.regexp_extract("raw", r"^\[(\d+)\]$", 1))
+    nothing = F.lit(None).cast("string")
+    return records.select("productid", "userid", "rating", F.col("sentAnalysis").alias("sentiment"), nothing.alias("reason")).unionByName(
+        dead.select(own_id.alias("productid"), nothing.alias("userid"), F.lit(None).cast("int").alias("rating"), nothing.alias("sentiment"), "reason")
+    )
+
+
+@register("stream_feedback_lines", _LINES_SQL, "S7 R2 R4 R5 K3 F4 X11 X12")
+def stream_feedback_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines through one pass that commits records, dead letters and the daily table by batch."""
+    base = shared_path(spark, "stream_feedback_lines")
+    lines = _written_lines(spark, sf_dir, base)
+    for query in feedback_stream.start_feedback_stream(lines, f"{base}/out", STOP_WORDS, POSITIVE_WORDS, NEGATIVE_WORDS, available_now=True):
+        run_to_completion(query)
+    return _lines_out(spark, f"{base}/out")
+
+
+@register("stream_feedback_words", _LINES_SQL, "S8 J12 R2 S7")
+def stream_feedback_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the word lists as tables that each batch joins."""
+    base = shared_path(spark, "stream_feedback_words")
+    lines = _written_lines(spark, sf_dir, base)
+    lists = [spark.createDataFrame([(w,) for w in words], "word string") for words in (STOP_WORDS, POSITIVE_WORDS, NEGATIVE_WORDS)]
+    for query in feedback_stream.start_feedback_stream(lines, f"{base}/out", *lists, available_now=True):
+        run_to_completion(query)
+    return _lines_out(spark, f"{base}/out")
+
+
+@register(
+    "stream_upsert_generations",
+    """
+    SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') || '_' || CAST(user_id AS VARCHAR) AS doc_id, user_id, event_id, event_type, value
+    FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1
+    """,
+    "K2 R5 R3",
+)
+def stream_upsert_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events streamed, compacted, the rest streamed from the checkpoint and the last batch replayed."""
+    base = shared_path(spark, "stream_upsert_generations")
+    events = tb.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    keyed = StructType([*events.select(journal.daily_key("ts", "user_id").alias("doc_id"), "*").schema.fields])
+    table = KeyedTable(spark, f"{base}/table", keyed, ["doc_id"], ["ts", "event_id"])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("doc_id", journal.daily_key("ts", "user_id")).where(F.col("doc_id").isNotNull())
+        table.write_batch(rows.withColumn("date", F.date_format("ts", "yyyy-MM-dd")), batch_id, "date")
+
+    def run() -> None:
+        lines = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(f"{base}/events")
+        query = lines.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start()
+        run_to_completion(query)
+
+    even = F.col("event_id") % 2 == 0
+    events.where(even).write.parquet(f"{base}/events/first")
+    run()
+    table.compact()
+    events.where(~even | even.isNull()).write.parquet(f"{base}/events/second")
+    run()
+    write(spark.read.schema(events.schema).parquet(f"{base}/events/second"), 1)  # a replay of the last batch
+    return table.read().select("doc_id", "user_id", "event_id", "event_type", "value")

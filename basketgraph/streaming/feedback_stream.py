@@ -1,41 +1,44 @@
 """The feedback stream: JSON lines -> validated records -> cleaned and scored -> sinks.
 
 The same column functions serve batch and stream; only the source and the
-sink differ. Sinks never run side effects inside a transformation: records are
-written by the streaming writer (JSON lines, K3) or by ``foreachBatch`` into
-the keyed journal (K2, see ``journal``).
+sink differ. Sinks never run side effects inside a transformation: one
+``foreachBatch`` reads each micro-batch of raw lines once and commits records,
+dead letters and the daily table by batch id (``FeedbackBatches``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from basketgraph import schemas
 from basketgraph.operators import feedback as fb_ops
 from basketgraph.operators import sentiment as sent
+from basketgraph.session import materialize
 from basketgraph.streaming import journal
+from basketgraph.streaming.generations import KeyedTable
 
 REQUIRED_FIELDS = ("customerid", "productid", "rating", "about")
 
 
+def flag_feedback_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Every raw line with its fields and ``reason`` (null when valid): raw, reason, customerid, productid, rating, about, product."""
+    parsed = fb_ops.parse_json_lines(lines, value_col, schemas.FEEDBACK_LINE, REQUIRED_FIELDS)
+    rating = F.expr("try_cast(parsed.rating AS INT)")
+    reason = F.when(F.col("reason").isNull() & rating.isNull(), F.lit("rating_out_of_range")).otherwise(F.col("reason"))
+    fields = [F.col(f"parsed.{name}").alias(name) for name in ("customerid", "productid")]
+    return parsed.select("raw", reason.alias("reason"), *fields, rating.alias("rating"), F.col("parsed.about").alias("about"), F.col("parsed.product").alias("product"))
+
+
 def parse_feedback_lines(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """(records, dead letters) from raw lines; dead letters keep the raw text and a reason."""
-    parsed = fb_ops.parse_json_lines(lines, value_col, schemas.FEEDBACK_LINE, REQUIRED_FIELDS)
-    fits = F.expr("try_cast(parsed.rating AS INT)").isNotNull()
-    parsed = parsed.withColumn("reason", F.when(F.col("reason").isNull() & ~fits, F.lit("rating_out_of_range")).otherwise(F.col("reason")))
-    valid, rejected = fb_ops.split_valid(parsed)
-    records = valid.select(
-        F.col("parsed.customerid").alias("customerid"),
-        F.col("parsed.productid").alias("productid"),
-        F.expr("try_cast(parsed.rating AS INT)").alias("rating"),
-        F.col("parsed.about").alias("about"),
-        F.col("parsed.product").alias("product"),
-    )
-    return records, rejected.select("raw", "reason")
+    valid, rejected = fb_ops.split_valid(flag_feedback_lines(lines, value_col))
+    return valid.drop("raw", "reason"), rejected.select("raw", "reason")
 
 
 def score_feedback(
@@ -96,38 +99,101 @@ def read_lines(spark, fmt: str = "text", path: str | None = None, **options) ->
     return df.select("value")
 
 
+WordList = Iterable[str] | DataFrame
+
+# Columns of a stored feedback record; the daily table adds its key.
+RECORD = T.StructType([
+    T.StructField("date", T.StringType()), T.StructField("userid", T.StringType()), T.StructField("productid", T.StringType()),
+    T.StructField("rating", T.IntegerType()), T.StructField("sentAnalysis", T.StringType()),
+])
+# Word tables of at most this many rows are broadcast to a batch; larger ones are shuffled.
+BROADCAST_WORDS = 1_000_000
+
+
+class FeedbackBatches:
+    """Commits each micro-batch of raw lines, read once, to three places under ``out_dir``.
+
+    * ``records/batch_id=N``: every scored record as JSON lines (K3);
+    * ``dead_letters/batch_id=N``: rejected lines with their reason;
+    * ``daily``: one row per user and day, last write wins (K2, ``generations``). Within a batch, records of one user and
+      day are ordered by product, rating and label, so the winner does not depend on arrival order.
+
+    Each place is replaced by batch id, and the daily table's commit is written last, so a replayed batch changes nothing.
+    Word lists are plain words, or tables of any size that are joined inside the batch.
+    """
+
+    def __init__(self, spark, out_dir: str, stop_words: WordList, positive: WordList, negative: WordList):
+        self.out_dir = out_dir.rstrip("/")
+        self.daily = daily_table(spark, self.out_dir)
+        self.lists = (stop_words, positive, negative)
+        self.words = None
+        if any(isinstance(x, DataFrame) for x in self.lists):
+            tables = [x if isinstance(x, DataFrame) else spark.createDataFrame([(w,) for w in x], "word string") for x in self.lists]
+            self.words = materialize(sent.word_table(*tables))
+            self.broadcast = self.words.count() <= BROADCAST_WORDS
+
+    def scored(self, flagged: DataFrame) -> DataFrame:
+        """Valid lines of a batch as records."""
+        records = flagged.where(F.col("reason").isNull())
+        if self.words is None:
+            return score_feedback(records, *self.lists)
+        labels = sent.score_with_word_table(records, "_row", "about", self.words, self.broadcast).select("_row", "sentiment")
+        day = F.date_format(F.current_date(), "yyyy-MM-dd").alias("date")
+        return records.join(labels, "_row").select(day, F.col("customerid").alias("userid"), "productid", "rating", F.col("sentiment").alias("sentAnalysis"))
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        flagged = flag_feedback_lines(batch).withColumn("_row", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if flagged.isEmpty():
+                return
+            scored = self.scored(flagged).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                scored.write.mode("overwrite").json(f"{self.out_dir}/records/batch_id={batch_id}")
+                dead = flagged.where(F.col("reason").isNotNull()).select("raw", "reason")
+                dead.write.mode("overwrite").json(f"{self.out_dir}/dead_letters/batch_id={batch_id}")
+                keyed = scored.select(journal.daily_key("date", "userid").alias("doc_id"), "*").where(F.col("doc_id").isNotNull())
+                self.daily.write_batch(keyed, batch_id, "date")
+            finally:
+                scored.unpersist()
+        finally:
+            flagged.unpersist()
+
+
+def keyed_feedback(spark, path: str) -> KeyedTable:
+    """One row per user and day at ``path``."""
+    schema = T.StructType([T.StructField("doc_id", T.StringType()), *RECORD.fields])
+    return KeyedTable(spark, path, schema, ["doc_id"], [journal.BATCH_COL, "productid", "rating", "sentAnalysis"])
+
+
+def daily_table(spark, out_dir: str) -> KeyedTable:
+    return keyed_feedback(spark, f"{out_dir.rstrip('/')}/daily")
+
+
 def start_feedback_stream(
     lines: DataFrame,
     out_dir: str,
-    stop_words: Iterable[str],
-    positive: Iterable[str],
-    negative: Iterable[str],
+    stop_words: WordList,
+    positive: WordList,
+    negative: WordList,
     available_now: bool = False,
+    interval: str = "1 second",
 ) -> list[StreamingQuery]:
-    """Validate, clean, score and label feedback lines; start three sinks under ``out_dir``.
+    """Validate, clean, score and label feedback lines: one query that reads the source once (``FeedbackBatches``)."""
+    commit = FeedbackBatches(lines.sparkSession, out_dir, stop_words, positive, negative)
+    writer = lines.writeStream.foreachBatch(commit).option("checkpointLocation", f"{out_dir.rstrip('/')}/_checkpoints/lines")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+    return [writer.start()]
 
-    * ``records``: every scored record as JSON lines (K3);
-    * ``daily``: the keyed journal, one document per user per day, last write wins (K2);
-    * ``dead_letters``: rejected lines with their reason.
 
-    Each sink has its own checkpoint under ``out_dir/_checkpoints``. Within one
-    micro-batch, records of one user and day are ordered by product, rating and
-    label, so the winner does not depend on arrival order inside the batch.
-    """
-    records, dead = parse_feedback_lines(lines)
-    scored = score_feedback(records, stop_words, positive, negative)
-    ck = f"{out_dir.rstrip('/')}/_checkpoints"
-    keyed = scored.select(journal.daily_key("date", "userid").alias("doc_id"), "*").where(F.col("doc_id").isNotNull())
-    queries = [
-        start_json_sink(scored, f"{out_dir}/records", f"{ck}/records", available_now),
-        journal.start_journal_sink(keyed, f"{out_dir}/daily", f"{ck}/daily", available_now),
-        start_json_sink(dead, f"{out_dir}/dead_letters", f"{ck}/dead_letters", available_now),
-    ]
-    return queries
+def read_records(spark, out_dir: str) -> DataFrame:
+    """All records written so far."""
+    return spark.read.schema(RECORD).json(f"{out_dir.rstrip('/')}/records").select(*RECORD.names)
+
+
+def read_dead_letters(spark, out_dir: str) -> DataFrame:
+    return spark.read.schema("raw string, reason string").json(f"{out_dir.rstrip('/')}/dead_letters").select("raw", "reason")
 
 
 def read_daily(spark, out_dir: str) -> DataFrame:
     """The keyed feedback table written by ``start_feedback_stream``."""
-    return journal.read_table(
-        spark, f"{out_dir}/daily", ["doc_id"], [journal.BATCH_COL, "productid", "rating", "sentAnalysis"]
-    )
+    return daily_table(spark, out_dir).read()
