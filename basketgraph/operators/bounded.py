@@ -244,23 +244,21 @@ def _first(df: DataFrame, by: str, rows: int, rating: str) -> DataFrame:
     return df.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= rows).drop("_place")
 
 
-def rating_top_k(feedback: DataFrame, k: int = rec.TOP_K, sentiment: str = rec.POSITIVE) -> DataFrame:
-    """customer_key, product_key, score for every customer over ``c -f1-> p1 <-f2- c2 -f3-> p2``: best rating of f3, top ``k``.
+def rating_edges(feedback: DataFrame, sentiment: str = rec.POSITIVE) -> DataFrame:
+    """customer_key, product_key, times, best: parallel edges of one sentiment and their best rating."""
+    liked = feedback.where(F.col("sentiment") == sentiment)
+    return liked.groupBy("customer_key", "product_key").agg(F.count(F.lit(1)).alias("times"), F.max("rating").alias("best"))
 
-    All edges carry ``sentiment`` and the three are distinct. Work is linear in the edges:
 
-    * A customer passes at most k + 1 products on to each product it likes. f3 must not be f2, which costs one product unless
-      the customer likes it twice; k others of the same customer rank before anything further down.
-    * A product keeps its 2k + 1 best. A reader leaves out what it handed on itself (at most k + 1) unless another
-      customer handed it on too, so k full entries remain before anything further down.
-    * c2 may be c itself where c likes p1 twice: then f3 is any third edge.
-    """
-    liked = feedback.where(F.col("sentiment") == sentiment)
-    edges = materialize(liked.groupBy("customer_key", "product_key").agg(F.count(F.lit(1)).alias("times"), F.max("rating").alias("best")))
+def own_best(edges: DataFrame, k: int = rec.TOP_K) -> DataFrame:
+    """customer_key, best_products: the k + 1 products that a customer hands on."""
     each = edges.select("customer_key", F.col("product_key").alias("p2"), F.col("best").alias("rating"), "times")
     best = _first(each, "customer_key", k + 1, "rating")
-    best = materialize(best.groupBy("customer_key").agg(F.collect_list(F.struct("p2", "rating", "times")).alias("best_products")))
+    return best.groupBy("customer_key").agg(F.collect_list(F.struct("p2", "rating", "times")).alias("best_products"))
+
 
+def product_lists(edges: DataFrame, best: DataFrame, k: int = rec.TOP_K) -> DataFrame:
+    """product_key, list: the 2k + 1 best products handed on through it, with the giver of the best rating and the best of another giver."""
     passed = edges.join(best, "customer_key").select("customer_key", "product_key", "times", F.explode("best_products").alias("b"))
     passed = passed.where((F.col("b.p2") != F.col("product_key")) | (F.col("times") >= 2))
     passed = passed.select("product_key", F.col("b.p2").alias("p2"), F.col("b.rating").alias("rating"), "customer_key")
@@ -272,8 +270,11 @@ def rating_top_k(feedback: DataFrame, k: int = rec.TOP_K, sentiment: str = rec.P
         F.max(F.when(~is_first, F.col("rating"))).alias("other_rating"), F.max(~is_first).alias("has_other"),
     )
     kept = _first(kept, "product_key", 2 * k + 1, "rating")
-    lists = materialize(kept.groupBy("product_key").agg(F.collect_list(F.struct("p2", "rating", "giver", "other_rating", "has_other")).alias("list")))
+    return kept.groupBy("product_key").agg(F.collect_list(F.struct("p2", "rating", "giver", "other_rating", "has_other")).alias("list"))
+
 
+def read_product_lists(edges: DataFrame, best: DataFrame, lists: DataFrame) -> DataFrame:
+    """customer_key, product_key, score for the customers of ``edges``; the top k of them are right, further ones may be missing."""
     read = edges.select("customer_key", "product_key").join(lists, "product_key").select("customer_key", F.explode("list").alias("e"))
     mine = F.col("e.giver") == F.col("customer_key")
     read = read.where(~mine | F.col("e.has_other")).select(
@@ -283,5 +284,21 @@ def rating_top_k(feedback: DataFrame, k: int = rec.TOP_K, sentiment: str = rec.P
     own = best.join(twice, "customer_key").select("customer_key", "doubles", "double", F.explode("best_products").alias("b"))
     own = own.where((F.col("doubles") >= 2) | (F.col("b.p2") != F.col("double")) | (F.col("b.times") >= 3))
     own = own.select("customer_key", F.col("b.p2").alias("product_key"), F.col("b.rating").alias("score"))
-    scores = read.unionByName(own).groupBy("customer_key", "product_key").agg(F.max("score").alias("score"))
-    return rec.top_k_per_customer(scores, k)
+    return read.unionByName(own).groupBy("customer_key", "product_key").agg(F.max("score").alias("score"))
+
+
+def rating_top_k(feedback: DataFrame, k: int = rec.TOP_K, sentiment: str = rec.POSITIVE) -> DataFrame:
+    """customer_key, product_key, score for every customer over ``c -f1-> p1 <-f2- c2 -f3-> p2``: best rating of f3, top ``k``.
+
+    All edges carry ``sentiment`` and the three are distinct. Work is linear in the edges:
+
+    * A customer passes at most k + 1 products on to each product it likes. f3 must not be f2, which costs one product unless
+      the customer likes it twice; k others of the same customer rank before anything further down.
+    * A product keeps its 2k + 1 best. A reader leaves out what it handed on itself (at most k + 1) unless another
+      customer handed it on too, so k full entries remain before anything further down.
+    * c2 may be c itself where c likes p1 twice: then f3 is any third edge.
+    """
+    edges = materialize(rating_edges(feedback, sentiment))
+    best = materialize(own_best(edges, k))
+    lists = materialize(product_lists(edges, best, k))
+    return rec.top_k_per_customer(read_product_lists(edges, best, lists), k)

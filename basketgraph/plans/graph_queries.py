@@ -17,6 +17,8 @@ from basketgraph.operators import recommend as rec
 from basketgraph.plans.registry import register
 from basketgraph.session import materialize, shared_path
 from basketgraph.sources import tables as tb
+from basketgraph.sources.lookup import Clustered
+from basketgraph.sources.merge_store import MergeStore
 
 # The customer the single-customer recommenders run for (a parameter of the
 # query, as the user id is in an interactive recommender call).
@@ -72,6 +74,57 @@ def liked_near(spark: SparkSession, sf_dir: str, customer: int) -> DataFrame:
     return _feedback_keys(tb.feedback(spark, sf_dir, lines, rec.broadcast_if_small(theirs)))
 
 
+class GraphStore:
+    """The graph of a table folder, clustered for one-customer lookups; built once per session and folder.
+
+    Holds what the all-customer recommenders compute on the way: a customer's weights and own terms by customer,
+    lists of products bought together by product (and products of large orders by order), rating edges and feedback by
+    customer, rating lists by product.
+    """
+
+    _built: dict[tuple[str, str], GraphStore] = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        base = shared_path(spark, "graph_store")
+
+        def put(name: str, df: DataFrame, key: str, rows: int) -> Clustered:
+            return Clustered.write(df, f"{base}/{name}", key, rows)
+
+        n = contains_keys(spark, sf_dir).count()
+        mc = materialize(rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir)))
+        entries, weights = (materialize(t) for t in bounded.path_lists(mc))
+        self.weights = put("weights", weights, "customer_key", n)
+        self.own = put("own", bounded.own_terms(mc), "customer_key", n)
+        self.entries = put("entries", entries, "key", entries.count())
+        feedback = materialize(feedback_keys(spark, sf_dir))
+        self.feedback = put("feedback", feedback, "customer_key", n)
+        edges = materialize(bounded.rating_edges(feedback))
+        best = materialize(bounded.own_best(edges))
+        self.rating_edges = put("rating_edges", edges, "customer_key", n)
+        self.rating_best = put("rating_best", best, "customer_key", 10 * best.count())
+        lists = materialize(bounded.product_lists(edges, best))
+        self.rating_lists = put("rating_lists", lists, "product_key", 20 * lists.count())
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> GraphStore:
+        at = (spark.sparkContext.applicationId, sf_dir)
+        if at not in cls._built:
+            cls._built[at] = cls(spark, sf_dir)
+        return cls._built[at]
+
+    def order_scores(self, customer: int) -> DataFrame:
+        """customer_key, product_key, score by order paths."""
+        weights = self.weights.lookup([customer])
+        entries = self.entries.lookup_from(weights, "key")
+        return bounded.scores_from_terms(entries, rec.broadcast_if_small(weights), self.own.lookup([customer]))
+
+    def rating_scores(self, customer: int) -> DataFrame:
+        """customer_key, product_key, score by rating paths; the top ten are right."""
+        edges = self.rating_edges.lookup([customer])
+        lists = self.rating_lists.lookup_from(edges, "product_key")
+        return bounded.read_product_lists(edges, self.rating_best.lookup([customer]), lists)
+
+
 def _recs_out(df: DataFrame, customer=None) -> DataFrame:
     cust = prefixed("customer_key", CUSTOMER_PREFIX) if customer is None else F.lit(f"{CUSTOMER_PREFIX}{customer}")
     return df.select(
@@ -257,9 +310,7 @@ _ORDER_PATHS_SQL = f"""
     "J7 F6 A10 T1",
 )
 def recommend_from_orders(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
-    mc = customer_multiplicities(spark, sf_dir, customer)
-    scores = rec.order_path_scores_for(mc, F.lit(customer))
-    return _recs_out(rec.top_k(scores), customer)
+    return _recs_out(rec.top_k(GraphStore.of(spark, sf_dir).order_scores(customer)), customer)
 
 
 @register(
@@ -307,8 +358,7 @@ _RATING_SQL = f"""
     "J8 F7 T2",
 )
 def recommend_from_ratings(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
-    scores = rec.rating_scores_for(liked_near(spark, sf_dir, customer), F.lit(customer))
-    return _recs_out(rec.top_k(scores), customer)
+    return _recs_out(rec.top_k(GraphStore.of(spark, sf_dir).rating_scores(customer)), customer)
 
 
 _RATING_PATHS_SQL = _RATING_SQL.replace(
@@ -358,10 +408,8 @@ def recommend_from_ratings_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _both_lists(spark: SparkSession, sf_dir: str, customer: int) -> tuple[DataFrame, DataFrame]:
     """Top lists of one customer by order paths and by ratings: customer_key, product_key, score."""
-    seed = F.lit(customer)
-    by_orders = rec.top_k(rec.order_path_scores_for(customer_multiplicities(spark, sf_dir, customer), seed))
-    by_ratings = rec.top_k(rec.rating_scores_for(liked_near(spark, sf_dir, customer), seed))
-    return by_orders.withColumn("customer_key", seed.cast("long")), by_ratings.withColumn("customer_key", seed.cast("long"))
+    store = GraphStore.of(spark, sf_dir)
+    return rec.top_k(store.order_scores(customer)), rec.top_k(store.rating_scores(customer))
 
 
 @register(
@@ -388,9 +436,7 @@ def _both_lists(spark: SparkSession, sf_dir: str, customer: int) -> tuple[DataFr
 def recommend_merge_veto(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
     by_orders, by_ratings = _both_lists(spark, sf_dir, customer)
     combined = rec.combine_recommendations(by_orders, by_ratings)
-    # The customer's own feedback, looked up by customer key before the join.
-    own = tb.table(spark, sf_dir, "orders").where(F.col("o_custkey") == customer).select("o_orderkey", "o_custkey", "o_orderdate")
-    mine = _feedback_keys(tb.feedback(spark, sf_dir, headers=rec.broadcast_if_small(own)))
+    mine = GraphStore.of(spark, sf_dir).feedback.lookup([customer])  # S11
     kept = rec.veto_disliked(combined, mine)
     named = kept.join(
         tb.products(spark, sf_dir).select(F.col("product_id").alias("product_key"), "product_name"),
@@ -426,20 +472,17 @@ def recommend_merge_veto(spark: SparkSession, sf_dir: str, customer: int = SEED_
 def recommend_merge_existing(spark: SparkSession, sf_dir: str, customer: int = SEED_CUSTOMER) -> DataFrame:
     """The stored ``recommended_for`` edges after three merges, run twice: order list, rating list, disliked products.
 
-    Each merge reads the stored table and writes the next one; edges already present keep their first source.
+    A merge adds only edges that are not stored, as one more delta; edges already present keep their first source.
     """
     by_orders, by_ratings = _both_lists(spark, sf_dir, customer)
-    own = tb.table(spark, sf_dir, "orders").where(F.col("o_custkey") == customer).select("o_orderkey", "o_custkey", "o_orderdate")
-    disliked = _feedback_keys(tb.feedback(spark, sf_dir, headers=rec.broadcast_if_small(own))).where(F.col("sentiment") == rec.NEGATIVE)
+    disliked = GraphStore.of(spark, sf_dir).feedback.lookup([customer]).where(F.col("sentiment") == rec.NEGATIVE)
     batches = [
-        materialize(batch.select("customer_key", "product_key", F.lit(source).alias("source")))
+        batch.select("customer_key", "product_key", F.lit(source).alias("source"))
         for source, batch in (("orders", by_orders), ("ratings", by_ratings), ("disliked", disliked))
     ]
-    stored = spark.createDataFrame([], batches[0].schema)
+    stored = MergeStore(spark, shared_path(spark, "recommended_for"), batches[0].schema, ["customer_key", "product_key"], buckets=16)
     for batch in batches + batches:
-        path = shared_path(spark, "recommended_for")
-        graph_ops.merge_edges(stored, batch, ["customer_key", "product_key"]).write.parquet(path)
-        stored = spark.read.parquet(path)
-    return stored.select(
+        stored.merge(batch)
+    return stored.read().select(
         prefixed("customer_key", CUSTOMER_PREFIX).alias("customer_id"), prefixed("product_key", PRODUCT_PREFIX).alias("product_id"), "source"
     )
