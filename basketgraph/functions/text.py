@@ -1,7 +1,7 @@
 """Feedback text cleaning as column expressions.
 
 The chain is: keep ASCII letters and whitespace, trim, lower-case, delete stop
-words (whole words, one regex pass), split on single spaces. Everything runs in
+words (whole words, looked up as a set), split on single spaces. Everything runs in
 the JVM (``regexp_replace``, ``split``, higher-order ``filter``); no Python UDF.
 """
 
@@ -59,9 +59,29 @@ def remove_words(col: Column | str, words: Iterable[str], literal: bool = True)
     return _c(col) if not pattern else F.regexp_replace(_c(col), pattern, "")
 
 
+def remove_word_set(col: Column | str, words: Iterable[str]) -> Column:
+    """``remove_words`` for words of ASCII letters on a text of ASCII letters and white space.
+
+    One scan cuts the text into runs of letters and runs of white space, and a hash set (``INSET``) drops the runs that
+    are words, so the time does not grow with their number as it does with one long alternation.
+    """
+    words = list(dict.fromkeys(words))
+    if not words:
+        return _c(col)
+    runs = F.regexp_extract_all(_c(col), F.lit(f"[a-zA-Z]+|[{WHITESPACE}]+"), F.lit(0))
+    return F.array_join(F.filter(runs, lambda run: ~run.isin(words)), "")
+
+
 def clean_text(col: Column | str, stop_words: Iterable[str], literal: bool = True) -> Column:
-    """Letters only, trimmed, lower case, stop words removed."""
-    return remove_words(F.lower(trim_whitespace(keep_letters(col))), stop_words, literal)
+    """Letters only, trimmed, lower case, stop words removed.
+
+    After cleaning, literal stop words can only match as whole runs of lower-case letters, so they are looked up as a set;
+    others never match and are left out. Patterns and stop phrases with white space take the regular expression.
+    """
+    text, stop_words = F.lower(trim_whitespace(keep_letters(col))), [w for w in stop_words if w]
+    if not literal or any(ch in w for w in stop_words for ch in WHITESPACE_CHARS):
+        return remove_words(text, stop_words, literal)
+    return remove_word_set(text, [w for w in stop_words if re.fullmatch("[a-z]+", w)])
 
 
 def tokens(col: Column | str) -> Column:

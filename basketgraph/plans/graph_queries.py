@@ -114,14 +114,12 @@ class GraphStore:
 
     def order_scores(self, customer: int) -> DataFrame:
         """customer_key, product_key, score by order paths."""
-        weights = self.weights.lookup([customer])
-        entries = self.entries.lookup_from(weights, "key")
-        return bounded.scores_from_terms(entries, rec.broadcast_if_small(weights), self.own.lookup([customer]))
+        entries, weights = self.entries.lookup_from(self.weights.lookup([customer]), "key")
+        return bounded.scores_from_terms(entries, weights, self.own.lookup([customer]))
 
     def rating_scores(self, customer: int) -> DataFrame:
         """customer_key, product_key, score by rating paths; the top ten are right."""
-        edges = self.rating_edges.lookup([customer])
-        lists = self.rating_lists.lookup_from(edges, "product_key")
+        lists, edges = self.rating_lists.lookup_from(self.rating_edges.lookup([customer]), "product_key")
         return bounded.read_product_lists(edges, self.rating_best.lookup([customer]), lists)
 
 
@@ -477,7 +475,7 @@ def recommend_merge_existing(spark: SparkSession, sf_dir: str, customer: int = S
     by_orders, by_ratings = _both_lists(spark, sf_dir, customer)
     disliked = GraphStore.of(spark, sf_dir).feedback.lookup([customer]).where(F.col("sentiment") == rec.NEGATIVE)
     batches = [
-        batch.select("customer_key", "product_key", F.lit(source).alias("source"))
+        materialize(batch.select("customer_key", "product_key", F.lit(source).alias("source")))
         for source, batch in (("orders", by_orders), ("ratings", by_ratings), ("disliked", disliked))
     ]
     stored = MergeStore(spark, shared_path(spark, "recommended_for"), batches[0].schema, ["customer_key", "product_key"], buckets=16)

@@ -29,6 +29,7 @@ class Clustered:
 
     def __init__(self, spark: SparkSession, path: str, key: str, buckets: int, columns: Sequence[str]):
         self.spark, self.path, self.key, self.buckets, self.columns = spark, path, key, buckets, list(columns)
+        self.stored = spark.read.parquet(path)  # folders are listed once, not per lookup
 
     @classmethod
     def write(cls, df: DataFrame, path: str, key: str, rows: int) -> Clustered:
@@ -41,20 +42,23 @@ class Clustered:
         return cls(df.sparkSession, path, key, buckets, df.columns)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).select(*self.columns)
+        return self.stored.select(*self.columns)
 
     def lookup(self, keys: Sequence[int]) -> DataFrame:
         """Rows of the given keys."""
-        stored = self.spark.read.parquet(self.path)
         if not keys:
-            return stored.where(F.lit(False)).select(*self.columns)
+            return self.stored.where(F.lit(False)).select(*self.columns)
         literal = [F.lit(int(k)) for k in keys]
-        return stored.where(F.col(BUCKET).isin([bucket_of(k, self.buckets) for k in literal]) & F.col(self.key).isin(literal)).select(*self.columns)
+        return self.stored.where(F.col(BUCKET).isin([bucket_of(k, self.buckets) for k in literal]) & F.col(self.key).isin(literal)).select(*self.columns)
 
-    def lookup_from(self, wanted: DataFrame, key: str) -> DataFrame:
-        """Rows whose key is in a column of ``wanted``: literals after a size check, else a semi join."""
-        found = wanted.select(key).distinct().limit(MAX_KEYS + 1).collect()
+    def lookup_from(self, wanted: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        """(rows whose key is in ``key`` of ``wanted``, ``wanted`` ready to be joined with them).
+
+        Few rows are fetched and looked up as literals; the second result then is a small broadcast table. More are semi-joined.
+        """
+        found = wanted.limit(MAX_KEYS + 1).collect()
         if len(found) <= MAX_KEYS:
-            return self.lookup([r[0] for r in found if r[0] is not None])
+            keys = sorted({r[key] for r in found if r[key] is not None})
+            return self.lookup(keys), F.broadcast(self.spark.createDataFrame(found, wanted.schema))
         keys = wanted.select(F.col(key).alias(self.key)).distinct()
-        return self.read().join(keys, self.key, "left_semi").select(*self.columns)
+        return self.read().join(keys, self.key, "left_semi").select(*self.columns), wanted

@@ -80,3 +80,24 @@ def test_lexicon_table_is_normalised_too(spark):
     lex = spark.createDataFrame([("All-around", "POSITIVE")], "word string, polarity string")
     r = sent.score_text_with_lexicon(docs, "id", "text", STOP, lex).first()
     assert (r.pos_count, r.sentiment) == (1, "POSITIVE")
+
+
+def test_stop_words_by_set_equal_the_regex(spark):
+    """Deleting runs by set lookup equals deleting words by one alternation, white space included."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from basketgraph.functions import text as tx
+
+    rng = random.Random(8)
+    words = ["a", "ab", "the", "of", "THE", "co.", "b-c", "", "é", "zz"]
+    texts = ["".join(rng.choice(["a", "ab", "The", "of", "OF", " ", "  ", "\t", "\n", "\x0b", "é", "co.", "b-c", "1", "zzz", "zz"]) for _ in range(rng.randrange(40))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "", None, "  "])], "id long, text string")
+    base = F.lower(tx.trim_whitespace(tx.keep_letters("text")))
+    got = df.select("id", tx.clean_text("text", words).alias("set"), tx.remove_words(base, words).alias("regex")).where("NOT (set <=> regex)")
+    assert got.collect() == []
+    phrase = df.select(tx.clean_text("text", ["the of"]).alias("set"), tx.remove_words(base, ["the of"]).alias("regex")).where("NOT (set <=> regex)")
+    assert phrase.collect() == []
+    plan = df.select(tx.clean_text("text", [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(5000)]).alias("c"))
+    assert plan.where("c IS NULL").count() == 1
