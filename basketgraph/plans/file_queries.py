@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketgraph.functions.ids import CUSTOMER_PREFIX, ORDER_PREFIX, date_key, prefixed
+from basketgraph.operators import prices as price_ops
 from basketgraph.plans.registry import register
 from basketgraph.session import shared_path
 from basketgraph.sources import files, graph_files
@@ -91,3 +92,79 @@ def graph_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "customer-nodes")
     graph_files.write_graph_table(nodes, path)
     return graph_files.read_graph_table(spark, path)
+
+
+# ---------------------------------------------------------------------------
+# Market price files of mixed widths
+# ---------------------------------------------------------------------------
+
+PRICE_FAMILIES = ("animal", "dairy", "fruit", "vegetable", "vegetal")
+
+# All lines as price rows in five folders. By rule on the keys, rows are short or long, lack a price or a month, or name none.
+_PRICE_ROWS_SQL = """
+    SELECT 'name "' || CAST(l_partkey AS VARCHAR) || '", fresh' AS product_name, l_linenumber % 5 AS family, l_partkey AS k,
+           CAST(date_trunc('month', l_shipdate) AS DATE) AS d, (l_partkey % 5000) / 100.0::DOUBLE AS price,
+           CASE WHEN l_orderkey % 23 = 0 THEN 'short_row' WHEN l_partkey % 37 = 0 THEN 'no_price'
+                WHEN l_partkey % 31 = 0 THEN 'bad_price' WHEN l_suppkey % 41 = 0 OR l_shipdate IS NULL THEN 'bad_month' END AS reason
+    FROM lineitem
+"""
+
+
+def written_prices(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The price rows as five folders of comma separated files, each file with a header and rows of 7, 13 or 15 columns."""
+    li = tb.table(spark, sf_dir, "lineitem")
+    name = F.concat(F.lit('"name ""'), F.col("l_partkey").cast("string"), F.lit('"", fresh"'))
+    month = F.when((F.col("l_suppkey") % 41 == 0) | F.col("l_shipdate").isNull(), "2020-13").otherwise(F.date_format("l_shipdate", "yyyy/MM"))
+    cents = F.col("l_partkey") % 5000
+    price = F.concat((cents / 100).cast("int").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    price = F.when(F.col("l_partkey") % 37 == 0, "").when(F.col("l_partkey") % 31 == 0, "n/a").otherwise(price)
+    short = F.concat_ws(",", name, month, *[F.lit("0")] * 5)
+    full = F.concat_ws(",", name, month, *[F.lit("0")] * 10, price)
+    line = F.when(F.col("l_orderkey") % 23 == 0, short).when(F.col("l_orderkey") % 29 == 0, F.concat(full, F.lit(",9,9"))).otherwise(full)
+    header = ",".join(["Product", "Date", *[f"C{i}" for i in range(10)], "ES"])
+    base = shared_path(spark, "prices")
+    for i, family in enumerate(PRICE_FAMILIES):
+        rows = li.where(F.col("l_linenumber") % 5 == i).select(line.alias("value"))
+        first = F.monotonically_increasing_id() % (1 << 33) == 0  # the first row of each part file
+        rows.select(F.when(first, F.concat(F.lit(header + "\n"), F.col("value"))).otherwise(F.col("value")).alias("value")).write.text(f"{base}/{family}")
+    return [f"{base}/{family}" for family in PRICE_FAMILIES]
+
+
+_FAMILY_SQL = "CASE family " + " ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(PRICE_FAMILIES)) + " END"
+
+
+@register(
+    "price_files",
+    f"""
+    SELECT product_name, CASE WHEN reason IS NULL THEN strftime(d, '%Y%m%d') END AS date_id, CASE WHEN reason IS NULL THEN price END AS price,
+           reason, {_FAMILY_SQL} AS family
+    FROM ({_PRICE_ROWS_SQL}) r
+    """,
+    "S2 U1 F3 X1 X5",
+)
+def price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of five mixed-width price files, kept or rejected with its file and reason."""
+    rows = files.parse_market_prices(spark, written_prices(spark, sf_dir))
+    kept = F.col("reason").isNull()
+    return rows.select(
+        "product_name", F.when(kept, date_key("price_date")).alias("date_id"), F.when(kept, F.col("price")).alias("price"), "reason",
+        F.regexp_extract("file", "/([a-z]+)/[^/]+$", 1).alias("family"),
+    )
+
+
+@register(
+    "price_history_files",
+    f"""
+    SELECT 'P' || CAST(k AS VARCHAR) AS product_id, strftime(d, '%Y%m%d') AS date_id, price AS marketpriceEU
+    FROM ({_PRICE_ROWS_SQL}) r WHERE reason IS NULL AND k IN (SELECT p_partkey FROM part)
+    """,
+    "S2 S3 J2 X5",
+)
+def price_history_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price edges from the price files and a product list file, joined on the name."""
+    parts = tb.table(spark, sf_dir, "part")
+    path = shared_path(spark, "product-list")
+    named = F.concat(F.lit('name "'), F.col("p_partkey").cast("string"), F.lit('", fresh'))
+    parts.select(F.col("p_partkey").alias("ProductID"), named.alias("Product"), F.col("p_type").alias("Type")).write.option("header", True).options(**files.QUOTED).csv(path)
+    observed = files.read_market_prices(spark, written_prices(spark, sf_dir))
+    return price_ops.price_history(observed, files.read_product_list(spark, path), key="product_name")

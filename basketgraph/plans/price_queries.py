@@ -32,7 +32,7 @@ _LATEST_SQL = f"""
     FROM ({_OBS_SQL}) o JOIN part p ON p.p_partkey = o.k
     WHERE o.price IS NOT NULL AND o.d IS NOT NULL
     """,
-    "S2 U1 F3 J2 X5",
+    "J2",
 )
 def price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.price_history(tb.price_observations(spark, sf_dir), tb.products(spark, sf_dir))

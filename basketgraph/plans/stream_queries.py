@@ -8,7 +8,7 @@ sink. The streaming plan is the batch plan: same column functions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -118,14 +118,18 @@ def _written_lines(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     return feedback_stream.read_lines(spark, "text", f"{base}/lines", maxFilesPerTrigger=2)
 
 
+def _line_id(raw: Column) -> Column:
+    """The document's id in a broken line."""
+    return F.coalesce(F.nullif(F.regexp_extract(raw, r'"productid":"(\d+)"', 1), F.lit("")), F.regexp_extract(raw, r"^\[(\d+)\]$", 1))
+
+
 def _lines_out(spark: SparkSession, out: str) -> DataFrame:
     """Records and rejects, one row per line."""
     records = feedback_stream.read_records(spark, out)
     dead = feedback_stream.read_dead_letters(spark, out)
-    own_id = F.coalesce(F.nullif(F.regexp_extract("raw", r'"productid":"(\d+)"', 1), F.lit("")), F.regexp_extract("raw", r"^\[(\d+)\]$", 1))
     nothing = F.lit(None).cast("string")
     return records.select("productid", "userid", "rating", F.col("sentAnalysis").alias("sentiment"), nothing.alias("reason")).unionByName(
-        dead.select(own_id.alias("productid"), nothing.alias("userid"), F.lit(None).cast("int").alias("rating"), nothing.alias("sentiment"), "reason")
+        dead.select(_line_id(F.col("raw")).alias("productid"), nothing.alias("userid"), F.lit(None).cast("int").alias("rating"), nothing.alias("sentiment"), "reason")
     )
 
 
@@ -139,6 +143,13 @@ def stream_feedback_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines_out(spark, f"{base}/out")
 
 
+@register("feedback_line_rejects", f"SELECT productid, reason FROM ({_LINES_SQL}) l WHERE reason IS NOT NULL", "F4 X11")
+def feedback_line_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected lines of one batch."""
+    lines = feedback_lines(tb.table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return feedback_stream.flag_feedback_lines(lines).where(F.col("reason").isNotNull()).select(_line_id(F.col("raw")).alias("productid"), "reason")
+
+
 @register("stream_feedback_words", _LINES_SQL, "S8 J12 R2 S7")
 def stream_feedback_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the word lists as tables that each batch joins."""

@@ -22,7 +22,7 @@ INVOICE_CSV = T.StructType(
 MARKET_PRICE_CSV = T.StructType(
     [T.StructField("product_name", T.StringType()), T.StructField("month", T.StringType())]
     + [T.StructField(f"unused_{i}", T.StringType()) for i in range(2, 12)]
-    + [T.StructField("price_es", T.DoubleType())]
+    + [T.StructField("price_es", T.StringType())]
 )
 
 PRODUCT_LIST_CSV = T.StructType(

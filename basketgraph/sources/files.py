@@ -63,24 +63,44 @@ def read_invoice_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     return parse_invoice_csv(spark, path).where(F.col("reason").isNull()).drop("reason")
 
 
-def read_market_prices(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """All market price files in one scan: product_name, price_date, price.
+# Reject reasons of market price rows (``BAD_PRICE`` too).
+SHORT_ROW = "short_row"
+NO_PRICE = "no_price"
+BAD_MONTH = "bad_month"
+
+
+def parse_market_prices(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """All rows of all market price files in one scan: product_name, price_date, price, ``reason`` (null when kept), n_columns, file.
 
-    A path list replaces a union of per-file reads. Short rows parse with a null
-    price and are dropped with the rows whose price is empty.
+    Files may mix widths. A row needs more than twelve columns and a number in the thirteenth; further columns are
+    ignored. Rows that miss either, or name no month, are rejected with their file; kept and rejected sum to the input. Header rows are those
+    with ``Date`` for a month. The CSV reader fills short rows up, so lines are read as text, the separators
+    outside quotes counted, and the fields parsed by ``from_csv``.
     """
-    raw = (
-        spark.read.schema(schemas.MARKET_PRICE_CSV)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .options(**QUOTED)
-        .csv(list(paths))
+    lines = spark.read.text(list(paths)).where(F.length(F.trim("value")) > 0)
+    unquoted = F.regexp_replace("value", '"(?:[^"]|"")*"', "")
+    n_columns = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    fields = F.from_csv("value", schemas.MARKET_PRICE_CSV.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {**QUOTED, "mode": "PERMISSIVE"})
+    raw = lines.select(fields.alias("f"), n_columns.alias("n_columns"), F.col("_metadata.file_path").alias("file")).select("f.*", "n_columns", "file")
+    raw = raw.where(~F.coalesce(F.col("month") == "Date", F.lit(False)))
+    price = F.trim("price_es").try_cast("double")
+    date = parse_month("month")
+    reason = (
+        F.when(F.col("n_columns") < len(schemas.MARKET_PRICE_CSV), SHORT_ROW)
+        .when(nonempty("price_es").isNull(), NO_PRICE)
+        .when(price.isNull() | F.isnan(price), BAD_PRICE)
+        .when(date.isNull(), BAD_MONTH)
     )
-    return raw.where(F.col("price_es").isNotNull()).select(
-        "product_name", parse_month("month").alias("price_date"), F.col("price_es").alias("price")
+    return raw.select(
+        "product_name", date.alias("price_date"), price.alias("price"), reason.alias("reason"), "n_columns", "file"
     )
 
 
+def read_market_prices(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The rows of ``parse_market_prices`` that count: product_name, price_date, price. A path list replaces a union of per-file reads."""
+    return parse_market_prices(spark, paths).where(F.col("reason").isNull()).select("product_name", "price_date", "price")
+
+
 def read_product_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PRODUCT_LIST_CSV).option("header", True).options(**QUOTED).csv(path)
 
