@@ -11,7 +11,8 @@ Training reads at most ``SAMPLE_DOCS`` labelled texts per class, of at most
 is 0 are held out and never read. Everything else covers all texts.
 
 Defined results: a null or empty text has difference 0 and gets the curve's value there; rows
-with a null doc_id are scored like others (held_out false); repeated rows are scored each; an
+with a null doc_id are scored like others (held_out false); repeated rows are scored each and count once in training (least
+text of a doc_id); a doc_id with contradicting labels is not trained on; an
 empty table gives no rows; if a class has no labelled text, the score is the
 share of label 1 for every text (0.5 without labels). Other columns are ignored.
 """
@@ -69,15 +70,31 @@ class Model:
         return 1 / (1 + np.exp(-(self.slope * x + self.offset)))
 
 
+def chosen_ids(usable: DataFrame, marks: DataFrame, label: int, docs_per_class: int) -> DataFrame:
+    """doc_id of at most ``docs_per_class`` usable documents of a label, first by a hash of doc_id.
+
+    Only ids move. A threshold on the hash, from the count, leaves about twice as many before they are sorted, so what one task
+    or the driver gets does not grow with the table.
+    """
+    ids = common.stored(marks.where(F.col("quality") == label).select("doc_id").join(usable.select("doc_id"), "doc_id", "left_semi"), "op6-ids")
+    n, hashed = ids.count(), F.xxhash64("doc_id")
+    share = 2 * docs_per_class / n if n else 1.0
+    few = ids if share >= 0.9 else ids.where(hashed < int(-(2**63) + share * 2**64))
+    return few.orderBy(hashed, "doc_id").limit(docs_per_class)
+
+
 def sample(docs: DataFrame, labels: DataFrame, docs_per_class: int = SAMPLE_DOCS) -> tuple[list[str], list[str]]:
     """(good, bad) labelled texts for training; bounded by docs_per_class x SAMPLE_BYTES."""
-    usable = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")) & (F.octet_length("text").between(1, SAMPLE_BYTES)))
-    marks = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).select("doc_id", "quality").dropDuplicates(["doc_id"])
-    known = usable.join(marks, "doc_id")
+    usable = docs.where(~held_out(F.col("doc_id")) & F.octet_length("text").between(1, SAMPLE_BYTES))
+    known = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+    marks = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_other")).where("quality = _other")
     out = []
     for label in (1, 0):
-        rows = known.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(docs_per_class).collect()
-        out.append([r["text"] for r in rows])
+        ids = chosen_ids(usable, marks, label, docs_per_class)
+        # at most docs_per_class ids are broadcast, and as many texts of bounded size fetched
+        texts = usable.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+        rows = texts.select(F.xxhash64("doc_id").alias("h"), "doc_id", "text").collect()
+        out.append([r["text"] for r in sorted(rows, key=lambda r: (r["h"], r["doc_id"]))])
     return out[0], out[1]
 
 
