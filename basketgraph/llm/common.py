@@ -148,13 +148,13 @@ class CachedTokenizer:
     """
 
     OTHER_SPACE = r"[\x00\x01\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
-    def __init__(self, path: str, space_joins_next: bool, max_cached: int = 1_000_000):
+    def __init__(self, path: str, space_joins_next: bool, max_cached: int = 300_000, slice_chars: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.joins, self.max_cached = space_joins_next, max_cached
+        self.joins, self.max_cached, self.slice_chars = space_joins_next, max_cached, slice_chars
         self._reset()
 
     def _reset(self) -> None:
@@ -200,8 +200,27 @@ class CachedTokenizer:
         self.used += len(ids)
         self.at.update(zip(chunks, range(k, k + n), strict=True))
 
+    def _forget(self) -> None:
+        """Drop what lies beyond the cache's size: the chunks met first, the frequent ones among them, stay."""
+        if len(self.at) > self.max_cached:
+            for chunk in list(self.at)[self.max_cached :]:
+                del self.at[chunk]
+            self.used = int(self.start[self.max_cached])
+
     def encode_many(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and how many each text has."""
+        """Ids of all texts in a row, and how many each text has; worked off in slices of about ``slice_chars``."""
+        found, begin, chars = [], 0, 0
+        for k, text in enumerate(texts):
+            chars += len(text or "")
+            if chars >= self.slice_chars or k == len(texts) - 1:
+                found.append(self._encode_slice(texts[begin : k + 1]))
+                self._forget()
+                begin, chars = k + 1, 0
+        if not found:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        return np.concatenate([ids for ids, _ in found]), np.concatenate([n for _, n in found])
+
+    def _encode_slice(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         import pyarrow as pa
         import pyarrow.compute as pc
 
@@ -216,8 +235,6 @@ class CachedTokenizer:
             lists = pc.ascii_split_whitespace(plain)
         coded = lists.values.dictionary_encode()
         chunks = coded.dictionary.to_pylist()
-        if len(self.at) > self.max_cached:
-            self._reset()
         at = self.at
         self._learn([c for c in chunks if c not in at and c])
         row = np.fromiter((at[c] if c else -1 for c in chunks), np.int64, len(chunks))

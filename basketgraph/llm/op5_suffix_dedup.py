@@ -102,6 +102,7 @@ def stretches(ids: list[int], variants: list[int], texts: list[bytes]) -> pd.Dat
     return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("key", "seg", "doc", "v", "start", "n")})
 
 
+SLICE_BYTES = 2 << 20
 STRETCH = "key long, seg long, doc long, v long, start long, n int"
 
 
@@ -125,12 +126,22 @@ def _unpack(z: pd.Series) -> list[bytes]:
     return [d.decompress(x) for x in z]
 
 
+def _slices(batch: pd.DataFrame, size: pd.Series) -> Iterator[pd.DataFrame]:
+    """A batch in parts of about SLICE_BYTES, so that a task's memory follows bytes and not rows."""
+    part = (size.cumsum() // SLICE_BYTES).to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(batch)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            yield batch.iloc[a:b]
+
+
 def found_stretches(docs: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            df = stretches([NO_ID if pd.isna(d) else int(d) for d in batch["doc_id"]], list(batch["_v"]), [(t or "").encode() for t in batch["text"]])
-            if len(df):
-                yield df
+            for part in _slices(batch, batch["text"].map(lambda t: len(t or ""))):
+                df = stretches([NO_ID if pd.isna(d) else int(d) for d in part["doc_id"]], list(part["_v"]), [(t or "").encode() for t in part["text"]])
+                if len(df):
+                    yield df
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "_v", "text").mapInPandas(scan, STRETCH)
 
@@ -292,7 +303,7 @@ def cut_documents(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     gone = repeats(docs).groupBy("doc", "v").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, whole["z"].map(len) * 4)):
             out = []
             for doc, v, data, starts, ns in zip(batch["doc"], batch["v"], _unpack(batch["z"]), batch["starts"], batch["ns"], strict=True):
                 a, b = removed_ranges(np.array(starts, np.int64), np.array(ns, np.int64), len(data)) if starts is not None else ((), ())
