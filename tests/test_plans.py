@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 
+from basketgraph.operators import recommend as rec
 from basketgraph.plans import REGISTRY
+from basketgraph.plans import graph_queries as gq
 
 SF = "/root/testdata/sf0.001"
 BATCH = [n for n in REGISTRY if not n.startswith("stream_") and n not in ("assign_supplier", "farmer_table")]
@@ -27,7 +29,9 @@ def test_top_k_is_take_ordered(spark):
 
 
 def test_per_customer_top_k_uses_window_group_limit(spark):
-    df = REGISTRY["recommend_from_orders_all"].build(spark, SF)
+    # the all-customers query merges list heads instead; this is its exact fallback for customers of any size
+    mc = rec.order_product_counts(gq.contains_keys(spark, SF), gq.buys_keys(spark, SF))
+    df = rec.top_k_per_customer(rec.order_path_scores(mc))
     plan = df._jdf.queryExecution().executedPlan().toString()
     # AQE wraps the plan; the initial plan shows the limits on both sides of the shuffle
     initial = df._jdf.queryExecution().sparkPlan().toString()
