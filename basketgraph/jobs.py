@@ -10,6 +10,7 @@ CLI (one verb, like the original jobs)::
                                         [--available-now] [--source-format text|socket|kafka --option k=v ...]
     python -m basketgraph.jobs compact  --out DIR [--vacuum]             (the daily table that stream writes under DIR)
     python -m basketgraph.jobs dates    --out DIR [--format graph-csv]   (after the other jobs wrote DIR)
+    python -m basketgraph.jobs graph    --input DIR --out DIR2 [--format graph-csv] [--categories categories.csv]
 
 Intermediates shared by several outputs are persisted around the writes and
 released afterwards (G1). Outputs are parquet by default; ``graph-csv`` writes
@@ -27,9 +28,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketgraph.operators import assign, calendar, orders, prices
+from basketgraph.operators import assign, calendar, graph, orders, prices
 from basketgraph.operators import feedback as fb
-from basketgraph.sources import files
+from basketgraph.sources import files, shared_files
 from basketgraph.sources.graph_files import read_graph_table, write_graph_table
 from basketgraph.streaming import feedback_stream
 
@@ -113,6 +114,46 @@ def date_tables(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> Data
     return calendar.date_nodes(refs)
 
 
+# Node tables by label, and edge tables with the labels of their ends.
+GRAPH_NODES = {
+    "customer": "customerNode", "segment": "segmentNode", "order": "orderNode", "date": "dateNode", "product": "productNode",
+    "category": "categoryNode", "farmer": "farmerNode",
+}
+GRAPH_EDGES = {
+    "classified_as": ("classifiedasEdge", "customer", "segment"), "buys": ("buysEdge", "customer", "order"), "in_date": ("indateEdge", "order", "date"),
+    "contains": ("containsEdge", "order", "product"), "supplied_by": ("suppliedbyEdge", "order", "farmer"), "price_in_date": ("priceInDateEdge", "product", "date"),
+    "feedback": ("feedbackEdge", "customer", "product"), "belongs_to": ("belongstoEdge", "product", "category"),
+}
+
+
+def _stored_table(spark: SparkSession, in_dir: str, name: str, fmt: str) -> DataFrame | None:
+    """A table that another job wrote, with string ids; None if it has not run."""
+    path = f"{in_dir.rstrip('/')}/{name}"
+    if not shared_files.exists(spark, path):
+        return None
+    df = read_graph_table(spark, path) if fmt == "graph-csv" else _graph_columns(name, spark.read.parquet(path))
+    for end in ("id", "src", "dst"):
+        if end in df.columns:
+            df = df.withColumn(end, F.col(end).cast("string"))
+    return df
+
+
+def graph_from_files(spark: SparkSession, in_dir: str, fmt: str = "graph-csv", categories: str | None = None) -> graph.Graph:
+    """The graph of all node and edge tables under ``in_dir``; edges to nodes that no table holds are rejected."""
+    nodes = {label: _stored_table(spark, in_dir, name, fmt) for label, name in GRAPH_NODES.items()}
+    if categories:
+        nodes["category"] = read_graph_table(spark, categories)
+    nodes = {label: spark.createDataFrame([], "id string") if df is None else df for label, df in nodes.items()}
+    edges = {}
+    for name, (table, src, dst) in GRAPH_EDGES.items():
+        df = _stored_table(spark, in_dir, table, fmt)
+        if df is not None:
+            edges[name] = graph.EdgeSpec(df, src, dst)
+    if not edges:
+        raise ValueError(f"no edge tables under {in_dir}")
+    return graph.assemble_graph(nodes, edges)
+
+
 def write_tables(
     tables: Mapping[str, DataFrame], shared: list[DataFrame], out_dir: str, fmt: str = "parquet",
     mode: str = "errorifexists", single_file: bool = False,
@@ -149,10 +190,11 @@ def _categories(spark: SparkSession, path: str) -> DataFrame:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="basketgraph.jobs")
-    p.add_argument("job", choices=["orders", "mkt", "feedback", "stream", "compact", "dates"])
+    p.add_argument("job", choices=["orders", "mkt", "feedback", "stream", "compact", "dates", "graph"])
     p.add_argument("--out", required=True)
     p.add_argument("--format", default="parquet", choices=["parquet", "graph-csv"])
     p.add_argument("--mode", default="errorifexists")
+    p.add_argument("--input", help="graph: folder of the node and edge tables that the other jobs wrote in --format")
     p.add_argument("--single-file", action="store_true", help="one part file per graph-csv table (small exports)")
     p.add_argument("--invoices")
     p.add_argument("--farmers", help="CSV with header farmer_key,farmer_name")
@@ -176,6 +218,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     if a.job == "stream":
         return _run_stream(spark, a)
+    if a.job == "graph":
+        graph.write_graph(graph_from_files(spark, a.input, a.format, a.categories), a.out.rstrip("/"), a.mode)
+        return 0
     if a.job == "dates":
         tables = {"dateNode": date_tables(spark, a.out, a.format)}
         write_tables(tables, [], a.out, a.format, a.mode, a.single_file)

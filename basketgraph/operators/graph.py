@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +82,7 @@ class Graph:
     nodes: dict[str, DataFrame]
     edges: dict[str, DataFrame]
     flagged: DataFrame  # edge_type, src, dst, reason (null for kept edges)
+    by_type: dict[str, DataFrame]  # edge columns and reason, per edge type
 
     @property
     def rejects(self) -> DataFrame:
@@ -92,21 +95,24 @@ def assemble_graph(nodes: Mapping[str, DataFrame], edges: Mapping[str, EdgeSpec]
     Node tables have an ``id`` column, edge tables ``src`` and ``dst``. The
     result is lazy; write it with ``write_graph`` or the graph file writer.
     """
-    kept, parts = {}, []
-    for name, spec in edges.items():
-        flagged = flag_edges(spec.edges, nodes[spec.src_label], nodes[spec.dst_label])
-        kept[name] = flagged.where(F.col("reason").isNull()).select(spec.edges.columns)
-        parts.append(flagged.select(F.lit(name).alias("edge_type"), "src", "dst", "reason"))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return Graph(dict(nodes), kept, report)
+    by_type = {name: flag_edges(spec.edges, nodes[spec.src_label], nodes[spec.dst_label]) for name, spec in edges.items()}
+    kept = {name: by_type[name].where(F.col("reason").isNull()).select(spec.edges.columns) for name, spec in edges.items()}
+    parts = [flagged.select(F.lit(name).alias("edge_type"), "src", "dst", "reason") for name, flagged in by_type.items()]
+    return Graph(dict(nodes), kept, reduce(DataFrame.unionByName, parts), by_type)
 
 
 def write_graph(graph: Graph, path: str, mode: str = "overwrite") -> None:
-    """Persist every node and edge table and the reject report as parquet under ``path``."""
+    """Persist every node and edge table and the reject report (one folder per edge type) as parquet under ``path``.
+
+    The joins of an edge type run once: its flagged edges are held while the kept ones and the rejects are written.
+    """
     for name, df in graph.nodes.items():
         df.write.mode(mode).parquet(f"{path}/nodes/{name}")
-    for name, df in graph.edges.items():
-        df.write.mode(mode).parquet(f"{path}/edges/{name}")
-    graph.rejects.write.mode(mode).parquet(f"{path}/rejects")
+    for name, flagged in graph.by_type.items():
+        held = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            missing = F.col("reason").isNotNull()
+            held.where(~missing).drop("reason").write.mode(mode).parquet(f"{path}/edges/{name}")
+            held.where(missing).select("src", "dst", "reason").write.mode(mode).parquet(f"{path}/rejects/edge_type={name}")
+        finally:
+            held.unpersist()

@@ -7,9 +7,12 @@ T1, T3 (order paths), J8, F7, T2 (rating paths), U3, K4, J9, J11, F8, S11
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketgraph import jobs
 from basketgraph.functions.ids import CUSTOMER_PREFIX, ORDER_PREFIX, PRODUCT_PREFIX, prefixed
 from basketgraph.operators import bounded
 from basketgraph.operators import graph as graph_ops
@@ -17,6 +20,7 @@ from basketgraph.operators import recommend as rec
 from basketgraph.plans.registry import register
 from basketgraph.session import materialize, shared_path
 from basketgraph.sources import tables as tb
+from basketgraph.sources.graph_files import write_graph_table
 from basketgraph.sources.lookup import Clustered
 from basketgraph.sources.merge_store import MergeStore
 
@@ -233,6 +237,28 @@ def graph_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.flagged.groupBy("edge_type", status).agg(F.count(F.lit(1)).alias("n_edges"))
 
 
+@register("graph_from_files", _REPORT_SQL, "K7 J6 S9 K1 X17")
+def graph_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from typed-header files: written from the whole tables, assembled and stored in one command, counted from the stored graph."""
+    base = shared_path(spark, "graph-files")
+    _, orders, parts = _integrity_inputs(spark, sf_dir)
+    customers = tb.table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0).select(F.col("c_custkey").alias("id"))
+    order, product, customer = ORDER_PREFIX, PRODUCT_PREFIX, CUSTOMER_PREFIX
+    for name, ids, prefix in (("orderNode", orders, order), ("productNode", parts, product), ("customerNode", customers, customer)):
+        write_graph_table(ids.select(prefixed("id", prefix).alias("id")), f"{base}/in/{name}")
+    fb = feedback_keys(spark, sf_dir)
+    for name, edges, (src, src_prefix), (dst, dst_prefix) in (
+        ("containsEdge", contains_keys(spark, sf_dir), ("order_key", order), ("product_key", product)),
+        ("buysEdge", tb.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer_key"), F.col("o_orderkey").alias("order_key")), ("customer_key", customer), ("order_key", order)),
+        ("feedbackEdge", fb, ("customer_key", customer), ("product_key", product)),
+    ):
+        write_graph_table(edges.select(prefixed(src, src_prefix).alias("src"), prefixed(dst, dst_prefix).alias("dst")), f"{base}/in/{name}")
+    graph_ops.write_graph(jobs.graph_from_files(spark, f"{base}/in"), f"{base}/out")
+    kept = [spark.read.parquet(f"{base}/out/edges/{name}").select(F.lit(name).alias("edge_type"), F.lit("kept").alias("status")) for name in ("contains", "buys", "feedback")]
+    rejects = spark.read.parquet(f"{base}/out/rejects").select("edge_type", F.col("reason").alias("status"))
+    return reduce(DataFrame.unionByName, [*kept, rejects]).groupBy("edge_type", "status").agg(F.count(F.lit(1)).alias("n_edges"))
+
+
 # ---------------------------------------------------------------------------
 # Best sellers
 # ---------------------------------------------------------------------------

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from basketgraph import jobs
 from basketgraph.sources.graph_files import read_graph_table
 
@@ -124,3 +126,25 @@ def test_cli_runs_as_a_process(tmp_path):
         ":START_ID;:END_ID;rating:int;sentimentalAnalysis:string;date:int",
         "C12;P85;4;POSITIVE;20200601",
     ]
+
+
+def test_graph_job_assembles_written_files(spark, tmp_path):
+    """One command builds the graph; each edge type's joins run once, and kept and rejected edges sum to the input."""
+    inv = tmp_path / "retail.csv"
+    inv.write_text(HEADER + "\n".join(LINES) + "\n")
+    src = tmp_path / "files"
+    assert jobs.main(["orders", "--invoices", str(inv), "--out", str(src), "--format", "graph-csv"], spark=spark) == 0
+    assert jobs.main(["dates", "--out", str(src), "--format", "graph-csv"], spark=spark) == 0
+    out = tmp_path / "graph"
+    assert jobs.main(["graph", "--input", str(src), "--out", str(out), "--format", "graph-csv"], spark=spark) == 0
+    rejects = spark.read.parquet(str(out / "rejects"))
+    for name, table in (("buys", "buysEdge"), ("contains", "containsEdge"), ("in_date", "indateEdge"), ("classified_as", "classifiedasEdge")):
+        given = read_graph_table(spark, str(src / table)).count()
+        kept = spark.read.parquet(str(out / "edges" / name)).count()
+        lost = rejects.where(f"edge_type = '{name}'").count()
+        assert kept + lost == given > 0, name
+        # no product table was written: every contains edge misses its end
+        assert (kept == 0) == (name == "contains"), name
+    assert {r.reason for r in rejects.collect()} == {"missing_dst"}
+    with pytest.raises(ValueError, match="no edge tables"):
+        jobs.main(["graph", "--input", str(tmp_path / "none"), "--out", str(tmp_path / "x")], spark=spark)
