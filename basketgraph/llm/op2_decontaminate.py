@@ -10,7 +10,9 @@ them. What is left is compared word by word, which also yields the spans.
 
 Defined results: null or empty texts have no words, match nothing and come back
 with zero counts; an item without words has no window; repeated items match
-each under its own id; several rows of one doc_id are judged each on its own
+each under its own id; rows of one item_id with different texts are items of
+their own (no window mixes two texts) and are reported under the one id; an item with a null
+item_id is searched too, counts as one item and adds no id to the list; several rows of one doc_id are judged each on its own
 text and, if they have the same text, alike; rows with a null doc_id are judged
 too. Other columns are ignored.
 """
@@ -51,10 +53,16 @@ def row_key(key: str = "doc_id") -> Column:
     return F.struct(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("h"))
 
 
+def numbered_items(items: DataFrame) -> DataFrame:
+    """(item, item_id, ws): a written number for each distinct item_id and text; the index goes by it, as ids may be null or repeated."""
+    rows = items.select("item_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).distinct()
+    ws = rows.select("item_id", words(F.col("text")).alias("ws")).where(F.size("ws") > 0)
+    return common.stored(ws.select(F.monotonically_increasing_id().alias("item"), "item_id", "ws"), "op2-items")
+
+
 def item_terms(items: DataFrame) -> DataFrame:
-    """(item_id, ws, n, off, term) per word of an item; off counts from 0."""
-    ws = items.select("item_id", words(F.col("text")).alias("ws")).where(F.size("ws") > 0)
-    return ws.select("item_id", "ws", F.size("ws").alias("n"), F.posexplode("ws").alias("off", "term"))
+    """(item, ws, n, off, term) per word of a numbered item; off counts from 0."""
+    return items.select("item", "ws", F.size("ws").alias("n"), F.posexplode("ws").alias("off", "term"))
 
 
 def postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -72,34 +80,33 @@ def term_counts(index: DataFrame, terms: DataFrame) -> DataFrame:
 
 def probes(terms: DataFrame, counts: DataFrame) -> DataFrame:
     """Per item the distinct triples of (offset, term) that its windows are searched by, rarest first."""
-    per_item = terms.join(counts, "term").groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("off", "freq", "term"))).alias("slots"))
+    per_item = terms.join(counts, "term").groupBy("item").agg(F.sort_array(F.collect_list(F.struct("off", "freq", "term"))).alias("slots"))
     n_windows = F.greatest(F.size("slots") - (WINDOW - 1), F.lit(1))
     rarest = F.transform(
         F.sequence(F.lit(1), n_windows),
         lambda i: F.slice(F.sort_array(F.transform(F.slice("slots", i, F.lit(WINDOW)), lambda s: F.struct(s["freq"].alias("freq"), s["off"].alias("off"), s["term"].alias("term")))), 1, PROBE_TERMS),
     )
-    return per_item.select("item_id", F.explode(F.array_distinct(rarest)).alias("slots"))
+    return per_item.select("item", F.explode(F.array_distinct(rarest)).alias("slots"))
 
 
 def alignments(index: DataFrame, probe: DataFrame) -> DataFrame:
-    """(key, item_id, delta) where the terms of some probe stand at its offsets: item word i on text word delta + i."""
-    numbered = probe.select("item_id", "slots", F.size("slots").alias("n"))
+    """(key, item, delta) where the terms of some probe stand at its offsets: item word i on text word delta + i."""
+    numbered = probe.select("item", "slots", F.size("slots").alias("n"))
     found = index.join(
-        common.broadcast_if_small(numbered.select("item_id", "slots", "n", F.col("slots")[0]["term"].alias("term"), F.col("slots")[0]["off"].alias("off"))), "term"
-    ).select("key", "item_id", (F.col("pos") - F.col("off")).alias("delta"), "slots", "n")
+        common.broadcast_if_small(numbered.select("item", "slots", "n", F.col("slots")[0]["term"].alias("term"), F.col("slots")[0]["off"].alias("off"))), "term"
+    ).select("key", "item", (F.col("pos") - F.col("off")).alias("delta"), "slots", "n")
     for k in range(1, PROBE_TERMS):
         # rows whose probe has no further term are done; the others need that term at its place
         expected = found.withColumn("term", F.when(F.col("n") > k, F.get("slots", F.lit(k))["term"])).withColumn("pos", F.when(F.col("n") > k, F.col("delta") + F.get("slots", F.lit(k))["off"]))
         long = expected.where(F.col("n") > k)
         kept = long.join(index, ["key", "pos", "term"], "left_semi").select(found.columns)
         found = expected.where(F.col("n") <= k).select(found.columns).unionAll(kept)
-    return found.select("key", "item_id", "delta").distinct()
+    return found.select("key", "item", "delta").distinct()
 
 
 def phrase_spans(docs: DataFrame, items: DataFrame, aligned: DataFrame) -> DataFrame:
     """(key, hits, item_ids) of the texts in which some window occurs; hits: positions of hit words, from 1."""
-    ws = items.select("item_id", words(F.col("text")).alias("ws")).where(F.size("ws") > 0)
-    per_text = aligned.join(common.broadcast_if_small(ws), "item_id").groupBy("key").agg(F.collect_set(F.struct("item_id", "delta", "ws")).alias("cands"))
+    per_text = aligned.join(common.broadcast_if_small(items), "item").groupBy("key").agg(F.collect_set(F.struct("item_id", "delta", "ws")).alias("cands"))
     texts = docs.select(row_key().alias("key"), "text").join(common.broadcast_if_small(per_text.select("key"), 50_000), "key", "left_semi").dropDuplicates(["key"])
     joined = texts.select("key", words(F.col("text")).alias("words")).join(per_text, "key")
 
@@ -121,28 +128,28 @@ def phrase_spans(docs: DataFrame, items: DataFrame, aligned: DataFrame) -> DataF
 
 
 def proximity_matches(index: DataFrame, probe: DataFrame, slop: int) -> DataFrame:
-    """(key, item_id, delta): probes whose terms stand near their offsets, each at most ``slop`` words off the rarest term's alignment."""
-    slots = probe.select("item_id", "slots", F.monotonically_increasing_id().alias("probe"))
-    rare = slots.select("item_id", "slots", "probe", F.col("slots")[0]["term"].alias("term"), F.col("slots")[0]["off"].alias("off"))
-    found = index.join(rare, "term").select("key", "item_id", "probe", (F.col("pos") - F.col("off")).alias("delta"), "slots")
-    others = found.select("key", "item_id", "probe", "delta", F.size("slots").alias("n"), F.explode_outer(F.slice("slots", F.lit(2), F.lit(PROBE_TERMS))).alias("s"))
+    """(key, item, delta): probes whose terms stand near their offsets, each at most ``slop`` words off the rarest term's alignment."""
+    slots = probe.select("item", "slots", F.monotonically_increasing_id().alias("probe"))
+    rare = slots.select("item", "slots", "probe", F.col("slots")[0]["term"].alias("term"), F.col("slots")[0]["off"].alias("off"))
+    found = index.join(rare, "term").select("key", "item", "probe", (F.col("pos") - F.col("off")).alias("delta"), "slots")
+    others = found.select("key", "item", "probe", "delta", F.size("slots").alias("n"), F.explode_outer(F.slice("slots", F.lit(2), F.lit(PROBE_TERMS))).alias("s"))
     near = others.select("*", F.explode(F.sequence(F.lit(-slop), F.lit(slop))).alias("shift")).select("*", (F.col("delta") + F.col("s.off") + F.col("shift")).alias("pos"), F.col("s.term").alias("term"))
-    hit = near.join(index, ["key", "pos", "term"], "left_semi").groupBy("key", "item_id", "probe", "delta", "n").agg(F.countDistinct("s.off").alias("got"))
-    alone = others.where(F.col("n") == 1).select("key", "item_id", "delta")
-    return hit.where(F.col("got") == F.col("n") - 1).select("key", "item_id", "delta").unionAll(alone).distinct()
+    hit = near.join(index, ["key", "pos", "term"], "left_semi").groupBy("key", "item", "probe", "delta", "n").agg(F.countDistinct("s.off").alias("got"))
+    alone = others.where(F.col("n") == 1).select("key", "item", "delta")
+    return hit.where(F.col("got") == F.col("n") - 1).select("key", "item", "delta").unionAll(alone).distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash (with doc_id its row_key), n_words, hits (positions of hit words), item_ids (items with an occurring window)."""
-    terms = common.stored(item_terms(items).select("item_id", "off", "term"), "op2-items")
+    items = numbered_items(items)
+    terms = common.stored(item_terms(items).select("item", "off", "term"), "op2-terms")
     index = common.stored(postings(docs, terms), "op2-postings")
     probe = common.stored(probes(terms, term_counts(index, terms)), "op2-probes")
     rare = index.join(common.broadcast_if_small(probe.select(F.explode("slots.term").alias("term")).distinct()), "term", "left_semi")
     aligned = common.stored(alignments(common.stored(rare, "op2-rare"), probe), "op2-alignments")
     found = common.stored(phrase_spans(docs, items, aligned), "op2-spans").withColumnRenamed("key", "own")
     rows = index.where(F.col("term") == END).join(found, F.col("key").eqNullSafe(F.col("own")), "left")
-    none = F.array().cast("array<bigint>")
-    return rows.select(F.col("key.id").alias("doc_id"), F.col("key.h").alias("text_hash"), F.col("pos").cast("long").alias("n_words"), F.coalesce(F.col("hits"), F.array().cast("array<int>")).alias("hits"), F.coalesce(F.col("item_ids").cast("array<bigint>"), none).alias("item_ids"))
+    return rows.select(F.col("key.id").alias("doc_id"), F.col("key.h").alias("text_hash"), F.col("pos").cast("long").alias("n_words"), F.coalesce(F.col("hits"), F.array().cast("array<int>")).alias("hits"), F.coalesce(F.col("item_ids"), F.array().cast(found.schema["item_ids"].dataType)).alias("item_ids"))
 
 
 def verdict(found: DataFrame, *keep: str) -> DataFrame:

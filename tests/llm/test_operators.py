@@ -78,13 +78,23 @@ def test_decontamination_edges(spark, docs, none):  # noqa: F811
     assert got[9]["n_hit"] == 0
     assert op2_decontaminate.contamination(none, items).count() == 0
     assert op2_decontaminate.contamination(docs, items.limit(0)).where(F.size("hits") > 0).count() == 0
-    terms = op2_decontaminate.item_terms(items)
+    terms = op2_decontaminate.item_terms(op2_decontaminate.numbered_items(items))
     index = op2_decontaminate.postings(docs, terms)
     probe = op2_decontaminate.probes(terms, op2_decontaminate.term_counts(index, terms))
     near = {r["key"]["id"] for r in op2_decontaminate.proximity_matches(index, probe, 1).collect()}
     assert {4, 5, 6, 7} <= near
 
 
+def test_items_that_share_an_id_or_have_none(spark):  # noqa: F811
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "abc"]
+    items = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (1, texts[1]), (None, texts[2])], "item_id long, text string")
+    rows = [(10, texts[0]), (11, texts[1]), (12, texts[2]), (13, texts[0] + " " + texts[2]), (14, " ".join(texts[0].split()[20:] + texts[1].split()[:10])), (None, texts[1])]
+    got = {r["doc_id"]: r for r in op2_decontaminate.verdict(op2_decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"), items)).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = {10: (30, 1, "1"), 11: (30, 1, "1"), 12: (30, 1, ""), 13: (60, 2, "1"), 14: (0, 0, ""), None: (30, 1, "1")}
+    assert {k: (r["n_hit"], r["n_items"], r["items_sha256"]) for k, r in got.items()} == {k: (h, n, sha(ids)) for k, (h, n, ids) in want.items()}
+
+
 def test_token_files(spark, docs, none):  # noqa: F811
     from tokenizers import Tokenizer
 
