@@ -1,9 +1,17 @@
-"""Vectorised 64-bit hashing of byte ranges."""
+"""Vectorised 64-bit hashing of byte ranges.
+
+``Ranges`` is a polynomial modulo 2 ** 64: quick, but texts can be built that collide under it, so it may only bring
+things together that are compared afterwards. What decides whether two strings are equal goes by ``keyed``.
+"""
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+from pandas.util import hash_array
 
+#: Key of the SipHash that decides equality; a user who expects texts built against it sets another one.
+KEY = "basketgraph.2025"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict = {}
@@ -33,3 +41,17 @@ class Ranges:
 
     def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.total[end] - self.total[begin]) * self.down[begin])
+
+
+def keyed(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """SipHash under ``KEY`` of strings of ``size`` bytes that follow each other in ``flat``; each distinct string is hashed once."""
+    if not len(size):
+        return np.zeros(0, np.uint64)
+    offsets = np.r_[0, np.cumsum(size)].astype(np.int64)
+    coded = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(flat)]).dictionary_encode()
+    return keyed_strings(np.array(coded.dictionary.to_pylist(), dtype=object))[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def keyed_strings(strings: np.ndarray) -> np.ndarray:
+    """SipHash under ``KEY`` of an object array of bytes."""
+    return hash_array(strings, hash_key=KEY, categorize=False)

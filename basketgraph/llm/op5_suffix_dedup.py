@@ -4,7 +4,7 @@ A ``LENGTH``-byte string starts at every place of a text. Each such window is
 keyed by the least hash of its ``GRAM``-byte substrings, which equal windows
 share; neighbouring windows of one key form a stretch. Stretches are brought
 together by key. Keys of a single stretch cannot repeat elsewhere and fall out; equal
-stretches are counted once, the earliest standing for all, and the others
+stretches (by length and a keyed hash of their bytes, ``hashing.keyed_strings``) are counted once, the earliest standing for all, and the others
 are repeats as a whole. The different stretches of a key go with all others of their key into one
 shard: its suffix array is built by induced sorting, and permuted common prefixes of
 ``LENGTH`` or more mark equal windows, of which the earliest stays. A key with more than ``HOT`` different stretches
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketgraph.llm import common
-from basketgraph.llm.hashing import Ranges
+from basketgraph.llm.hashing import Ranges, keyed_strings
 from basketgraph.llm.registry import query
 from basketgraph.llm.suffixes import common_prefixes, suffix_array
 
@@ -64,7 +64,7 @@ def _pieces(ids: list[int], texts: list[bytes]) -> Iterator[tuple[list[int], lis
 
 
 def stretches(ids: list[int], variants: list[int], texts: list[bytes]) -> pd.DataFrame:
-    """key, seg (hash of the stretch's bytes), doc, v, start, n (windows; negative if the least substring repeats inside)."""
+    """key, seg (keyed hash of the stretch's bytes), doc, v, start, n (windows; negative if the least substring repeats inside)."""
     out = []
     ids, variants = np.array(ids, np.int64), np.array(variants, np.int64)
     for places, offsets, parts in _pieces(list(range(len(texts))), texts):
@@ -95,7 +95,10 @@ def stretches(ids: list[int], variants: list[int], texts: list[bytes]) -> pd.Dat
             a = gram[first[s, None] + span] == key[s, None]
             b = gram[last[s, None] + span] == key[s, None]
             several[s] = (a.sum(1) > 1) | (b.sum(1) > 1) | (first[s] + a.argmax(1) != last[s] + b.argmax(1))
-        seg = r.of(first, last + LENGTH)
+        raw = data.tobytes()
+        cuts = np.empty(len(first), object)
+        cuts[:] = [raw[a:b] for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)]
+        seg = keyed_strings(cuts)
         owner = np.searchsorted(begin, first, side="right") - 1
         n = last - first + 1
         out.append(pd.DataFrame({"key": key.view(np.int64), "seg": seg.view(np.int64), "doc": ids[places][owner], "v": variants[places][owner], "start": np.array(offsets, np.int64)[owner] + first - begin[owner], "n": np.where(several, -n, n)}))

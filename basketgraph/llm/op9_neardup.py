@@ -1,6 +1,7 @@
 """Near-duplicate groups by a chosen-path set similarity join.
 
-A document's set holds its distinct word shingles as 64-bit hashes; documents
+A document's set holds its distinct word shingles as 64-bit hashes of the words' keyed hashes
+(``hashing.keyed``), which no text can be built against without the key; documents
 with equal sets are one vertex from then on. Each vertex has ``SKETCH`` minwise values. A
 tree branches a vertex by one or two of them, chosen by the node, 1 / THRESHOLD
 on average, so that documents above the threshold keep about one common path
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketgraph.llm import common
-from basketgraph.llm.hashing import BASE, mix, powers
+from basketgraph.llm.hashing import BASE, keyed, mix
 from basketgraph.llm.registry import query
 
 SHINGLE = 5
@@ -75,9 +76,7 @@ def _sets(raw: list[bytes]) -> list[np.ndarray]:
     space = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(np.diff(np.r_[True, space].astype(np.int8)))
     first, last = edge[0::2], edge[1::2]
-    up, down = powers(len(data))
-    total = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up)]
-    word = mix((total[last] - total[first]) * down[first])
+    word = keyed(data[~space], last - first)
     owner = np.searchsorted(begin, first, side="right") - 1
     n_words = np.bincount(owner, minlength=len(raw))
     if len(word) >= SHINGLE:

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import numpy as np
 
-from basketgraph.llm.hashing import Ranges
-
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """Suffix array of ``t`` (uint8), whose last element is its only 0."""
@@ -28,8 +26,8 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     following = np.append(lms[1:], n - 1)
     end_of = np.empty(n, np.int64)
     end_of[lms] = following + 1
-    h, size = Ranges(t).of(order, end_of[order]), end_of[order] - order
-    rank = np.cumsum(np.r_[0, (h[1:] != h[:-1]) | (size[1:] != size[:-1])])
+    size = end_of[order] - order
+    rank = np.cumsum(np.r_[0, ~_same(t, order[1:], order[:-1], size[1:], size[:-1])])
     if rank[-1] + 1 < len(order):
         name = np.empty(n, np.int64)
         name[order] = rank
@@ -37,6 +35,26 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     return _induce(t, small, order)
 
 
+def _words(t: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, zeros behind the end."""
+    return np.ndarray(shape=(len(t) + 8,), dtype="<u8", buffer=np.concatenate([t, np.zeros(16, np.uint8)]), strides=(1,))
+
+
+def _same(t: np.ndarray, x: np.ndarray, y: np.ndarray, x_size: np.ndarray, y_size: np.ndarray) -> np.ndarray:
+    """Whether the substrings at ``x`` equal those at ``y``, byte for byte."""
+    words = _words(t)
+    out = x_size == y_size
+    live, at = np.flatnonzero(out), 0
+    while len(live):
+        left = np.minimum(x_size[live] - at, 8)
+        beyond = ((np.uint64(8) - left.astype(np.uint64)) * np.uint64(8))
+        differ = ((words[x[live] + at] ^ words[y[live] + at]) << beyond) != 0
+        out[live[differ]] = False
+        at += 8
+        live = live[~differ & (x_size[live] > at)]
+    return out
+
+
 def _smaller_type(t: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the one behind it."""
     step = np.sign(np.diff(t.astype(np.int16)))
@@ -134,8 +152,7 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
     top[0] = True
     i = np.flatnonzero(top & (before >= 0))
     plcp = np.zeros(n, np.int64)
-    padded = np.concatenate([t, np.zeros(16, np.uint8)])
-    words = np.ndarray(shape=(n + 8,), dtype="<u8", buffer=padded, strides=(1,))
+    words = _words(t)
     at, x, y, size = i, i, before[i], np.zeros(len(i), np.int64)
     live = np.arange(len(i))
     while len(live):

@@ -15,6 +15,7 @@ import corpus_pipeline
 from basketgraph.llm import (
     common, op1_warc, op2_decontaminate, op3_repair, op4_licenses, op5_suffix_dedup, op6_quality, op7_fingerprint, op8_packing, op9_neardup, op10_chat, queries,
 )
+from basketgraph.llm.hashing import Ranges
 from basketgraph.llm.suffixes import common_prefixes, suffix_array
 from basketgraph.session import shared_path
 from tests.conftest import spark  # noqa: F401
@@ -292,6 +293,40 @@ def test_a_large_node_compared_in_tiles(spark, monkeypatch):  # noqa: F811
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == root
 
 
+def thue_morse(one, two, doublings):
+    """Two different strings whose polynomial hashes modulo 2 ** 64 agree for every base."""
+    for _ in range(doublings):
+        one, two = one + two, two + one
+    return one, two
+
+
+def test_texts_built_against_a_polynomial_hash(spark):  # noqa: F811
+    words = thue_morse("a", "b", 11)
+    got = op9_neardup.near_duplicates(spark.createDataFrame([(1, words[0]), (2, words[1])], "doc_id long, text string")).collect()
+    assert all(r["kept"] and r["n_shingles"] == 1 for r in got)
+    # blocks of 61 bytes around one substring of very low hash, so that each text is one stretch; no 100 bytes in common
+    letters = np.random.default_rng(4).integers(97, 123, 4_000_000).astype(np.uint8)
+    at = np.arange(len(letters) - op5_suffix_dedup.GRAM)
+    low = int(Ranges(letters).of(at, at + op5_suffix_dedup.GRAM).argmin())
+    gram = letters[low : low + op5_suffix_dedup.GRAM].tobytes().decode()
+    texts = ["".join(f"{gram}{i:028d}{c}" for i, c in enumerate(marks)) for marks in thue_morse("a", "b", 10)]
+    first, second = (Ranges(np.frombuffer(t.encode(), np.uint8)).of(np.array([0]), np.array([len(t)])) for t in texts)
+    assert first == second and texts[0] != texts[1]
+    assert op5_suffix_dedup.stretches([1], [0], [texts[0].encode()])["n"].abs().max() > 60_000
+    rows = [(1, texts[0]), (2, texts[1])]
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in op5_suffix_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: v[1:3] for k, v in brute_repeats(rows).items()} == {1: (0, 0), 2: (0, 0)}
+
+
+def test_suffix_array_tells_alike_substrings_apart():
+    # leftmost-smaller substrings that would collide under a polynomial hash
+    one, two = thue_morse("cd", "dc", 11)
+    t = np.append(np.frombuffer(("a" + "".join(sorted(one)) + "b" + one + "a" + two + "a" + one + "a").encode(), np.uint8), np.uint8(0))
+    raw = t.tobytes()
+    sa = suffix_array(t)
+    assert all(raw[x : x + 9000] < raw[y : y + 9000] for x, y in zip(sa[:-1].tolist(), sa[1:].tolist(), strict=True))
+
+
 def test_shared_counts():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 3000, rng.integers(0, 2500)).astype(np.uint64)) for _ in range(12)]
