@@ -140,6 +140,27 @@ def test_license_scan(spark, none):  # noqa: F811
     assert {k: got[k]["families"] for k in range(1, 7)} == {1: ["mit"], 2: [], 3: [], 4: [], 5: ["proprietary"], 6: ["apache-2.0"]}
     assert (got[6]["n_license"], got[3]["n_paragraphs"]) == (2, 0)
     assert all(got[100 + i]["families"] == [] for i in range(60))
+    assert op4_licenses.scan(none).count() == 0
+
+
+def test_near_licence_families(spark):  # noqa: F811
+    lines = {
+        "agpl-3.0": "GNU Affero General Public License, version 3", "lgpl-3.0": "Licensed under the GNU Lesser General Public License, version 3.", "gpl-2.0": "Licensed under the GNU General Public License, version 2.",
+        "gpl-3.0": "GNU General Public License, version 3", "cc-by-4.0": "Licensed under CC BY 4.0", "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0", "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
+        "mpl-2.0": "Licensed under the Mozilla Public License, Version 2.0", "apache-2.0": "Licensed under the Apache License, Version 2.0", "cc0-1.0": "Released under CC0 1.0.",
+    }
+    mit = next(t for f, t in op4_licenses.TEMPLATES if f == "mit" and t.startswith("Permission"))
+    ws = mit.split()
+    wrapped = "Some title\n\n" + "\n".join(" ".join(ws[k : k + 12]) for k in range(0, len(ws), 12)) + "\n\nother words"
+    rows = [(k, t) for k, t in enumerate([*lines.values(), wrapped, wrapped, "w " * 50_000 + "."])]
+    filler = [(100 + i, " ".join(f"w{(i * 31 + j * 17) % 997}" for j in range(30))) for i in range(60)]
+    got = {r["doc_id"]: r["families"] for r in op4_licenses.scan(spark.createDataFrame(rows + filler, "doc_id long, text string")).collect()}
+    wrong = {f: got[k] for k, f in enumerate(lines) if got[k] not in ([f], [])}
+    assert not wrong
+    missed = [f for k, f in enumerate(lines) if got[k] != [f]]
+    assert len(missed) <= 1, missed
+    assert [got[k] for k in range(len(lines), len(lines) + 3)] == [["mit"], ["mit"], []]
+    assert all(got[100 + i] == [] for i in range(60))
 
 
 def test_suffix_array_against_sorting():
