@@ -198,17 +198,34 @@ def matched_stretches(found: DataFrame) -> DataFrame:
     return rows.mapInPandas(match, "kind int, key long, doc long, v long, start long, n int")
 
 
+CUT = ["kind", "key", "key2", "doc", "v", "start", "n", "data"]
+
+
 def cut_out(reps: DataFrame, packed: DataFrame) -> DataFrame:
     """The bytes of stretches (kind 1), or digests of their windows (kind 2): kind, key, key2, doc, v, start, n, data."""
     per_doc = reps.groupBy("doc", "v").agg(F.collect_list(F.struct("kind", "key", "start", "n")).alias("reps"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        held, size = [], 0  # rows of many documents make one batch; a batch per document costs more than its rows
+        for batch in (part for whole in batches for part in _slices(whole, whole["z"].map(len) * 4)):
             for doc, v, data, reps in zip(batch["doc"], batch["v"], _unpack(batch["z"]), batch["reps"], strict=True):
-                plain = [(1, r["key"], 0, doc, v, r["start"], r["n"], data[r["start"] : r["start"] + r["n"] + LENGTH - 1]) for r in reps if r["kind"] == 1]
-                hot = [(2, *struct, doc, v, at, 1, None) for r in reps if r["kind"] == 2 for at in range(r["start"], r["start"] + r["n"]) for struct in [_digest(data[at : at + LENGTH])]]
-                if plain or hot:
-                    yield pd.DataFrame(plain + hot, columns=["kind", "key", "key2", "doc", "v", "start", "n", "data"])
+                for r in reps:
+                    begin, n = r["start"], r["n"]
+                    if r["kind"] == 1:
+                        held.append((1, r["key"], 0, doc, v, begin, n, data[begin : begin + n + LENGTH - 1]))
+                        size += n + LENGTH
+                        continue
+                    for at in range(begin, begin + n):
+                        held.append((2, *_digest(data[at : at + LENGTH]), doc, v, at, 1, None))
+                        size += LENGTH
+                    if size >= SLICE_BYTES:
+                        yield pd.DataFrame(held, columns=CUT)
+                        held, size = [], 0
+                if size >= SLICE_BYTES:
+                    yield pd.DataFrame(held, columns=CUT)
+                    held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=CUT)
 
     return packed.join(per_doc, ["doc", "v"]).mapInPandas(cut, "kind int, key long, key2 long, doc long, v long, start long, n int, data binary")
 
