@@ -36,8 +36,10 @@ from basketgraph.session import shared_path
 MAGIC = b"RPG1"
 END_ID = 2
 SHARD_BYTES = 6 << 20
-#: Each round replaces at most this many pairs; a pair must occur this often to pay for its rule.
-PAIRS_PER_ROUND, LEAST_COUNT, MAX_ROUNDS, LEAST_GAIN = 8192, 8, 6, 0.03
+#: Each round replaces at most this many pairs, the most frequent first; rounds go on until no pair pays for its rule.
+PAIRS_PER_ROUND = 8192
+#: Bytes of a rule and its expansion length in the file.
+RULE_BYTES = 12
 SLOT_BITS = 20
 
 
@@ -50,29 +52,36 @@ def repair(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     first = np.zeros(len(seq), bool)
     first[starts] = True
     rules, lengths = [], [np.ones(n_sym, np.int64)]
-    for _ in range(MAX_ROUNDS):
-        if len(seq) < 2:
+    live = ~first[1:]  # pairs that may be frequent: a pair can only become frequent anew if one of its symbols is new
+    while True:
+        at = np.flatnonzero(live)
+        if not len(at):
             break
         # keys fit 32 bits as long as symbols fit 16; small keys sort fast
-        key = seq[:-1] * np.uint64(n_sym) + seq[1:]
+        key = seq[at] * np.uint64(n_sym) + seq[at + 1]
         if n_sym <= 1 << 16:
             key = key.astype(np.uint32)
-        inside = ~first[1:]
-        run = np.sort(key[inside])
+        run = np.sort(key)
         edge = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
         counts = np.diff(np.r_[edge, len(run)])
-        good = np.flatnonzero(counts >= LEAST_COUNT)
-        if not len(good):
+        width = 2 if n_sym < 1 << 16 else 4
+        good = np.flatnonzero(counts * width > RULE_BYTES)
+        good = good[np.argsort(-counts[good], kind="stable")]
+        n_chosen = min(len(good), PAIRS_PER_ROUND)
+        room = (1 << 16) - n_sym
+        if 0 <= room < n_chosen and counts[good[:n_chosen]].sum() < len(seq):
+            n_chosen = room  # wider symbols would cost more than this round saves
+        if not n_chosen:
             break
-        good = good[np.argsort(-counts[good], kind="stable")][:PAIRS_PER_ROUND]
-        chosen = run[edge[good]]
+        frequent = run[edge[good]]
         rank_at = np.full(1 << SLOT_BITS, -1, np.int32)
-        rank_at[_slot(chosen[::-1])] = np.arange(len(chosen), dtype=np.int32)[::-1]  # of pairs that share a slot the most frequent stays
+        rank_at[_slot(frequent[::-1])] = np.arange(len(frequent), dtype=np.int32)[::-1]  # of pairs that share a slot the most frequent stays
         r = rank_at[_slot(key)]
-        pos = np.flatnonzero((r >= 0) & inside)
-        r = r[pos]
-        true = chosen[r] == key[pos]
-        pos, r = pos[true], r[true]
+        stay = np.zeros(len(seq), bool)
+        stay[at[r >= 0]] = True
+        hit = np.flatnonzero((r >= 0) & (r < n_chosen))
+        hit = hit[frequent[r[hit]] == key[hit]]
+        pos, r = at[hit], r[hit]
         # overlapping occurrences: the better ranked pair wins; losers wait for a later round
         left = np.full(len(pos), 1 << 30, np.int32)
         right = left.copy()
@@ -87,19 +96,23 @@ def repair(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
             lo, hi = np.where(left == r, 1 << 30, left), np.where(right == r, 1 << 30, right)
             win = np.where(tie, (in_run % 2 == 0) & (r < lo) & (r < hi), win)
         pos, r = pos[win], r[win]
-        taken = np.bincount(r, minlength=len(chosen)) > 0
-        pairs = chosen[taken].astype(np.int64)
+        # a pair whose occurrences went to better ones has no rule yet unless what is left pays
+        paid = np.bincount(r, minlength=n_chosen) * width > RULE_BYTES
+        pos, r = pos[paid[r]], r[paid[r]]
+        if not len(pos):
+            break
+        pairs = frequent[:n_chosen][paid].astype(np.int64)
         size = np.concatenate(lengths)
         rules.append(np.stack([pairs // n_sym, pairs % n_sym], 1))
         lengths.append(size[pairs // n_sym] + size[pairs % n_sym])
-        seq[pos] = (n_sym + np.cumsum(taken) - 1)[r]
+        seq[pos] = (n_sym + np.cumsum(paid) - 1)[r]
+        new = np.zeros(len(seq), bool)
+        new[pos] = True
         keep = np.ones(len(seq), bool)
         keep[pos + 1] = False
-        before = len(seq)
-        seq, first = seq[keep], first[keep]
-        n_sym += int(taken.sum())
-        if before - len(seq) < LEAST_GAIN * before:
-            break
+        seq, first, new, stay = seq[keep], first[keep], new[keep], stay[keep]
+        live = (stay[:-1] | new[:-1] | new[1:]) & ~first[1:]
+        n_sym += len(pairs)
     all_rules = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     return terminals, all_rules, np.concatenate(lengths), seq, np.flatnonzero(first)
 

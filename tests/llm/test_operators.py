@@ -121,6 +121,32 @@ def test_grammar_random_access():
         assert (shard.ids(k, a, len(want)) == want[a:]).all()
 
 
+def test_grammar_goes_on_until_no_pair_pays():
+    one = np.random.default_rng(1).integers(0, 30_000, 5000).astype(np.uint32)
+    packed = op3_repair.pack_shard(list(range(400)), [one] * 400)
+    shard = op3_repair.Shard(packed)
+    assert all((shard.document(k) == one).all() for k in (0, 199, 399))
+    # each copy comes down to one symbol: what is left is about one rule and one terminal per id of a single copy
+    assert len(packed) < 22 * len(one)
+    rng = np.random.default_rng(2)
+    ids = [rng.integers(0, 60, 3000) for _ in range(8)]
+    starts = np.arange(8) * 3000
+    _, _, lengths, seq, first = op3_repair.repair(np.concatenate(ids).astype(np.uint32), starts)
+    inside = np.ones(len(seq), bool)
+    inside[first] = False
+    # left over: only pairs that save no more than their rule costs (those of one symbol overlap themselves)
+    pairs, counts = np.unique(np.stack([seq[:-1], seq[1:]])[:, inside[1:]], axis=1, return_counts=True)
+    assert (counts[pairs[0] != pairs[1]] * 2 <= op3_repair.RULE_BYTES).all()
+
+
+def test_repeated_and_nameless_rows_in_token_files(spark):  # noqa: F811
+    path = public_tokenizers.path("word_bpe_49k.json")
+    table = spark.createDataFrame([(None, "null id"), (None, "another"), (1, "same"), (1, "same"), (1, "else"), (2, None)], "doc_id long, text string")
+    out = shared_path(spark, "t-ids")
+    got = sorted((r["start"], r["doc_id"]) for r in op3_repair.read_documents(spark, out, op3_repair.write_token_files(table, out, path)).collect())
+    assert [d for _, d in got] == [None, None, 1, 1, 1, 2]
+
+
 def test_cached_tokenizer_equals_the_library():
     from tokenizers import Tokenizer
 
