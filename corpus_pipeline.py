@@ -79,7 +79,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: No stage list with a trained model and tokenised output can be said in SQL; tests compare with a brute-force version.
+#: No stage list with a trained model and tokenised output can be said in SQL; tests check the effect of each stage, the cutting stage by brute force.
 ORACLE_SQL = None
 
 
