@@ -148,7 +148,7 @@ class CachedTokenizer:
     """
 
     OTHER_SPACE = r"[\x00\x01\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
-    def __init__(self, path: str, space_joins_next: bool, max_cached: int = 300_000, slice_chars: int = 2_000_000):
+    def __init__(self, path: str, space_joins_next: bool, max_cached: int = 600_000, slice_chars: int = 3_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
         from tokenizers import Tokenizer
 
@@ -158,9 +158,10 @@ class CachedTokenizer:
         self._reset()
 
     def _reset(self) -> None:
-        self.at: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.size = np.zeros(1024, np.int64)
+        import pyarrow as pa
+
+        self.known = pa.array([], pa.large_string())  # chunk of each row of ``size`` and ``start``; packed, a dict would take ten times the memory
+        self.size = np.zeros(1024, np.int32)
         self.start = np.zeros(1024, np.int64)
         self.flat = np.zeros(4096, np.uint32)
         self.used = 0
@@ -173,38 +174,48 @@ class CachedTokenizer:
             _TOKENIZERS[key] = cls(path, space_joins_next)
         return _TOKENIZERS[key]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new) -> np.ndarray:
+        """Encode the chunks of an Arrow array, and return the rows they got."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         # a chunk with white space at its head can follow another one directly, one without is set apart by a space that gives no token
-        alone = [c for c in new if self.joins and c[0] not in " \t\n\r" or not c.strip(" \t\n\r")]
-        single = set(alone)
-        together = [c for c in new if c not in single]
-        for enc, chunk in zip(self.tok.encode_batch_fast(alone, add_special_tokens=False), alone, strict=True):
-            self._add([chunk], np.asarray(enc.ids, np.uint32), np.array([len(enc.ids)]))
+        follows = pc.match_substring_regex(new, pattern=r"^[ \t\n\r]+[^ \t\n\r]" if self.joins else r"[^ \t\n\r]").to_numpy(zero_copy_only=False)
+        alone, together = new.filter(pa.array(~follows)), new.filter(pa.array(follows))
+        base = len(self.known)
+        for k in range(0, len(alone), 4096):
+            found = [e.ids for e in self.tok.encode_batch_fast(alone[k : k + 4096].to_pylist(), add_special_tokens=False)]
+            self._add(np.concatenate([np.asarray(x, np.uint32) for x in found]), np.array([len(x) for x in found]), base + k)
         gap = "" if self.joins else " "
+        chars = pc.utf8_length(together).to_numpy(zero_copy_only=False) + len(gap)
         for k in range(0, len(together), 256):
-            part = together[k : k + 256]
-            enc = self.tok.encode(gap.join(part), add_special_tokens=False)
-            ends = np.cumsum([len(c) + len(gap) for c in part])
+            enc = self.tok.encode(gap.join(together[k : k + 256].to_pylist()), add_special_tokens=False)
             begin = np.fromiter((o[0] for o in enc.offsets), np.int64, len(enc.ids))
-            self._add(part, np.asarray(enc.ids, np.uint32), np.bincount(np.searchsorted(ends, begin, side="right"), minlength=len(part)))
-
-    def _add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        k, n = len(self.at), len(chunks)
-        while k + n > len(self.size):
+            of = np.searchsorted(np.cumsum(chars[k : k + 256]), begin, side="right")
+            self._add(np.asarray(enc.ids, np.uint32), np.bincount(of, minlength=min(256, len(together) - k)), base + len(alone) + k)
+        self.known = pa.concat_arrays([self.known, alone, together])
+        rows = np.empty(len(new), np.int64)
+        rows[np.flatnonzero(~follows)] = base + np.arange(len(alone))
+        rows[np.flatnonzero(follows)] = base + len(alone) + np.arange(len(together))
+        return rows
+
+    def _add(self, ids: np.ndarray, sizes: np.ndarray, row: int) -> None:
+        n = len(sizes)
+        while row + n > len(self.size):
             self.size, self.start = np.resize(self.size, 2 * len(self.size)), np.resize(self.start, 2 * len(self.start))
         while self.used + len(ids) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         self.flat[self.used : self.used + len(ids)] = ids
-        self.size[k : k + n] = sizes
-        self.start[k : k + n] = self.used + np.cumsum(sizes) - sizes
+        self.size[row : row + n] = sizes
+        self.start[row : row + n] = self.used + np.cumsum(sizes) - sizes
         self.used += len(ids)
-        self.at.update(zip(chunks, range(k, k + n), strict=True))
 
     def _forget(self) -> None:
         """Drop what lies beyond the cache's size: the chunks met first, the frequent ones among them, stay."""
-        if len(self.at) > self.max_cached:
-            for chunk in list(self.at)[self.max_cached :]:
-                del self.at[chunk]
+        import pyarrow as pa
+
+        if len(self.known) > self.max_cached:
+            self.known = pa.concat_arrays([self.known[: self.max_cached], self.known[:0]])  # a copy, so that the rest is freed
             self.used = int(self.start[self.max_cached])
 
     def encode_many(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -220,6 +231,21 @@ class CachedTokenizer:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         return np.concatenate([ids for ids, _ in found]), np.concatenate([n for _, n in found])
 
+    @staticmethod
+    def _cut_before_space(texts) -> tuple:
+        """Chunks of all texts in a row, cut at each white space behind a visible character, and each text's first chunk (and the end)."""
+        import pyarrow as pa
+
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(data, np.uint8)[: bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+        space = (raw == 32) | (raw == 9) | (raw == 10) | (raw == 13)
+        cut = np.zeros(len(raw), bool)
+        cut[1:] = space[1:] & ~space[:-1]
+        cut[bounds[:-1][bounds[:-1] < len(raw)]] = True
+        begin = np.append(np.flatnonzero(cut), len(raw)).astype(np.int64)
+        return pa.LargeStringArray.from_buffers(len(begin) - 1, pa.py_buffer(begin), pa.py_buffer(raw)), np.searchsorted(begin, bounds)
+
     def _encode_slice(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -229,22 +255,23 @@ class CachedTokenizer:
         whole = {k: np.asarray(self.tok.encode(texts[k], add_special_tokens=False).ids, np.uint32) for k in odd}
         plain = pa.array(["" if k in whole else t for k, t in enumerate(texts)], pa.large_string())
         if self.joins:
-            marked = pc.replace_substring_regex(plain, pattern=r"([^ \t\n\r])([ \t\n\r])", replacement="\\1\x01\\2")
-            lists = pc.split_pattern(marked, pattern="\x01")
+            values, first = self._cut_before_space(plain)
         else:
             lists = pc.ascii_split_whitespace(plain)
-        coded = lists.values.dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
-        at = self.at
-        self._learn([c for c in chunks if c not in at and c])
-        row = np.fromiter((at[c] if c else -1 for c in chunks), np.int64, len(chunks))
+            values, first = lists.values, lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        coded = values.dictionary_encode()
+        chunks = coded.dictionary
+        row = pc.fill_null(pc.index_in(chunks, value_set=self.known), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero((row < 0) & (pc.binary_length(chunks).to_numpy() > 0))
+        if len(new):
+            row[new] = self._learn(chunks.take(pa.array(new)))
         size_of = np.where(row < 0, 0, self.size[row])
         code = coded.indices.to_numpy(zero_copy_only=False)
         size = size_of[code]
-        end = np.cumsum(size)
+        end = np.cumsum(size, dtype=np.int64)
         total = int(end[-1]) if len(end) else 0
         flat = self.flat[np.arange(total, dtype=np.int64) + np.repeat(self.start[row[code]] - (end - size), size)]
-        upto = np.r_[0, end][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        upto = np.r_[0, end][first]
         if not whole:
             return flat, np.diff(upto)
         parts = [whole.get(k, flat[upto[k] : upto[k + 1]]) for k in range(len(texts))]
