@@ -156,6 +156,12 @@ def test_cached_tokenizer_equals_the_library():
         plain.encode_special_tokens = True
         for t in texts:
             assert own.encode(t).tolist() == plain.encode(t, add_special_tokens=False).ids, (name, t)
+        small = common.CachedTokenizer(public_tokenizers.path(name), joins, max_cached=3, slice_chars=8)
+        many = [*texts, None, "one two three four", " \n", "word " * 300] * 2
+        ids, sizes = small.encode_many(many)
+        parts = np.split(ids, np.cumsum(sizes)[:-1])
+        assert [x.tolist() for x in parts] == [plain.encode(t or "", add_special_tokens=False).ids for t in many]
+        assert len(small.known) <= 3 and small.used == small.size[: len(small.known)].sum()
 
 
 def test_license_scan(spark, none):  # noqa: F811
