@@ -174,7 +174,7 @@ def order_path_scores_for(mc: DataFrame, customer: Column | int) -> DataFrame:
     pairs = on_mine.groupBy("order_key").agg(exact_sum(F.col("w") * F.col("m")).alias("a"))
     triples = m.join(pairs, "order_key").select("product_key", (F.col("m") * F.col("a")).alias("t"))
     deg = on_mine.groupBy("product_key").agg(exact_sum("m").alias("deg"))
-    size = mine.groupBy("order_key").agg(exact_sum("m").alias("size"))
+    size = restrict(m, mine, "order_key").groupBy("order_key").agg(exact_sum("m").alias("size"))
     corr = corrections(mine, deg, size).select("product_key", "t")
     scores = triples.unionByName(corr).groupBy("product_key").agg(exact_sum("t").alias("score"))
     return scores.where(F.col("score") > 0)

@@ -108,6 +108,10 @@ def sentiment_of_flag(flag_col) -> F.Column:
     return expr
 
 
+def rating_of(quantity: str) -> F.Column:
+    return F.pmod(F.col(quantity).try_cast("int"), F.lit(RATING_LEVELS)) + 1
+
+
 def feedback(
     spark: SparkSession, sf_dir: str, lines: DataFrame | None = None, headers: DataFrame | None = None
 ) -> DataFrame:
@@ -129,7 +133,7 @@ def feedback(
         F.col("l_partkey").alias("product_id"),
         F.col("l_orderkey").alias("edge_order"),
         F.col("l_linenumber").alias("edge_line"),
-        (F.pmod(F.col("l_quantity").try_cast("int"), F.lit(RATING_LEVELS)) + 1).alias("rating"),
+        rating_of("l_quantity").alias("rating"),
         sentiment_of_flag(F.col("l_returnflag")).alias("sentiment"),
         F.col("o_orderdate").cast("date").alias("feedback_date"),
     )
