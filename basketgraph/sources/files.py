@@ -81,7 +81,8 @@ def parse_market_prices(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     unquoted = F.regexp_replace("value", '"(?:[^"]|"")*"', "")
     n_columns = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
     fields = F.from_csv("value", schemas.MARKET_PRICE_CSV.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {**QUOTED, "mode": "PERMISSIVE"})
-    raw = lines.select(fields.alias("f"), n_columns.alias("n_columns"), F.col("_metadata.file_path").alias("file")).select("f.*", "n_columns", "file")
+    # inline keeps the parse apart from the conditions on its fields, which would repeat it each
+    raw = lines.select(n_columns.alias("n_columns"), F.col("_metadata.file_path").alias("file"), F.inline(F.array(fields)))
     raw = raw.where(~F.coalesce(F.col("month") == "Date", F.lit(False)))
     price = F.trim("price_es").try_cast("double")
     date = parse_month("month")

@@ -133,3 +133,11 @@ def test_latest_price_random_against_python(spark):
             expect[k] = (d, p)
     got = {r.product_id: (r.price_date, r.price) for r in ops.latest_price(df).collect()}
     assert got == expect
+
+
+def test_price_rows_are_parsed_once(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(PRICE_HEADER + "\n".join([_price_row("Apple", "2020/04", "1.0"), _price_row("Pear", "2020/05", ""), _price_row('"a, ""b"""', "2020/05", "2.5"), "Milk,2020/01"]) + "\n")
+    got = read_market_prices(spark, [str(path)])
+    assert sorted((r.product_name, str(r.price_date), r.price) for r in got.collect()) == [("Apple", "2020-04-01", 1.0), ('a, "b"', "2020-05-01", 2.5)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
