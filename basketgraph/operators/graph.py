@@ -10,6 +10,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketgraph.session import hashed_if_large
+
 # Reject reasons.
 MISSING_SRC = "missing_src"
 MISSING_DST = "missing_dst"
@@ -20,7 +22,7 @@ def _node_keys(nodes: DataFrame, node_col: str, as_col: str) -> DataFrame:
     # Node ids are unique in a valid node table; distinct guards against a
     # duplicated node multiplying edges, and leaves the keys hash-partitioned
     # for the join that follows.
-    return nodes.select(F.col(node_col).alias(as_col)).where(F.col(as_col).isNotNull()).distinct()
+    return hashed_if_large(nodes.select(F.col(node_col).alias(as_col)).where(F.col(as_col).isNotNull()).distinct(), nodes)
 
 
 def valid_edges(

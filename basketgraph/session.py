@@ -95,3 +95,12 @@ def spread(df):
     except Exception:  # Spark Connect exposes neither; leave the plan as it is
         return df
     return df.repartition(slots) if narrow else df
+
+
+def hashed_if_large(df, counted=None, max_rows: int = 1_000_000):
+    """``df`` as the hashed side of a shuffle join if ``counted`` (``df`` itself by default) has more than ``max_rows`` rows.
+
+    For a side of narrow rows that is the smaller one of each partition: a sort-merge join sorts the rows of the other side too, and
+    Spark merges well compressed partitions until a task holds millions of them. Smaller sides are left to Spark, which may broadcast them.
+    """
+    return df.hint("shuffle_hash") if (df if counted is None else counted).count() > max_rows else df

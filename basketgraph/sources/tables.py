@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketgraph.session import hashed_if_large
+
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -126,7 +128,7 @@ def feedback(
     li = (table(spark, sf_dir, "lineitem") if lines is None else lines).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag"
     )
-    o = (table(spark, sf_dir, "orders") if headers is None else headers).select("o_orderkey", "o_custkey", "o_orderdate")
+    o = (hashed_if_large(table(spark, sf_dir, "orders")) if headers is None else headers).select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return j.select(
         F.col("o_custkey").alias("customer_id"),
