@@ -13,6 +13,8 @@ and each customer reads the lists of the products it likes, leaving out what onl
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -32,6 +34,8 @@ DEPTHS = (256, 4096, 65536)
 # List entries that a task merges at a time, and beyond which one customer is scored from term rows instead.
 BLOCK_ENTRIES = 2_000_000
 CUSTOMER_ENTRIES = 1_000_000
+# Products handed on that a task ranks.
+PASSED_ROWS = 1_000_000
 
 
 # ---------------------------------------------------------------------------
@@ -83,6 +87,28 @@ def list_heads(entries: DataFrame, depth: int) -> DataFrame:
     )
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers in few bytes: differences, byte by byte, so that equal high bytes lie together and small steps cost little."""
+    steps = np.diff(values.astype("<i8"), prepend=np.int64(0))
+    return zlib.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+
+
+PACKED = "kind int, key long, size int, products binary, counts binary, rest long, rest_key long"
+
+
+def _pack_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        size = batch.column("products").value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)
+        end = np.cumsum(size)[:-1]
+        products, counts = (pa.array([pack(v) for v in np.split(batch.column(c).flatten().to_numpy(zero_copy_only=False), end)], pa.binary()) for c in ("products", "counts"))
+        yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("key"), pa.array(size), products, counts, batch.column("rest"), batch.column("rest_key")], names=["kind", "key", "size", "products", "counts", "rest", "rest_key"])
+
+
 # ---------------------------------------------------------------------------
 # Order paths: merging heads under bounds
 # ---------------------------------------------------------------------------
@@ -138,19 +164,13 @@ def merge_heads(customer: np.ndarray, products: np.ndarray, gain: np.ndarray, re
     return owner[kept], product[kept], low[kept], np.flatnonzero(open_)
 
 
-def _ragged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """(all elements, length of each list)."""
-    whole = column.combine_chunks()
-    return whole.flatten().to_numpy(zero_copy_only=False), whole.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 def _merge_block(k: int):
     def merge(weights: pa.Table, heads: pa.Table) -> pa.Table:
         who, customer = np.unique(weights["customer_key"].to_numpy(), return_inverse=True)
         kind, key, w = (weights[c].to_numpy() for c in ("kind", "key", "w"))
         own = kind == OWN
-        products, size = _ragged(heads["products_"])
-        counts, _ = _ragged(heads["counts_"])
+        size = heads["size_"].to_numpy().astype(np.int64)
+        products, counts = (np.concatenate([np.zeros(0, np.int64), *(unpack(v.as_buffer()) for v in heads[c])]) for c in ("products_", "counts_"))
         rest, rest_key = heads["rest_"].to_numpy(), heads["rest_key_"].to_numpy()
         place = {name: i for i, name in enumerate(zip(heads["kind_"].to_pylist(), heads["key_"].to_pylist(), strict=True))}
         row = np.fromiter((place[name] for name in zip(kind[~own].tolist(), key[~own].tolist(), strict=True)), np.int64, int((~own).sum()))
@@ -205,9 +225,9 @@ def bounded_order_top_k(
     own = own_terms(mc)
     finished, large, todo = [], [], None
     for depth in depths:
-        heads = materialize(list_heads(entries, depth))
+        heads = materialize(list_heads(entries, depth).mapInArrow(_pack_heads, PACKED))
         mine = _of_customers(weights, todo)
-        length = mine.join(heads.select("kind", "key", F.size("products").alias("n")), ["kind", "key"]).select("customer_key", "n")
+        length = mine.join(heads.select("kind", "key", F.col("size").alias("n")), ["kind", "key"]).select("customer_key", "n")
         load = length.groupBy("customer_key").agg(F.sum("n").alias("n"))
         load = materialize(load)
         total = load.where(F.col("n") <= customer_entries).agg(F.sum("n")).first()[0] or 0
@@ -262,6 +282,9 @@ def product_lists(edges: DataFrame, best: DataFrame, k: int = rec.TOP_K) -> Data
     passed = edges.join(best, "customer_key").select("customer_key", "product_key", "times", F.explode("best_products").alias("b"))
     passed = passed.where((F.col("b.p2") != F.col("product_key")) | (F.col("times") >= 2))
     passed = passed.select("product_key", F.col("b.p2").alias("p2"), F.col("b.rating").alias("rating"), "customer_key")
+    # many small tasks: Spark would merge these well compressed rows into few, and sort them before the shuffle too
+    tasks = max(-(-edges.count() * (k + 1) // PASSED_ROWS), int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    passed = passed.repartition(tasks, "product_key", "p2")
     givers = Window.partitionBy("product_key", "p2").orderBy(F.col("rating").desc(), F.col("customer_key").asc())
     two = passed.withColumn("_place", F.row_number().over(givers)).where(F.col("_place") <= 2)
     is_first = F.col("_place") == 1
@@ -273,13 +296,14 @@ def product_lists(edges: DataFrame, best: DataFrame, k: int = rec.TOP_K) -> Data
     return kept.groupBy("product_key").agg(F.collect_list(F.struct("p2", "rating", "giver", "other_rating", "has_other")).alias("list"))
 
 
-def read_product_lists(edges: DataFrame, best: DataFrame, lists: DataFrame) -> DataFrame:
+def read_product_lists(edges: DataFrame, best: DataFrame, lists: DataFrame, k: int = rec.TOP_K) -> DataFrame:
     """customer_key, product_key, score for the customers of ``edges``; the top k of them are right, further ones may be missing."""
-    read = edges.select("customer_key", "product_key").join(lists, "product_key").select("customer_key", F.explode("list").alias("e"))
-    mine = F.col("e.giver") == F.col("customer_key")
-    read = read.where(~mine | F.col("e.has_other")).select(
-        "customer_key", F.col("e.p2").alias("product_key"), F.when(mine, F.col("e.other_rating")).otherwise(F.col("e.rating")).alias("score")
-    )
+    mine = lambda e: e["giver"] == F.col("customer_key")
+    score = lambda e: F.when(mine(e), e["other_rating"]).otherwise(e["rating"])
+    offered = F.transform(F.filter("list", lambda e: ~mine(e) | e["has_other"]), lambda e: F.struct(score(e).isNull().alias("unrated"), (-score(e)).alias("low"), e["p2"].alias("p2")))
+    # beyond the k best of one list, k better ones stand before any other
+    read = edges.select("customer_key", "product_key").join(lists, "product_key").select("customer_key", F.explode(F.slice(F.array_sort(offered), 1, k)).alias("e"))
+    read = read.select("customer_key", F.col("e.p2").alias("product_key"), (-F.col("e.low")).alias("score"))
     twice = edges.where(F.col("times") >= 2).groupBy("customer_key").agg(F.count(F.lit(1)).alias("doubles"), F.min("product_key").alias("double"))
     own = best.join(twice, "customer_key").select("customer_key", "doubles", "double", F.explode("best_products").alias("b"))
     own = own.where((F.col("doubles") >= 2) | (F.col("b.p2") != F.col("double")) | (F.col("b.times") >= 3))
@@ -301,4 +325,4 @@ def rating_top_k(feedback: DataFrame, k: int = rec.TOP_K, sentiment: str = rec.P
     edges = materialize(rating_edges(feedback, sentiment))
     best = materialize(own_best(edges, k))
     lists = materialize(product_lists(edges, best, k))
-    return rec.top_k_per_customer(read_product_lists(edges, best, lists), k)
+    return rec.top_k_per_customer(read_product_lists(edges, best, lists, k), k)
