@@ -5,8 +5,8 @@ regression with one class per licence family and version and one for unknown is
 gradient steps that are joins and sums over the sparse features: its examples
 are the templates, parts of them and templates inside a sentence, against a bounded sample of corpus
 paragraphs as unknown (``SAMPLE_PARAGRAPHS``, by a hash order; paragraphs that resemble a template are left out).
-The probability from which a family is believed is calibrated on a second sample
-of unknown paragraphs (at most ``FALSE_SHARE`` of them above it). A prediction
+The probability from which a family is believed is calibrated on all unknown paragraphs of
+the table, each counted as often as it stands there (at most ``FALSE_SHARE`` of them above it). A prediction
 counts only if the paragraph also holds enough of one of the family's templates' bigrams, or is a piece of one, and has the
 words that tell the family from its neighbours (``MARKS``: version, lesser, affero, sa, nc).
 
@@ -160,7 +160,7 @@ def sampled(pars: DataFrame) -> DataFrame:
 
 
 def examples(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(ex, family, grams, part): part 0 trains, part 1 calibrates the unknown class."""
+    """(ex, family, grams, part): part 0 trains, part 1 is left out of training."""
     known = templates(spark)
     n = F.size("ws")
     variants = F.array(
@@ -214,11 +214,13 @@ def scored(pars: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
     return best.select(*keys, F.col("top.class").alias("family"), (1 / norm).alias("probability"))
 
 
-def least_probability(calibration: DataFrame, weights: DataFrame) -> float:
-    """The probability that at most FALSE_SHARE of the unknown examples exceed."""
-    held = scored(calibration, weights, ["ex"]).where(F.col("family") != UNKNOWN)
-    allowed = int(FALSE_SHARE * calibration.count())
-    over = held.orderBy(F.desc("probability")).limit(allowed + 1).agg(F.min("probability").alias("p"), F.count("*").alias("n")).first()
+def least_probability(likely: DataFrame, n_unknown: int) -> float:
+    """The probability that at most FALSE_SHARE of all ``n_unknown`` unknown paragraphs exceed.
+
+    ``likely`` (probability): the unknown paragraphs that some family is believed of with more than 0.5.
+    """
+    allowed = int(FALSE_SHARE * n_unknown)
+    over = likely.orderBy(F.desc("probability")).limit(allowed + 1).agg(F.min("probability").alias("p"), F.count("*").alias("n")).first()
     return max(0.5, over["p"]) if over["n"] > allowed else 0.5
 
 
@@ -241,7 +243,6 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     spark = docs.sparkSession
     rows = common.stored(examples(spark, docs.select(F.lit(0).alias("row"), "text")) if labelled is None else labelled, "op4-examples")
     weights = train(rows)
-    least = least_probability(rows.where("part = 1").select("ex", "grams"), weights)
     weighted = [r["gram"] for r in weights.where("gram >= 0").select("gram").distinct().orderBy("gram").collect()]  # grams of the templates' examples
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
@@ -253,9 +254,18 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
         return F.transform(F.array(own), lambda g: F.struct(
             i.alias("par"), F.filter(g, lambda x: x.isin(weighted)).alias("grams"), F.size(g).alias("n_grams"), F.array_intersect(ws, F.array(*map(F.lit, MARK_WORDS))).alias("marks")))[0]
 
+    split = split.withColumn("n_worded", F.size(F.filter("pars", lambda ws: F.size(ws) > 0)))
     base = common.stored(split.withColumn("pars", F.filter(F.transform("pars", described), lambda p: F.size(p["grams"]) > 0)), "op4-paragraphs")
-    pars = base.select("row", F.explode("pars").alias("p")).select("row", "p.*").where(F.size("marks") > 0)
-    found = scored(pars, weights, ["row", "par"]).where((F.col("family") != UNKNOWN) & (F.col("probability") > least))
+    every = base.select("row", F.explode("pars").alias("p")).select("row", "p.*")
+    known = F.array(*map(F.lit, sorted(r["g"] for r in templates(spark).select(F.explode("grams").alias("g")).distinct().collect())))
+    unlike = F.size(F.array_intersect("grams", known)) * 2 < F.col("n_grams")  # as in ``examples``: resembles no template
+    scores = scored(every.select("row", "par", "grams"), weights, ["row", "par"]).where((F.col("family") != UNKNOWN) & (F.col("probability") > 0.5))
+    scores = common.stored(scores.join(every.select("row", "par", unlike.alias("unlike")), ["row", "par"]), "op4-scores")
+    n_worded, n_alike = base.select(F.coalesce(F.sum("n_worded"), F.lit(0)), F.coalesce(F.sum(F.size(F.filter("pars", lambda p: F.size(F.array_intersect(p["grams"], known)) * 2 >= p["n_grams"]))), F.lit(0))).first()
+    least = least_probability(scores.where("unlike").select("probability"), n_worded - n_alike)
+
+    pars = every.where(F.size("marks") > 0)
+    found = scores.where(F.col("probability") > least).drop("unlike")
     sure = found.join(pars, ["row", "par"]).join(F.broadcast(forms(spark)), "family").where(confirmed(found)).select("row", "par", "family", "probability").distinct()
     per_doc = sure.groupBy("row").agg(F.count("*").alias("n_license"), F.array_sort(F.collect_set("family")).alias("families"), F.max("probability").alias("probability"))
     return base.select("row", "doc_id", "n_paragraphs").join(per_doc, "row", "left").select(
