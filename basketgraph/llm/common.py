@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import math
 import os
+import re
 
 import numpy as np
 import pandas as pd
@@ -133,6 +135,14 @@ def make_dirs(spark: SparkSession, uri: str) -> None:
     path(uri).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path(uri))
 
 
+def _runs(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``size[i]`` values from ``start[i]`` on, for all i in a row, and where each run ends."""
+    end = np.cumsum(size, dtype=np.int64)
+    total = int(end[-1]) if len(end) else 0
+    kind = np.int32 if max(total, len(values)) < 1 << 30 else np.int64
+    return values[np.arange(total, dtype=kind) + np.repeat((start - (end - size)).astype(kind), size)], end
+
+
 _TOKENIZERS: dict = {}
 
 
@@ -145,9 +155,26 @@ class CachedTokenizer:
     tokenizer that discards white space). A text with any other Unicode space
     or control separator is encoded in one piece. Special-token strings in a
     text are ordinary text.
+
+    A tokenizer with the rules ``WORD_RULES`` lower-cases and parts letters from
+    punctuation; there a chunk of letters and a tail of punctuation is looked
+    up as two words, the letters in lower case, so that far fewer are met anew.
     """
 
     OTHER_SPACE = r"[\x00\x01\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
+    #: Normalizers and pre-tokenizers under which a ``WORD`` can be parted.
+    WORD_RULES = (
+        [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+        [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    )
+    #: Letters that NFC leaves alone and whose lower case is one letter.
+    LETTERS = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]+"
+    #: All ASCII punctuation but the apostrophe, which can begin a token of letters.
+    TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
     def __init__(self, path: str, space_joins_next: bool, max_cached: int = 600_000, slice_chars: int = 3_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
         from tokenizers import Tokenizer
@@ -155,8 +182,26 @@ class CachedTokenizer:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.joins, self.max_cached, self.slice_chars = space_joins_next, max_cached, slice_chars
+        self.word_ends = None if space_joins_next else self._word_ends()
         self._reset()
 
+    def _word_ends(self) -> np.ndarray | None:
+        """For a tokenizer with ``WORD_RULES`` and a mark at word ends: whether each id ends a word."""
+        rules = json.loads(self.tok.to_str())
+        parts = tuple((rules[k] or {}).get(f"{k}s".replace("_", "")) for k in ("normalizer", "pre_tokenizer"))
+        mark, vocabulary = rules["model"].get("end_of_word_suffix"), rules["model"].get("vocab")
+        if parts != self.WORD_RULES or rules["model"].get("type") != "BPE" or not mark or rules["post_processor"] or rules["truncation"] or rules["padding"]:
+            return None
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        # the same model with what the rules come to for words of LETTERS between spaces
+        self.for_words = Tokenizer(self.tok.model)
+        self.for_words.normalizer = normalizers.Lowercase()
+        self.for_words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        return ends
+
     def _reset(self) -> None:
         import pyarrow as pa
 
@@ -167,11 +212,11 @@ class CachedTokenizer:
         self.used = 0
 
     @classmethod
-    def shared(cls, path: str, space_joins_next: bool) -> CachedTokenizer:
+    def shared(cls, path: str, space_joins_next: bool, **options: int) -> CachedTokenizer:
         """One instance per worker process, so that a reused worker keeps what earlier tasks have encoded."""
-        key = (path, space_joins_next)
+        key = (path, space_joins_next, *sorted(options.items()))
         if key not in _TOKENIZERS:
-            _TOKENIZERS[key] = cls(path, space_joins_next)
+            _TOKENIZERS[key] = cls(path, space_joins_next, **options)
         return _TOKENIZERS[key]
 
     def _learn(self, new) -> np.ndarray:
@@ -179,6 +224,33 @@ class CachedTokenizer:
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        if self.word_ends is not None:
+            letters = pc.match_substring_regex(new, f"^{self.LETTERS}$")
+            rows = np.empty(len(new), np.int64)
+            for some, learn in ((letters, self._learn_words), (pc.invert(letters), self._learn_chunks)):
+                rows[np.flatnonzero(some.to_numpy(zero_copy_only=False))] = learn(new.filter(some))
+            return rows
+        return self._learn_chunks(new)
+
+    def _learn_words(self, words) -> np.ndarray:
+        """The same for words of letters: each ends with an id that ends a word, so offsets are not needed."""
+        import pyarrow as pa
+
+        base, texts = len(self.known), words.to_pylist()
+        for k in range(0, len(texts), 4096):
+            lines = [" ".join(texts[i : i + 64]) for i in range(k, min(k + 4096, len(texts)), 64)]
+            ids = np.concatenate([np.asarray(e.ids, np.uint32) for e in self.for_words.encode_batch_fast(lines, add_special_tokens=False)])
+            sizes = np.diff(np.flatnonzero(self.word_ends[ids]), prepend=-1)
+            if len(sizes) != len(texts[k : k + 4096]):
+                raise ValueError("a word of letters has no end or several")
+            self._add(ids, sizes, base + k)
+        self.known = pa.concat_arrays([self.known, words])
+        return base + np.arange(len(texts))
+
+    def _learn_chunks(self, new) -> np.ndarray:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         # a chunk with white space at its head can follow another one directly, one without is set apart by a space that gives no token
         follows = pc.match_substring_regex(new, pattern=r"^[ \t\n\r]+[^ \t\n\r]" if self.joins else r"[^ \t\n\r]").to_numpy(zero_copy_only=False)
         alone, together = new.filter(pa.array(~follows)), new.filter(pa.array(follows))
@@ -246,6 +318,45 @@ class CachedTokenizer:
         begin = np.append(np.flatnonzero(cut), len(raw)).astype(np.int64)
         return pa.LargeStringArray.from_buffers(len(begin) - 1, pa.py_buffer(begin), pa.py_buffer(raw)), np.searchsorted(begin, bounds)
 
+    def _found(self, chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different chunks: an array, and where each chunk's ids start in it and how many they are."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        row = np.full(len(chunks), -1, np.int64)
+        if len(self.known) > len(chunks):  # the hash table is made of the smaller side
+            at = pc.fill_null(pc.index_in(self.known, value_set=chunks), -1).to_numpy()
+            met = np.flatnonzero(at >= 0)
+            row[at[met]] = met
+        else:
+            row[:] = pc.fill_null(pc.index_in(chunks, value_set=self.known), -1).to_numpy()
+        new = np.flatnonzero((row < 0) & (pc.binary_length(chunks).to_numpy() > 0))
+        if len(new):
+            row[new] = self._learn(chunks.take(pa.array(new)))
+        return self.flat, self.start[row], np.where(row < 0, 0, self.size[row])
+
+    def _found_parts(self, chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same by the words of the chunks: letters in lower case and their tail of punctuation, or a whole chunk and no tail."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not len(chunks):
+            return self._found(chunks)
+        word = pc.match_substring_regex(chunks, f"^{self.LETTERS}[{re.escape(self.TAIL)}]*$")
+        head = pc.binary_length(pc.ascii_rtrim(chunks, self.TAIL)).to_numpy()
+        size = pc.binary_length(chunks).to_numpy()
+        bounds = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset : chunks.offset + len(chunks) + 1]
+        is_word = word.to_numpy(zero_copy_only=False)
+        cuts = np.append(np.stack([bounds[:-1], bounds[:-1] + np.where(is_word, head, size)], 1).ravel(), bounds[-1])
+        parts = pa.LargeStringArray.from_buffers(2 * len(chunks), pa.py_buffer(cuts), chunks.buffers()[2])
+        parts = pc.if_else(pa.array(np.repeat(is_word, 2)), pc.ascii_lower(parts), parts).dictionary_encode()
+        code = parts.indices.to_numpy(zero_copy_only=False)
+        ids_of, start_of, size_of = self._found(parts.dictionary)
+        flat, end = _runs(ids_of, start_of[code], size_of[code])
+        stop = end[1::2]
+        start = np.r_[0, stop[:-1]]
+        return flat, start, stop - start
+
     def _encode_slice(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -260,17 +371,9 @@ class CachedTokenizer:
             lists = pc.ascii_split_whitespace(plain)
             values, first = lists.values, lists.offsets.to_numpy() - lists.offsets[0].as_py()
         coded = values.dictionary_encode()
-        chunks = coded.dictionary
-        row = pc.fill_null(pc.index_in(chunks, value_set=self.known), -1).to_numpy().astype(np.int64)
-        new = np.flatnonzero((row < 0) & (pc.binary_length(chunks).to_numpy() > 0))
-        if len(new):
-            row[new] = self._learn(chunks.take(pa.array(new)))
-        size_of = np.where(row < 0, 0, self.size[row])
         code = coded.indices.to_numpy(zero_copy_only=False)
-        size = size_of[code]
-        end = np.cumsum(size, dtype=np.int64)
-        total = int(end[-1]) if len(end) else 0
-        flat = self.flat[np.arange(total, dtype=np.int64) + np.repeat(self.start[row[code]] - (end - size), size)]
+        ids_of, start_of, size_of = self._found(coded.dictionary) if self.word_ends is None else self._found_parts(coded.dictionary)
+        flat, end = _runs(ids_of, start_of[code], size_of[code])
         upto = np.r_[0, end][first]
         if not whole:
             return flat, np.diff(upto)

@@ -41,26 +41,28 @@ PAIRS_PER_ROUND = 8192
 #: Bytes of a rule and its expansion length in the file.
 RULE_BYTES = 12
 SLOT_BITS = 20
+FIRST, NEW, STAY = np.uint8(1), np.uint8(2), np.uint8(4)
 
 
 def repair(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair over ``ids`` with documents at ``starts``: (terminals, rules, lengths, symbols, first symbol of each document)."""
     present = np.bincount(ids) > 0
     terminals = np.flatnonzero(present)
-    seq = (np.cumsum(present) - 1)[ids].astype(np.uint64)
+    seq = (np.cumsum(present, dtype=np.int32) - 1).astype(np.uint32)[ids]
     n_sym = len(terminals)
-    first = np.zeros(len(seq), bool)
-    first[starts] = True
+    mark = np.zeros(len(seq), np.uint8)  # of each symbol: FIRST of its document, NEW, pair with the next one STAYs frequent
+    mark[starts] = FIRST
     rules, lengths = [], [np.ones(n_sym, np.int64)]
-    live = ~first[1:]  # pairs that may be frequent: a pair can only become frequent anew if one of its symbols is new
+    live = mark[1:] == 0  # pairs that may be frequent: a pair can only become frequent anew if one of its symbols is new
     while True:
         at = np.flatnonzero(live)
         if not len(at):
             break
         # keys fit 32 bits as long as symbols fit 16; small keys sort fast
-        key = seq[at] * np.uint64(n_sym) + seq[at + 1]
-        if n_sym <= 1 << 16:
-            key = key.astype(np.uint32)
+        kind = np.uint32 if n_sym <= 1 << 16 else np.uint64
+        key = seq[:-1].astype(kind, copy=False) * kind(n_sym)
+        key += seq[1:]
+        key = key[at]
         run = np.sort(key)
         edge = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
         counts = np.diff(np.r_[edge, len(run)])
@@ -77,9 +79,9 @@ def repair(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         rank_at = np.full(1 << SLOT_BITS, -1, np.int32)
         rank_at[_slot(frequent[::-1])] = np.arange(len(frequent), dtype=np.int32)[::-1]  # of pairs that share a slot the most frequent stays
         r = rank_at[_slot(key)]
-        stay = np.zeros(len(seq), bool)
-        stay[at[r >= 0]] = True
-        hit = np.flatnonzero((r >= 0) & (r < n_chosen))
+        mark &= FIRST
+        mark[at[r >= 0]] |= STAY
+        hit = np.flatnonzero(r.view(np.uint32) < n_chosen)  # -1 is the largest
         hit = hit[frequent[r[hit]] == key[hit]]
         pos, r = at[hit], r[hit]
         # overlapping occurrences: the better ranked pair wins; losers wait for a later round
@@ -90,11 +92,11 @@ def repair(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         win = (r < left) & (r < right)
         tie = (r == left) | (r == right)
         if tie.any():  # a run of one repeated symbol: every other place, counted from the run's left end
-            runs = np.cumsum(np.r_[True, (np.diff(pos) != 1) | (r[1:] != r[:-1])])
-            begin = np.r_[True, runs[1:] != runs[:-1]]
-            in_run = np.arange(len(pos)) - np.flatnonzero(begin)[runs - 1]
-            lo, hi = np.where(left == r, 1 << 30, left), np.where(right == r, 1 << 30, right)
-            win = np.where(tie, (in_run % 2 == 0) & (r < lo) & (r < hi), win)
+            tie = np.flatnonzero(tie)
+            p, s, lo, hi = pos[tie], r[tie], left[tie], right[tie]
+            begin = np.flatnonzero(np.r_[True, (np.diff(p) != 1) | (s[1:] != s[:-1])])
+            in_run = np.arange(len(p)) - np.repeat(begin, np.diff(np.r_[begin, len(p)]))
+            win[tie] = (in_run % 2 == 0) & (s <= lo) & (s <= hi)
         pos, r = pos[win], r[win]
         # a pair whose occurrences went to better ones has no rule yet unless what is left pays
         paid = np.bincount(r, minlength=n_chosen) * width > RULE_BYTES
@@ -106,15 +108,15 @@ def repair(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         rules.append(np.stack([pairs // n_sym, pairs % n_sym], 1))
         lengths.append(size[pairs // n_sym] + size[pairs % n_sym])
         seq[pos] = (n_sym + np.cumsum(paid) - 1)[r]
-        new = np.zeros(len(seq), bool)
-        new[pos] = True
+        mark[pos] |= NEW
         keep = np.ones(len(seq), bool)
         keep[pos + 1] = False
-        seq, first, new, stay = seq[keep], first[keep], new[keep], stay[keep]
-        live = (stay[:-1] | new[:-1] | new[1:]) & ~first[1:]
+        seq, mark = seq[keep], mark[keep]
+        live = (mark[:-1] >= NEW) | ((mark[1:] & NEW) > 0)
+        live &= (mark[1:] & FIRST) == 0
         n_sym += len(pairs)
     all_rules = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
-    return terminals, all_rules, np.concatenate(lengths), seq, np.flatnonzero(first)
+    return terminals, all_rules, np.concatenate(lengths), seq, np.flatnonzero(mark & FIRST)
 
 
 def _slot(key: np.ndarray) -> np.ndarray:
@@ -136,7 +138,9 @@ def pack_shard(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
 def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """begin[0], begin[0] + 1 and so on for size[0] places, then the same for the next."""
     end = np.cumsum(size)
-    return np.arange(end[-1] if len(end) else 0) + np.repeat(begin - (end - size), size)
+    total = int(end[-1]) if len(end) else 0
+    kind = np.int32 if total + int(begin.max(initial=0)) < 1 << 31 else np.int64
+    return np.arange(total, dtype=kind) + np.repeat((begin - (end - size)).astype(kind), size)
 
 
 class Shard:
@@ -209,7 +213,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, shard_bytes: in
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = common.task_fs(temp)
-        tok, attempt, done, seq = common.CachedTokenizer.shared(tokenizer, space_joins_next=False), uuid.uuid4().hex, [], 0
+        tok, attempt, done, seq = common.CachedTokenizer.shared(tokenizer, space_joins_next=False, slice_chars=SHARD_BYTES), uuid.uuid4().hex, [], 0
         doc_ids, ids, held, shard = [], [], 0, 0
         end = np.array([END_ID], np.uint32)
 
