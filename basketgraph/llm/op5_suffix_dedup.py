@@ -105,7 +105,6 @@ def stretches(ids: list[int], variants: list[int], texts: list[bytes]) -> pd.Dat
     return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("key", "seg", "doc", "v", "start", "n")})
 
 
-SLICE_BYTES = 2 << 20
 STRETCH = "key long, seg long, doc long, v long, start long, n int"
 
 
@@ -113,11 +112,13 @@ def _packed(docs: DataFrame) -> DataFrame:
     """(doc, v, z): texts as compressed UTF-8, so that shuffles carry few bytes."""
 
     @F.pandas_udf("binary")
-    def squeeze(text: pd.Series) -> pd.Series:
+    def squeeze(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import zstandard
 
         z = zstandard.ZstdCompressor(level=1)
-        return pd.Series([z.compress((t or "").encode()) for t in text])
+        for text in texts:
+            yield pd.Series([z.compress((t or "").encode()) for t in text])
+        common.give_back()
 
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("_v").alias("v"), squeeze("text").alias("z"))
 
@@ -129,19 +130,11 @@ def _unpack(z: pd.Series) -> list[bytes]:
     return [d.decompress(x) for x in z]
 
 
-def _slices(batch: pd.DataFrame, size: pd.Series) -> Iterator[pd.DataFrame]:
-    """A batch in parts of about SLICE_BYTES, so that a task's memory follows bytes and not rows."""
-    part = (size.cumsum() // SLICE_BYTES).to_numpy()
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(batch)]
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        if b > a:
-            yield batch.iloc[a:b]
-
-
 def found_stretches(docs: DataFrame) -> DataFrame:
+    @common.lean
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for part in _slices(batch, batch["text"].map(lambda t: len(t or ""))):
+            for part in common.slices(batch, batch["text"].map(lambda t: len(t or ""))):
                 df = stretches([NO_ID if pd.isna(d) else int(d) for d in part["doc_id"]], list(part["_v"]), [(t or "").encode() for t in part["text"]])
                 if len(df):
                     yield df
@@ -172,6 +165,7 @@ def matched_stretches(found: DataFrame) -> DataFrame:
     """From stretches: kind 0 (doc, v, start, n): all n windows repeat an earlier stretch; kind 1: a stretch to be
     compared with the other ones of its key; kind 2: the same for a hot key."""
 
+    @common.lean
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in _whole_keys(batches, 100_000):
             c = {k: block[k].to_numpy(np.int64) for k in ("key", "seg", "doc", "v", "start", "n")}
@@ -205,9 +199,10 @@ def cut_out(reps: DataFrame, packed: DataFrame) -> DataFrame:
     """The bytes of stretches (kind 1), or digests of their windows (kind 2): kind, key, key2, doc, v, start, n, data."""
     per_doc = reps.groupBy("doc", "v").agg(F.collect_list(F.struct("kind", "key", "start", "n")).alias("reps"))
 
+    @common.lean
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0  # rows of many documents make one batch; a batch per document costs more than its rows
-        for batch in (part for whole in batches for part in _slices(whole, whole["z"].map(len) * 4)):
+        for batch in (part for whole in batches for part in common.slices(whole, whole["z"].map(len) * 4)):
             for doc, v, data, reps in zip(batch["doc"], batch["v"], _unpack(batch["z"]), batch["reps"], strict=True):
                 for r in reps:
                     begin, n = r["start"], r["n"]
@@ -218,10 +213,10 @@ def cut_out(reps: DataFrame, packed: DataFrame) -> DataFrame:
                     for at in range(begin, begin + n):
                         held.append((2, *_digest(data[at : at + LENGTH]), doc, v, at, 1, None))
                         size += LENGTH
-                    if size >= SLICE_BYTES:
+                    if size >= common.SLICE_BYTES:
                         yield pd.DataFrame(held, columns=CUT)
                         held, size = [], 0
-                if size >= SLICE_BYTES:
+                if size >= common.SLICE_BYTES:
                     yield pd.DataFrame(held, columns=CUT)
                     held, size = [], 0
         if held:
@@ -255,14 +250,17 @@ def repeated_windows(block: pd.DataFrame) -> pd.DataFrame:
     begin = np.cumsum(n + LENGTH) - (n + LENGTH)
     sa = suffix_array(t)
     lcp = common_prefixes(t, sa)
-    group = np.cumsum(lcp < LENGTH)
+    equal = lcp >= LENGTH
+    several = np.flatnonzero(equal | np.append(equal[1:], False))  # a string that stands once is no repeat
+    group, sa = np.cumsum(~equal, dtype=np.int32)[several], sa[several].astype(np.int64)
+    del lcp, equal, several
     owner = np.searchsorted(begin, sa, side="right") - 1
     offset = sa - begin[owner]
     is_window = offset < n[owner]
     g, d, w, p = group[is_window], doc[owner[is_window]], v[owner[is_window]], start[owner[is_window]] + offset[is_window]
     order = np.lexsort((p, w, d, g))
     g, d, w, p = g[order], d[order], w[order], p[order]
-    head = np.r_[True, g[1:] != g[:-1]]
+    head = np.r_[True, g[1:] != g[:-1]][: len(g)]
     first = np.flatnonzero(head)[np.cumsum(head) - 1]
     again = ~head & ((d != d[first]) | (w != w[first]) | (p != p[first]))
     return _intervals(d[again], w[again], p[again])
@@ -272,6 +270,7 @@ WINDOWS = "doc long, v long, start long, n long"
 
 
 def sorted_shards(cut: DataFrame) -> DataFrame:
+    @common.lean
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = max(1, SHARD_BYTES // (LENGTH + SPAN // 2))
         for block in _whole_keys(batches, rows):
@@ -322,8 +321,9 @@ def cut_documents(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     """The same per row of a table that ``common.keyed`` returned, with its ``_v``."""
     gone = repeats(docs).groupBy("doc", "v").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
 
+    @common.lean
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in (part for whole in batches for part in _slices(whole, whole["z"].map(len) * 4)):
+        for batch in (part for whole in batches for part in common.slices(whole, whole["z"].map(len) * 4)):
             out = []
             for doc, v, data, starts, ns in zip(batch["doc"], batch["v"], _unpack(batch["z"]), batch["starts"], batch["ns"], strict=True):
                 a, b = removed_ranges(np.array(starts, np.int64), np.array(ns, np.int64), len(data)) if starts is not None else ((), ())

@@ -39,6 +39,7 @@ PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long,
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     """One row per piece, with its rank among the pieces of its length in the same part (task)."""
 
+    @common.lean
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tok, part, seen = common.CachedTokenizer.shared(tokenizer, space_joins_next=True), TaskContext.get().partitionId(), np.zeros(window + 1, np.int64)
         end = np.array([END_ID], "<u4")

@@ -114,8 +114,9 @@ def sketch(s: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame) -> DataFrame:
     """row (unique), doc_id, _v, n (set size), lo and hi (fingerprint of the set), sketch; stable once it is written."""
 
+    @common.lean
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in common.slices(whole, whole["text"].map(lambda t: len(t or "")))):
             sets = shingle_sets(list(batch["text"]))
             lo = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
             hi = np.array([mix(s ^ BASE).sum(dtype=np.uint64) for s in sets], np.uint64)
@@ -143,6 +144,7 @@ def _branch(keys: np.ndarray, values: np.ndarray, rows: np.ndarray) -> tuple[np.
 def first_nodes(reps: DataFrame) -> DataFrame:
     """(node, doc) after FIRST_DEPTH levels of every tree."""
 
+    @common.lean
     def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = np.frombuffer(b"".join(batch["sketch"]), np.uint16).reshape(-1, SKETCH)
@@ -157,6 +159,7 @@ def first_nodes(reps: DataFrame) -> DataFrame:
 
 
 def next_nodes(nodes: DataFrame) -> DataFrame:
+    @common.lean
     def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = np.frombuffer(b"".join(batch["sketch"]), np.uint16).reshape(-1, SKETCH)
@@ -225,6 +228,7 @@ def candidates(nodes: DataFrame, reps: DataFrame) -> DataFrame:
     rows = nodes.select("node", "doc").join(reps.select("doc", "n", "sketch"), "doc")
     rows = rows.repartition("node").sortWithinPartitions("node", "doc")
 
+    @common.lean
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = [], []
         for g in _groups(batches, "node"):
@@ -305,6 +309,7 @@ def unsettled(small: DataFrame, large: DataFrame, reps: DataFrame, comps: DataFr
     rows = nodes.join(mixed, "node", "left_semi").withColumn("side", F.lit(2)).select("node", "doc", "comp", "side").unionAll(tiles(large, reps, comps))
     rows = rows.join(reps.select("doc", "n", "sketch"), "doc").repartition("node").sortWithinPartitions("node", "doc")
 
+    @common.lean
     def left(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _groups(batches, "node"):
             side, comp, n = g["side"].to_numpy(), g["comp"].to_numpy(np.int64), g["n"].to_numpy(np.int64)
@@ -325,8 +330,9 @@ def unsettled(small: DataFrame, large: DataFrame, reps: DataFrame, comps: DataFr
 def _full_sets(ids: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, s) of the vertices in ``ids``, each once: the shingle set as bytes."""
 
+    @common.lean
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in common.slices(whole, whole["text"].map(lambda t: len(t or "")))):
             yield pd.DataFrame({"doc": batch["doc"], "s": [s.tobytes() for s in shingle_sets(list(batch["text"]))]})
 
     wanted = common.stored(reps.join(ids.select("doc").distinct(), "doc", "left_semi").select("doc", F.col("doc_id").alias("own_id"), F.col("_v").alias("own_v"), "copies"), "op9-wanted")
@@ -361,6 +367,7 @@ def settled(rows: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     full = common.stored(_full_sets(rows, reps, docs), "op9-sets2")
     rows = rows.join(full, "doc").repartition("node").sortWithinPartitions("node", "doc")
 
+    @common.lean
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in _groups(batches, "node"):
             side, comp, ids = g["side"].to_numpy(), g["comp"].to_numpy(np.int64), g["doc"].to_numpy(np.int64)
@@ -389,6 +396,7 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("doc")).unionAll(pairs.select(F.col("b").alias("doc")))
     full = common.stored(_full_sets(wanted, reps, docs), "op9-sets")
 
+    @common.lean
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             good = []

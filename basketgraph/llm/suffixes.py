@@ -3,6 +3,7 @@
 The scans of induced sorting run bucket by bucket: what a bucket's suffixes
 induce is appended to the other buckets in one stable step, and what they induce
 inside the bucket is taken in waves, which gives the order of a scan entry by entry.
+Positions are 32-bit numbers, which halve a task's memory; a text has fewer than 2**31 bytes.
 """
 
 from __future__ import annotations
@@ -14,22 +15,22 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     """Suffix array of ``t`` (uint8), whose last element is its only 0."""
     n = len(t)
     if n == 1:
-        return np.zeros(1, np.int64)
+        return np.zeros(1, np.int32)
     small = _smaller_type(t)
-    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    lms = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32)
     first = _induce(t, small, lms)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = first[is_lms[first]]  # leftmost-smaller substrings in order
     if len(order) < 2:
         return first
-    following = np.append(lms[1:], n - 1)
-    end_of = np.empty(n, np.int64)
+    following = np.append(lms[1:], np.int32(n - 1))
+    end_of = np.empty(n, np.int32)
     end_of[lms] = following + 1
     size = end_of[order] - order
     rank = np.cumsum(np.r_[0, ~_same(t, order[1:], order[:-1], size[1:], size[:-1])])
     if rank[-1] + 1 < len(order):
-        name = np.empty(n, np.int64)
+        name = np.empty(n, np.int32)
         name[order] = rank
         order = lms[_sorted_names(name[lms])]
     return _induce(t, small, order)
@@ -58,7 +59,7 @@ def _same(t: np.ndarray, x: np.ndarray, y: np.ndarray, x_size: np.ndarray, y_siz
 def _smaller_type(t: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the one behind it."""
     step = np.sign(np.diff(t.astype(np.int16)))
-    at = np.where(step != 0, np.arange(len(step)), len(step))
+    at = np.where(step != 0, np.arange(len(step), dtype=np.int32), np.int32(len(step)))
     at = np.minimum.accumulate(at[::-1])[::-1]
     step = np.append(step, -1)
     return np.append(step[at] > 0, True)
@@ -70,7 +71,7 @@ def _sorted_names(names: np.ndarray) -> np.ndarray:
     if top < 255:
         # the last name is the end mark's, unique and least
         return suffix_array(names.astype(np.uint8))
-    rank, width = names.copy(), 1
+    rank, width = names.astype(np.int64), 1
     while True:
         behind = np.zeros(len(rank), np.int64)
         behind[:-width] = rank[width:] + 1
@@ -114,7 +115,7 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
         for part in seeds[c]:
             pred = part[part > 0] - 1
             _deal(pred, t[pred], larger)
-    smaller[0] = [np.array([len(t) - 1])]
+    smaller[0] = [np.array([len(t) - 1], np.int32)]
     for c in reversed(letters):  # from the right: entries of a bucket are held from its right end
         done = []
         while smaller[c]:
@@ -144,14 +145,14 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
     position's value is that of the position in front of it less one.
     """
     n = len(t)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
     front = np.r_[np.uint8(0), t[:-1]]
     top = np.r_[False, front[1:] != front[before[1:]]]
     top |= before <= 0
     top[0] = True
     i = np.flatnonzero(top & (before >= 0))
-    plcp = np.zeros(n, np.int64)
+    plcp = np.zeros(n, np.int32)
     words = _words(t)
     at, x, y, size = i, i, before[i], np.zeros(len(i), np.int64)
     live = np.arange(len(i))
@@ -165,6 +166,7 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
         size[live] += 8
         x, y = at[live] + size[live], before[at[live]] + size[live]
     plcp[i] = size
-    head = np.maximum.accumulate(np.where(top, np.arange(n), 0))
-    plcp = plcp[head] - (np.arange(n) - head)
+    place = np.arange(n, dtype=np.int32)
+    head = np.maximum.accumulate(np.where(top, place, np.int32(0)))
+    plcp = plcp[head] - (place - head)
     return plcp[sa]
