@@ -16,6 +16,8 @@ texts handled as the library's default and no special token, truncation or paddi
 Defined results: a null text counts as the empty text; every row has its count, rows with a null or repeated doc_id
 too; an empty table gives no rows and writes no run; other columns are ignored. A text of any length is encoded whole; with a byte-level
 tokenizer that adds no space in front, in slices cut before a space between two visible ASCII characters, which no token crosses.
+With such a tokenizer the texts are cut further into chunks, at white space behind a character that is none; each different chunk is
+encoded once and the counts of its occurrences are added up. Where chunks hardly repeat, texts are encoded as they are.
 """
 
 from __future__ import annotations
@@ -24,10 +26,12 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +43,10 @@ from basketgraph.session import shared_path
 LIMIT = 1024
 #: Characters encoded at a time, and of a slice of a long text.
 SLICE = 500_000
+#: Characters whose chunks are told apart at a time.
+GROUP = 3_000_000
+#: Chunks that a worker keeps the counts of, and the characters of the longest of them.
+KEPT, KEPT_CHARS = 300_000, 64
 ENTRY = "content binary, n_tokens long"
 
 _CUT = re.compile(r"(?<=[!-~]) (?=[!-~])")
@@ -67,6 +75,60 @@ def _slices(text: str) -> list[str]:
     return [*parts, text[at:]]
 
 
+def _groups(texts: Iterable[str], size: int) -> Iterator[list[str]]:
+    """Lists of texts of about ``size`` characters."""
+    group, chars = [], 0
+    for text in texts:
+        group.append(text)
+        chars += len(text)
+        if chars >= size:
+            yield group
+            group, chars = [], 0
+    if group:
+        yield group
+
+
+def _chunks(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """Chunks of all texts in a row, and each text's first chunk (and the end).
+
+    A cut is before ASCII white space behind a character that is no white space: a visible ASCII character, or one of two
+    bytes or more that does not begin as U+0085, U+00A0 and the white space of three bytes do.
+    """
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[: len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[: bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+    space = (raw == 32) | (raw == 9) | (raw == 10) | (raw == 13)
+    at = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    last, two, three = raw[at - 1], raw[at - 2], raw[at - 3]
+    wide = (last > 127) & (two != 0xC2) & (three != 0xE1) & (three != 0xE2) & (three != 0xE3) & (three != 0xEF)
+    cut = np.zeros(len(raw), bool)
+    cut[at[(last > 32) & (last < 127) | wide]] = True
+    cut[bounds[:-1][bounds[:-1] < len(raw)]] = True
+    begin = np.append(np.flatnonzero(cut), len(raw)).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(begin) - 1, pa.py_buffer(begin), pa.py_buffer(raw)), np.searchsorted(begin, bounds)
+
+
+def _by_chunks(encoded: Callable[[list[str]], list[int]]) -> Callable[[list[str]], list[int]]:
+    """``encoded``, which counts texts, once for each different chunk of them."""
+    known: dict[str, int] = {}
+
+    def count(texts: list[str]) -> list[int]:
+        chunks, first = _chunks(pa.array(texts, pa.large_string()))
+        coded = chunks.dictionary_encode()
+        if 2 * (pc.sum(pc.binary_length(coded.dictionary)).as_py() or 0) > (pc.sum(pc.binary_length(chunks)).as_py() or 0):
+            return encoded(texts)
+        words = coded.dictionary.to_numpy(zero_copy_only=False)
+        sizes = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(sizes < 0)
+        sizes[new] = encoded(words[new].tolist())
+        kept = [(words[k], int(sizes[k])) for k in new if len(words[k]) <= KEPT_CHARS]
+        known.update(kept[: KEPT - len(known)])
+        upto = np.append(0, np.cumsum(sizes[coded.indices.to_numpy()]))
+        return np.diff(upto[first]).tolist()
+
+    return count
+
+
 def _json_counter(path: str) -> Callable[[list[str]], list[int]]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
     from tokenizers import Tokenizer
@@ -80,9 +142,17 @@ def _json_counter(path: str) -> Callable[[list[str]], list[int]]:
     cuts = not said.get("normalizer") and first.get("type") == "ByteLevel" and first.get("use_regex") and not first.get("add_prefix_space")
     cuts = cuts and not any(t.get("lstrip") or t.get("rstrip") or " " in t["content"] for t in said.get("added_tokens", []))
 
+    def encoded(texts: list[str]) -> list[int]:
+        return [len(e) for group in _groups(texts, SLICE) for e in tok.encode_batch_fast(group, add_special_tokens=False)]
+
+    if not cuts:
+        return encoded
+    chunked = not any(c.isspace() for t in said.get("added_tokens", []) for c in t["content"])
+    counted = _by_chunks(encoded) if chunked else encoded
+
     def count(texts: list[str]) -> list[int]:
-        parts = [_slices(t) if cuts else [t] for t in texts]
-        sizes = iter([len(e.ids) for e in tok.encode_batch_fast([s for p in parts for s in p], add_special_tokens=False)])
+        parts = [_slices(t) for t in texts]
+        sizes = iter([n for group in _groups((s for p in parts for s in p), GROUP) for n in counted(group)])
         return [sum(next(sizes) for _ in p) for p in parts]
 
     return count
@@ -92,7 +162,7 @@ def _piece_counter(path: str) -> Callable[[list[str]], list[int]]:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
+    return lambda texts: [len(ids) for group in _groups(texts, SLICE) for ids in model.encode(group, num_threads=1)]
 
 
 def counter(path: str) -> Callable[[list[str]], list[int]]:
@@ -148,15 +218,7 @@ def encode_counts(texts: DataFrame, path: str) -> DataFrame:
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
         for batch in batches:
-            held, found = batch.column("text"), []
-            group, chars = [], 0
-            for value in held:
-                group.append(value.as_py() or "")
-                chars += len(group[-1])
-                if chars >= SLICE:
-                    found += count(group)
-                    group, chars = [], 0
-            found += count(group) if group else []
+            found = [n for group in _groups((v.as_py() or "" for v in batch.column("text")), GROUP) for n in count(group)]
             yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(found, pa.int64())], names=["content", "n_tokens"])
 
     return texts.select("content", "text").mapInArrow(counts, ENTRY)

@@ -221,6 +221,60 @@ def test_slices_keep_counts():
         op12_token_counts.SLICE = old
 
 
+SPACES = [" ", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c", "\x1c", "\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u200b", "\u2028", "\u202f", "\u205f", "\u3000", "\ufeff"]
+CHUNK_PARTS = ["word", "Word,", "né", "à", "\u0420\u0420", "\u4e00\u3042", "\U0001f600", "\u2019", "'s", "n't", "42", "...", "<|endoftext|>", "<|end", "of", "text|>", "\x00", "\x7f"]
+
+
+def test_chunks_keep_counts():
+    """Texts of which most chunks repeat count as whole texts do, whatever white space and special strings lie at the cuts."""
+    count = op12_token_counts._json_counter(public_tokenizers.path("byte_bpe_50k.json"))
+    plain = _library_count("byte_bpe_50k.json")
+    rng = random.Random(12)
+    for _ in range(40):
+        parts = ["".join(rng.choice(rng.choice([SPACES, CHUNK_PARTS])) for _ in range(rng.randrange(12))) for _ in range(10)]
+        texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(30)]
+        assert count(texts) == [plain(t) for t in texts]
+    assert count(["", " ", "é", " é"]) == [plain(t) for t in ["", " ", "é", " é"]]
+
+
+def test_each_chunk_is_encoded_once(monkeypatch):
+    import tokenizers
+
+    given = []
+
+    class Spied:
+        def __init__(self, tok):
+            self.tok = tok
+
+        def __getattr__(self, name):
+            return getattr(self.tok, name)
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return self.tok.encode_batch_fast(texts, **options)
+
+        @classmethod
+        def from_file(cls, path, made=tokenizers.Tokenizer.from_file):
+            return cls(made(path))
+
+    plain = _library_count("byte_bpe_50k.json")
+    monkeypatch.setattr(tokenizers, "Tokenizer", Spied)
+    count = op12_token_counts._json_counter(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(50)]
+    first, second = ([" " + " ".join(rng.choices(words, k=200)) for _ in range(20)] for _ in range(2))
+    assert count(first) == [plain(t) for t in first]
+    assert sorted(given) == sorted({" " + w for w in words})
+    assert count(second) == [plain(t) for t in second] and len(given) == len(words)
+    # few chunks repeat: the texts are encoded as they are, and nothing is kept of them
+    alone = [" ".join("".join(rng.choices("ijklmnop", k=9)) for _ in range(40)) for _ in range(5)]
+    assert count(alone) == [plain(t) for t in alone] and given[len(words) :] == alone
+    # beyond what is kept, the counts hold
+    monkeypatch.setattr(op12_token_counts, "KEPT", 20)
+    count = op12_token_counts._json_counter(public_tokenizers.path("byte_bpe_50k.json"))
+    assert [count(first), count(second), count(first)] == [[plain(t) for t in x] for x in (first, second, first)]
+
+
 # ---------------------------------------------------------------------------
 # Embedding whitening
 # ---------------------------------------------------------------------------
