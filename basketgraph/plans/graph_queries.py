@@ -384,8 +384,7 @@ def recommend_from_orders(spark: SparkSession, sf_dir: str, customer: int = SEED
     "J7 A10 T3",
 )
 def recommend_from_orders_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mc = materialize(rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir)))
-    return _recs_out(bounded.bounded_order_top_k(mc))
+    return _recs_out(bounded.bounded_order_top_k(rec.order_product_counts(contains_keys(spark, sf_dir), buys_keys(spark, sf_dir))))
 
 
 # ---------------------------------------------------------------------------

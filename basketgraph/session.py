@@ -81,6 +81,29 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def materialize_freed(df):
+    """``materialize``, but the shuffle files it took leave at its end, not when the driver happens to collect its garbage.
+
+    Spark reads the setting when it plans, so the plan is made anew under it. A lost task is computed again from the inputs.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        planned = df.select("*")
+    finally:
+        conf.unset(key) if was is None else conf.set(key, was)
+    return materialize(planned)
+
+
+def task_slots(spark: SparkSession) -> int:
+    """How many tasks run at a time, as far as is known."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect doesn't say
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def spread(df):
     """Round-robin ``df`` over all task slots when its scan is narrower than the cluster.
 
